@@ -89,7 +89,7 @@ def _datamart(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scanned(spark: SparkSession, sf_dir: str, months: str | list[int]) -> DataFrame:
     base = testmap.stored_profiles(spark, sf_dir)
     return read_profiles(spark, base, COUNTRY, months, DIRECTORY).select(
-        "month", "ifa", "device.platform", "device.device_model", F.size("app").alias("n_apps")
+        "month", "ifa", "device.platform", "device.device_model", F.size("app.first_seen").alias("n_apps")
     )
 
 

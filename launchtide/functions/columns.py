@@ -12,8 +12,11 @@ def earliest(times: Column) -> Column:
 
 
 def earliest_unless_null(times: Column) -> Column:
-    """Least element of an array where a null counts as least of all."""
-    return F.when(~F.exists(times, lambda t: t.isNull()), F.array_min(times))
+    """Least element of an array where a null counts as least of all.
+
+    Among structs, unlike among plain values, one holding a null sorts first.
+    """
+    return F.array_min(F.arrays_zip(times.alias("time")))["time"]
 
 
 def yyyymm(time: Column) -> Column:

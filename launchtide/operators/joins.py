@@ -38,7 +38,8 @@ def join_lookup(
     """
     if measured_bytes(lookup) <= broadcast_bytes:
         return facts.join(F.broadcast(lookup), on, how)
-    salted = facts.withColumn("salt", F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)))
-    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-    copies = lookup.withColumn("salt", F.explode(salts).cast("bigint"))
+    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = facts.withColumn("salt", salt)
+    copies = lookup.withColumn("salt", every_salt)
     return salted.join(copies, [on, "salt"], how).drop("salt")

@@ -11,22 +11,28 @@ from launchtide.functions import within
 from launchtide.schemas import Band, Labels
 
 
-def _hit(band: Band) -> Column:
-    return F.when(
-        within(F.col("delta"), band.lo, band.hi),
-        F.struct(F.lit(band.segment).alias("segment"), F.lit(band.segment_id).alias("segment_id")),
-    )
+def _label(number: Column, names: Sequence[str]) -> Column:
+    """The name at a band's number; never null."""
+    label = F.lit(names[-1])
+    for i in reversed(range(len(names) - 1)):
+        label = F.when(number == i, names[i]).otherwise(label)
+    return label
 
 
 def _matched(deltas: DataFrame, bands: Sequence[Band]) -> DataFrame:
-    """One row per band a delta lies in; a single band needs no array."""
+    """One row per band a delta lies in. A single band is a filter, which a scan can use."""
+    inside = [within(F.col("delta"), band.lo, band.hi) for band in bands]
     if len(bands) == 1:
-        band = bands[0]
-        return deltas.filter(within(F.col("delta"), band.lo, band.hi)).select(
-            "*", F.lit(band.segment).alias("segment"), F.lit(band.segment_id).alias("segment_id")
-        )
-    hits = F.array_compact(F.array(*[_hit(band) for band in bands]))
-    return deltas.select("*", F.inline(hits))
+        matched = deltas.filter(inside[0]).withColumn("band", F.lit(0))
+    else:
+        numbers = F.array(*[F.when(hit, i) for i, hit in enumerate(inside)])
+        matched = deltas.select("*", F.explode(numbers).alias("band")).filter("band IS NOT NULL")
+    return matched.withColumns(
+        {
+            "segment": _label(F.col("band"), [band.segment for band in bands]),
+            "segment_id": _label(F.col("band"), [band.segment_id for band in bands]),
+        }
+    )
 
 
 def _matched_table(deltas: DataFrame, bands: DataFrame) -> DataFrame:

@@ -55,7 +55,7 @@ def earliest_sightings(
     seen = earliest(times) if null_dates == SKIP else earliest_unless_null(times)
     rows = (
         _on_platform(profiles, platform, null_users)
-        .filter(F.size("app") > 0)
+        .filter(F.size(times) > 0)
         .select(
             *_leading(profiles),
             "device.platform",

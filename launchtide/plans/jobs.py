@@ -37,7 +37,7 @@ def run_batch(
     The months form a list or a glob of directory names.
     """
     datamart = batch_datamart(
-        read_profiles(spark, profiles, country, months),
+        read_profiles(spark, profiles, country, months, with_month=False),
         read_device_lookup(spark, lookup),
         read_launches(spark, launches),
         bands,

@@ -17,17 +17,19 @@ def read_profiles(
     country: str,
     months: str | Iterable[str | int],
     directory: str = "{country}/{month}",
+    with_month: bool = True,
 ) -> DataFrame:
     """Profiles of one country as ``month, ifa, device, app``, in one scan.
 
     ``months`` is a month, a list of months, or a glob such as ``202{0*,101,102}``.
     Only the directories named are listed, so other months cost nothing. Reading
     directories rather than a glob over files spares the driver one path per file.
+    Without need for the month leave it out: Spark numbers the rows of a scan whose
+    file path is selected and then not used.
     """
     names = [months] if isinstance(months, str) else list(months)
     paths = [f"{base}/{directory.format(country=country, month=name)}" for name in names]
     stored = spark.read.option("pathGlobFilter", "*.parquet").parquet(*paths)
     require(stored.schema, PROFILE, "profile table")
-    return stored.select(
-        month_of_path(F.col("_metadata.file_path")).alias("month"), "ifa", "device", "app"
-    )
+    month = [month_of_path(F.col("_metadata.file_path")).alias("month")] if with_month else []
+    return stored.select(*month, "ifa", "device", "app")

@@ -1,0 +1,181 @@
+"""Sources, sinks and the stored jobs on real files."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from launchtide.operators import (
+    assign_segments,
+    delta_histogram,
+    delta_row_histogram,
+    derive_bands,
+    device_lookup,
+    launches,
+)
+from launchtide.operators.uptake import MONTH_USER
+from launchtide.plans import (
+    batch_datamart,
+    monthly_datamart,
+    run_batch,
+    run_monthly,
+    run_monthly_segments,
+    user_deltas,
+)
+from launchtide.schemas import BRAND, ID_AS_CODED, ID_DOCUMENTED
+from launchtide.sinks import write_datamart, write_deltas, write_histograms, write_report
+from launchtide.sources import (
+    read_deltas,
+    read_device_lookup,
+    read_histograms,
+    read_launches,
+    read_profiles,
+)
+from tests import edge_table
+
+MONTHS = [202011, 202012, 202101, 202102]
+
+
+def rows(df):
+    return sorted((tuple(row) for row in df.collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The edge table as files: profiles dealt out over four plain month directories."""
+    base = tmp_path_factory.mktemp("stored")
+    profiles = edge_table.profiles(spark).withColumn(
+        "nth", F.pmod(F.xxhash64("ifa", "device", "app"), F.lit(len(MONTHS)))
+    )
+    for i, month in enumerate(MONTHS):
+        part = profiles.filter(F.col("nth") == i).drop("nth")
+        part.write.parquet(f"{base}/profiles/MY/{month}")
+    (base / "profiles/MY/202101/notes.txt").write_text("not a profile")
+    # Other columns may stand before the ones needed.
+    edge_table.raw_lookup(spark).select(
+        "Model", F.lit("extra").alias("Device"), "Marketing Name", "Retail Branding"
+    ).write.csv(f"{base}/lookup", header=True)
+    edge_table.raw_launches(spark).write.csv(f"{base}/launches", header=True)
+    return str(base)
+
+
+@pytest.fixture(scope="module")
+def inputs(spark, stored):
+    return (
+        read_profiles(spark, f"{stored}/profiles", "MY", MONTHS),
+        read_device_lookup(spark, f"{stored}/lookup"),
+        read_launches(spark, f"{stored}/launches"),
+    )
+
+
+def test_profiles_by_list_glob_and_single_month(spark, stored):
+    def counts(months):
+        scan = read_profiles(spark, f"{stored}/profiles", "MY", months)
+        return {row.month: row["count"] for row in scan.groupBy("month").count().collect()}
+
+    whole = counts(MONTHS)
+    assert set(whole) == set(MONTHS)
+    assert sum(whole.values()) == len(edge_table.ROWS)
+    assert counts("202{0*,101,102}") == whole
+    assert counts("202{0*,102}") == {m: whole[m] for m in (202011, 202012, 202102)}
+    assert counts("202101") == counts([202101]) == {202101: whole[202101]}
+    with pytest.raises(AnalysisException):
+        counts(["202103"])
+
+
+def test_lookups(spark, stored, inputs):
+    _, lookup, launch = inputs
+    assert rows(lookup) == rows(device_lookup(edge_table.raw_lookup(spark)))
+    assert rows(launch) == rows(launches(edge_table.raw_launches(spark)))
+
+
+def test_missing_members_are_named(spark, stored):
+    with pytest.raises(ValueError, match="Release_Date string"):
+        read_launches(spark, f"{stored}/lookup")
+    with pytest.raises(ValueError, match="Marketing Name string"):
+        read_device_lookup(spark, f"{stored}/launches")
+    with pytest.raises(ValueError, match="app array"):
+        read_profiles(spark, f"{stored}/profiles", "MY", MONTHS).select("ifa").write.parquet(
+            f"{stored}/bad/MY/202101"
+        )
+        read_profiles(spark, f"{stored}/bad", "MY", ["202101"])
+
+
+def test_datamart_is_never_overwritten(spark, inputs, tmp_path):
+    datamart = batch_datamart(*inputs)
+    write_datamart(datamart, f"{tmp_path}/datamart")
+    assert rows(spark.read.parquet(f"{tmp_path}/datamart")) == rows(datamart)
+    with pytest.raises(AnalysisException):
+        write_datamart(datamart, f"{tmp_path}/datamart")
+
+
+def test_months_are_overwritten_one_by_one(spark, tmp_path):
+    path = f"{tmp_path}/histograms"
+
+    def write(values, months=None):
+        table = spark.createDataFrame(values, "month int, delta int, count bigint")
+        write_histograms(table, path, months)
+
+    write([(202001, 1, 5), (202001, 2, 6), (202002, 1, 7), (202003, 3, 8)])
+    write([(202001, 9, 1)])
+    assert rows(read_histograms(spark, path)) == [(202001, 9, 1), (202002, 1, 7), (202003, 3, 8)]
+    # A month processed again that now has no rows is emptied.
+    write([(202001, 4, 4)], months=[202001, 202002])
+    assert rows(read_histograms(spark, path)) == [(202001, 4, 4), (202003, 3, 8)]
+    assert rows(read_histograms(spark, path, [202003])) == [(202003, 3, 8)]
+
+
+def test_deltas_round_trip(spark, inputs, tmp_path):
+    deltas = user_deltas(*inputs, BRAND, MONTH_USER)
+    write_deltas(deltas, f"{tmp_path}/deltas", MONTHS)
+    columns = ["month", "ifa", "name", "launch", "first_seen", "delta"]
+    assert rows(read_deltas(spark, f"{tmp_path}/deltas")) == rows(deltas.select(columns))
+    one = read_deltas(spark, f"{tmp_path}/deltas", [202101])
+    assert rows(one) == rows(deltas.filter("month = 202101").select(columns))
+
+
+def test_report_is_one_sorted_file_and_replaced(spark, inputs, tmp_path):
+    histogram = delta_row_histogram(user_deltas(*inputs))
+    for _ in range(2):
+        write_report(histogram.repartition(7), f"{tmp_path}/report")
+    (file,) = (tmp_path / "report").glob("*.csv")
+    lines = file.read_text().splitlines()
+    assert lines[0] == "delta,count"
+    assert lines[1:] == [f"{row.delta},{row['count']}" for row in histogram.collect()]
+
+
+def test_batch_job(spark, stored, inputs, tmp_path):
+    written = run_batch(
+        spark, f"{stored}/profiles", "MY", "202{0*,101,102}", f"{stored}/lookup",
+        f"{stored}/launches", f"{tmp_path}/datamart",
+    )
+    assert rows(written) == rows(batch_datamart(*inputs))
+    assert {row.ifa: row.delta for row in written.collect()} == edge_table.KEPT
+
+
+def test_monthly_job(spark, stored, inputs, tmp_path):
+    out = f"{tmp_path}/out"
+    total = run_monthly(
+        spark, f"{stored}/profiles", "MY", [str(m) for m in MONTHS], f"{stored}/lookup",
+        f"{stored}/launches", out,
+    )
+    deltas = user_deltas(*inputs, BRAND, MONTH_USER)
+    assert rows(read_histograms(spark, f"{out}/histograms")) == rows(
+        delta_histogram(deltas, ("month",))
+    )
+    report = rows(spark.read.schema("delta int, sum_count bigint").csv(f"{out}/report", header=True))
+    assert report == rows(total)
+    written = run_monthly_segments(spark, out, f"{tmp_path}/documented")
+    assert rows(written) == rows(monthly_datamart(*inputs, ID_DOCUMENTED))
+    coded = run_monthly_segments(spark, out, f"{tmp_path}/coded", ID_AS_CODED)
+    assert rows(coded) == rows(monthly_datamart(*inputs, ID_AS_CODED))
+    derived = run_monthly_segments(spark, out, f"{tmp_path}/derived", None)
+    bands = derive_bands(total, bands=ID_DOCUMENTED, count="sum_count")
+    assert rows(derived) == rows(assign_segments(deltas, bands))
+    # A second run over some of the months leaves the outcome as it was.
+    run_monthly(
+        spark, f"{stored}/profiles", "MY", MONTHS[:2], f"{stored}/lookup", f"{stored}/launches", out
+    )
+    again = spark.read.schema("delta int, sum_count bigint").csv(f"{out}/report", header=True)
+    assert rows(again) == report
