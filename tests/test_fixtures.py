@@ -1,0 +1,83 @@
+"""The quantities noted in FIXTURES.md, 3, for the given tables."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks import testmap
+from checks.queries import QUERIES
+from checks.testmap import BRAND, LABELS
+from launchtide.operators import (
+    assign_segments,
+    combine_histograms,
+    delta_histogram,
+    earliest_sightings,
+    enrich,
+    first_device,
+    join_launches,
+    launch_delta,
+)
+from launchtide.operators.uptake import MONTH_USER
+from launchtide.plans import user_deltas
+from launchtide.schemas import ID_AS_CODED, NOT_DETECTED
+
+TABLES = "/root/testdata"
+SCALES = ["sf0.001", "sf0.01", "sf0.1"]
+
+EXPECTED = {
+    "sf0.001": dict(
+        android=4032, not_detected=428, launched=139, first=88, negative=12, kept=76,
+        my=[0, 3, 2, 7, 64], cuts=[42, 423, 1086, 1956],
+        monthly=123, monthly_users=82, histograms=123, combined=121, summed=123, coded=123,
+    ),
+    "sf0.01": dict(
+        android=39954, not_detected=3967, launched=1374, first=886, negative=175, kept=711,
+        my=[2, 43, 36, 68, 562], cuts=[44, 283, 859, 1658],
+        monthly=1165, monthly_users=793, histograms=1144, combined=912, summed=1165, coded=1170,
+    ),
+    "sf0.1": dict(
+        android=399975, not_detected=40063, launched=14418, first=9039, negative=2145, kept=6894,
+        my=[34, 484, 423, 669, 5284], cuts=[39, 225, 811, 1618],
+        monthly=11835, monthly_users=8031, histograms=10381, combined=2396, summed=11835,
+        coded=11878,
+    ),
+}
+
+
+@pytest.mark.parametrize("scale", SCALES)
+def test_batch(spark, scale):
+    sf_dir, expected = f"{TABLES}/{scale}", EXPECTED[scale]
+    seen = earliest_sightings(testmap.profiles(spark, sf_dir))
+    lookup, launches = testmap.lookup(spark, sf_dir), testmap.launch_table(spark, sf_dir)
+    enriched = enrich(seen, lookup)
+    of_brand = enrich(seen, lookup, BRAND)
+    deltas = launch_delta(first_device(of_brand, launches))
+    assert seen.count() == expected["android"]
+    assert enriched.filter(F.col("brand") == NOT_DETECTED).count() == expected["not_detected"]
+    assert join_launches(of_brand, launches).count() == expected["launched"]
+    assert deltas.count() == expected["first"]
+    assert deltas.filter("delta < 0").count() == expected["negative"]
+    audit = {row.segment: row.n_rows for row in QUERIES["segment_audit"](spark, sf_dir).collect()}
+    names = ["Innovator", "Early_Adopter", "Early_Majority", "Late_Majority", "Laggard"]
+    assert [audit.get(name, 0) for name in names] == expected["my"]
+    assert sum(expected["my"]) == expected["kept"]
+    cuts = [row.hi for row in QUERIES["derive_thresholds"](spark, sf_dir).collect()]
+    assert cuts == [*expected["cuts"], None]
+
+
+@pytest.mark.parametrize("scale", SCALES)
+def test_monthly(spark, scale):
+    sf_dir, expected = f"{TABLES}/{scale}", EXPECTED[scale]
+    profiles = testmap.profiles(spark, sf_dir)
+    lookup, launches = testmap.lookup(spark, sf_dir), testmap.launch_table(spark, sf_dir)
+    deltas = user_deltas(profiles, lookup, launches, BRAND, MONTH_USER).cache()
+    histograms = delta_histogram(deltas, ("month",))
+    combined = combine_histograms(histograms)
+    assert deltas.count() == expected["monthly"]
+    assert deltas.select("ifa").distinct().count() == expected["monthly_users"]
+    assert histograms.count() == expected["histograms"]
+    assert combined.count() == expected["combined"]
+    assert combined.agg(F.sum("sum_count")).first()[0] == expected["summed"]
+    assert assign_segments(deltas, ID_AS_CODED, LABELS).count() == expected["coded"]
+    deltas.unpersist()
