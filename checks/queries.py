@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from checks import testmap
 from checks.testmap import BRAND, COUNTRY, DIRECTORY, LABELS, scratch
-from launchtide.functions import yyyymm
 from launchtide.operators import (
     assign_segments,
     combine_histograms,
@@ -71,6 +70,13 @@ def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_deltas(*_inputs(spark, sf_dir), BRAND)
 
 
+def _stored_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written and read back where several scans follow."""
+    path = scratch(spark, "deltas")
+    _deltas(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _monthly_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_deltas(*_inputs(spark, sf_dir), BRAND, MONTH_USER)
 
@@ -290,7 +296,8 @@ def label_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segment_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deltas = _deltas(spark, sf_dir)
+    """Five segments of the stored deltas, each its own scan with its band pushed down."""
+    deltas = _stored_deltas(spark, sf_dir)
     union = assign_segments(deltas, MY_BANDS[:1], LABELS)
     for band in MY_BANDS[1:]:
         union = union.unionByName(assign_segments(deltas, [band], LABELS))
@@ -310,10 +317,7 @@ def segment_datamart_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def segment_datamart_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch(spark, "deltas")
-    deltas = _deltas(spark, sf_dir)
-    write_deltas(deltas.withColumn("month", yyyymm(F.col("first_seen"))), path)
-    stored = read_deltas(spark, path)
+    stored = _stored_deltas(spark, sf_dir)
     bands = derive_bands(delta_histogram(stored, one_row_per_user=True))
     return assign_segments(stored, bands, LABELS)
 

@@ -25,7 +25,8 @@ def launches(raw: DataFrame) -> DataFrame:
     )
 
 
-def _of_brand(lookup: DataFrame, brand: str) -> DataFrame:
+def of_brand(lookup: DataFrame, brand: str) -> DataFrame:
+    """The lookup rows of one brand, missing text filled."""
     return lookup.fillna(NOT_DETECTED, ["brand", "name"]).filter(F.col("brand") == brand)
 
 
@@ -44,7 +45,7 @@ def enrich(
     if brand in (None, NOT_DETECTED):
         how, names = "left", lookup
     else:
-        how, names = "inner", _of_brand(lookup, brand)
+        how, names = "inner", of_brand(lookup, brand)
     names = names.select(F.col("model").alias("device_model"), "brand", "name")
     leading = [name for name in ("month", "ifa") if name in sightings.columns]
     needed = sightings.select(*leading, "device_model", "first_seen")
@@ -73,7 +74,7 @@ def launched_models(lookup: DataFrame, launches: DataFrame, brand: str) -> DataF
         .select("name", "least.launch")
     )
     return (
-        _of_brand(lookup, brand)
+        of_brand(lookup, brand)
         .filter(F.col("model").isNotNull())
         .select("model", "name")
         .join(first_launch, "name")

@@ -28,15 +28,22 @@ def join_lookup(
     on: str,
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on one column, ``inner`` or ``left``.
 
     A lookup measured to fit ``broadcast_bytes`` is broadcast, and ``facts`` is not
-    shuffled. A larger one is shuffled with a salt beside the key, so that a key
-    holding much of ``facts`` (or a null key) is spread over ``SALTS`` tasks. The salt
-    is a hash of the row: a task run again sends its rows to the same place.
+    shuffled. Where a lookup takes work to make, ``bound`` names a table that is no
+    smaller and is measured first; the lookup itself only if that is too large.
+
+    A larger lookup is shuffled with a salt beside the key, so that a key holding much
+    of ``facts`` (or a null key) is spread over ``SALTS`` tasks, which adaptive
+    execution splits again where they are still too large. The salt is a hash of the
+    row: a task run again sends its rows to the same place.
     """
-    if measured_bytes(lookup) <= broadcast_bytes:
+    if any(
+        measured_bytes(table) <= broadcast_bytes for table in (bound, lookup) if table is not None
+    ):
         return facts.join(F.broadcast(lookup), on, how)
     salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))

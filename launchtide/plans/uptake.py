@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from launchtide.operators.devices import launched_models
+from launchtide.operators.devices import launched_models, of_brand
 from launchtide.operators.joins import BROADCAST_BYTES, join_lookup
 from launchtide.operators.segments import assign_segments
 from launchtide.operators.sightings import FIRST, KEEP, earliest_sightings
@@ -32,12 +32,17 @@ def user_deltas(
     that first sighting is chosen, so a later one does not bring the user back.
     """
     models = launched_models(lookup, launches, brand).withColumnRenamed("model", "device_model")
+    # Each launched model is one of the brand's lookup rows with a date: these take no join.
+    no_smaller = of_brand(lookup, brand).select("model", "name", F.lit("yyyy-mm-dd").alias("launch"))
     seen = earliest_sightings(profiles, null_dates=null_dates, null_users=null_users)
-    launched = (
-        seen.select(*by, "device_model", "first_seen")
-        .transform(join_lookup, models, "device_model", "inner", broadcast_bytes)
-        .withColumn("ifa", F.coalesce("ifa", F.lit(NOT_DETECTED)))
-    )
+    launched = join_lookup(
+        seen.select(*by, "device_model", "first_seen"),
+        models,
+        "device_model",
+        "inner",
+        broadcast_bytes,
+        bound=no_smaller,
+    ).withColumn("ifa", F.coalesce("ifa", F.lit(NOT_DETECTED)))
     return non_negative(launch_delta(first_rows(launched, by)))
 
 

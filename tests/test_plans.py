@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from launchtide.operators import (
     assign_segments,
@@ -12,10 +13,12 @@ from launchtide.operators import (
     device_lookup,
     earliest_sightings,
     enrich,
+    launched_models,
     launches,
     segment_audit,
     sightings,
 )
+from launchtide.operators.devices import of_brand
 from launchtide.operators.joins import SALTS, measured_bytes
 from launchtide.operators.uptake import MONTH_USER
 from launchtide.plans import batch_datamart, user_deltas
@@ -135,6 +138,26 @@ def test_a_lookup_too_large_to_broadcast_is_salted(inputs, spark):
     assert SALTS > 1
 
 
+def test_a_lookup_is_broadcast_by_its_bound_or_else_by_its_own_size(inputs, spark):
+    profiles, lookup, launch = inputs
+    models = launched_models(lookup, launch, BRAND)
+    bound = of_brand(lookup, BRAND).select("model", "name", F.lit("yyyy-mm-dd").alias("launch"))
+    assert measured_bytes(models) < measured_bytes(bound)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_bound, by_size, neither = (
+            plan(user_deltas(*inputs, broadcast_bytes=size))
+            for size in (
+                measured_bytes(bound), measured_bytes(models), measured_bytes(models) - 1
+            )
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin [device_model" in by_bound
+    assert "BroadcastHashJoin [device_model" in by_size
+    assert "SortMergeJoin [device_model" in neither
+
+
 def test_brand_cuts_the_lookup_before_the_join(inputs):
     profiles, lookup, _ = inputs
     text = plan(enrich(earliest_sightings(profiles), lookup, BRAND))
