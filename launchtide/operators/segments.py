@@ -11,37 +11,34 @@ from launchtide.functions import within
 from launchtide.schemas import Band, Labels
 
 
-def _label(number: Column, names: Sequence[str]) -> Column:
-    """The name at a band's number; never null."""
-    label = F.lit(names[-1])
-    for i in reversed(range(len(names) - 1)):
-        label = F.when(number == i, names[i]).otherwise(label)
-    return label
+def _inside() -> Column:
+    """Whether ``delta`` lies in the band beside it; a null limit is open."""
+    delta, lo, hi = F.col("delta"), F.col("lo"), F.col("hi")
+    return delta.isNotNull() & (lo.isNull() | (delta >= lo)) & (hi.isNull() | (delta <= hi))
+
+
+def _row(band: Band) -> Column:
+    return F.struct(
+        F.lit(band.segment).alias("segment"),
+        F.lit(band.segment_id).alias("segment_id"),
+        F.lit(band.lo).cast("int").alias("lo"),
+        F.lit(band.hi).cast("int").alias("hi"),
+    )
 
 
 def _matched(deltas: DataFrame, bands: Sequence[Band]) -> DataFrame:
     """One row per band a delta lies in. A single band is a filter, which a scan can use."""
-    inside = [within(F.col("delta"), band.lo, band.hi) for band in bands]
     if len(bands) == 1:
-        matched = deltas.filter(inside[0]).withColumn("band", F.lit(0))
-    else:
-        numbers = F.array(*[F.when(hit, i) for i, hit in enumerate(inside)])
-        matched = deltas.select("*", F.explode(numbers).alias("band")).filter("band IS NOT NULL")
-    return matched.withColumns(
-        {
-            "segment": _label(F.col("band"), [band.segment for band in bands]),
-            "segment_id": _label(F.col("band"), [band.segment_id for band in bands]),
-        }
-    )
+        (band,) = bands
+        return deltas.filter(within(F.col("delta"), band.lo, band.hi)).select(
+            "*", F.lit(band.segment).alias("segment"), F.lit(band.segment_id).alias("segment_id")
+        )
+    return deltas.select("*", F.inline(F.array(*map(_row, bands)))).filter(_inside())
 
 
 def _matched_table(deltas: DataFrame, bands: DataFrame) -> DataFrame:
     """The same with a band table made by Spark, whose few rows are broadcast."""
-    delta = F.col("delta")
-    inside = (F.col("lo").isNull() | (delta >= F.col("lo"))) & (
-        F.col("hi").isNull() | (delta <= F.col("hi"))
-    )
-    return deltas.join(F.broadcast(bands), delta.isNotNull() & inside)
+    return deltas.join(F.broadcast(bands), _inside())
 
 
 def assign_segments(
