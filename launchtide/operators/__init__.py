@@ -1,4 +1,10 @@
-from launchtide.operators.devices import device_lookup, enrich, launched_models, launches
+from launchtide.operators.devices import (
+    device_lookup,
+    earliest_launches,
+    enrich,
+    launched_models,
+    launches,
+)
 from launchtide.operators.histogram import (
     combine_histograms,
     delta_histogram,
@@ -29,6 +35,7 @@ __all__ = [
     "derive_bands",
     "device_lookup",
     "distinct_users",
+    "earliest_launches",
     "earliest_sightings",
     "enrich",
     "first_device",

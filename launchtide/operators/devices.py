@@ -57,6 +57,13 @@ def enrich(
     return rows.filter(F.col("brand") == brand) if brand == NOT_DETECTED else rows
 
 
+def earliest_launches(launches: DataFrame) -> DataFrame:
+    """One ``name, launch`` row per name, the least launch; null where one is null."""
+    # The least of a struct, unlike the least of a date, is null where one date is.
+    least = F.min(F.struct("launch")).alias("least")
+    return launches.groupBy("name").agg(least).select("name", "least.launch")
+
+
 def launched_models(lookup: DataFrame, launches: DataFrame, brand: str) -> DataFrame:
     """One ``model, name, launch`` row for each model of ``brand`` with a launch.
 
@@ -67,17 +74,11 @@ def launched_models(lookup: DataFrame, launches: DataFrame, brand: str) -> DataF
     """
     if brand == NOT_DETECTED:
         raise ValueError("sightings without a lookup row have no model: use enrich, first_device")
-    # The least of a struct, unlike the least of a date, is null where one date is.
-    first_launch = (
-        launches.groupBy("name")
-        .agg(F.min(F.struct("launch")).alias("least"))
-        .select("name", "least.launch")
-    )
     return (
         of_brand(lookup, brand)
         .filter(F.col("model").isNotNull())
         .select("model", "name")
-        .join(first_launch, "name")
+        .join(earliest_launches(launches), "name")
         .groupBy("model")
         .agg(F.min(F.struct("name", "launch")).alias("least"))
         .select("model", "least.*")

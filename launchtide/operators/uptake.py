@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from launchtide.operators.devices import earliest_launches
 from launchtide.operators.joins import BROADCAST_BYTES, join_lookup
 
 USER = ("ifa",)
@@ -42,8 +43,12 @@ def first_device(
     by: Sequence[str] = USER,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """First launched device by user: the columns of ``by`` and ``name, launch, first_seen, date``."""
-    return first_rows(join_launches(enriched, launches, broadcast_bytes), by)
+    """First launched device by user: the columns of ``by`` and ``name, launch, first_seen, date``.
+
+    Of the launches of one name only the least could be chosen, so a name listed many
+    times adds no rows.
+    """
+    return first_rows(join_launches(enriched, earliest_launches(launches), broadcast_bytes), by)
 
 
 def launch_delta(first: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from launchtide.operators import (
     enrich,
     first_device,
     join_launches,
+    launch_delta,
+    non_negative,
     segment_audit,
     sightings,
 )
@@ -64,6 +66,15 @@ def test_shuffled_lookups_equal_broadcast_ones(inputs):
     )
 
 
+@pytest.mark.parametrize("by", [USER, MONTH_USER])
+def test_first_device_equals_the_plain_form(inputs, by):
+    profiles, lookup, launches = inputs
+    first = first_device(enrich(sightings(profiles), lookup, BRAND), launches, by)
+    columns = [*by, "name", "launch", "first_seen", "delta"]
+    expected = plain_deltas(*inputs, BRAND, by).select(columns)
+    assert rows(non_negative(launch_delta(first)).select(columns)) == rows(expected)
+
+
 def test_order_and_partitions_do_not_matter(inputs):
     profiles, lookup, launches = inputs
     expected = rows(user_deltas(profiles, lookup, launches, BRAND))
