@@ -51,7 +51,7 @@ def run_monthly(
     spark: SparkSession,
     profiles: str,
     country: str,
-    months: Iterable[str | int],
+    months: str | Iterable[str | int],
     lookup: str,
     launches: str,
     out: str,
@@ -59,11 +59,12 @@ def run_monthly(
 ) -> DataFrame:
     """Write month-wise deltas, their histograms and the combined report under ``out``.
 
-    All months go through one job. The profiles are read for the deltas only; what
+    The months are named one by one, so that one left without rows can be emptied. All
+    months go through one job. The profiles are read for the deltas only; what
     follows reads the deltas back, so a lost executor never repeats that scan. Months
     already at ``out`` stay and count in the report, which is returned.
     """
-    months = [int(month) for month in months]
+    months = [int(month) for month in ([months] if isinstance(months, str) else months)]
     deltas = user_deltas(
         read_profiles(spark, profiles, country, months),
         read_device_lookup(spark, lookup),

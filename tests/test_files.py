@@ -177,5 +177,9 @@ def test_monthly_job(spark, stored, inputs, tmp_path):
     run_monthly(
         spark, f"{stored}/profiles", "MY", MONTHS[:2], f"{stored}/lookup", f"{stored}/launches", out
     )
+    run_monthly(
+        spark, f"{stored}/profiles", "MY", str(MONTHS[2]), f"{stored}/lookup",
+        f"{stored}/launches", out,
+    )
     again = spark.read.schema("delta int, sum_count bigint").csv(f"{out}/report", header=True)
     assert rows(again) == report
