@@ -47,8 +47,8 @@ def assign_segments(
     """The ten-column segment table: a row for each band a user's delta lies in.
 
     ``deltas`` is read once, whatever the number of bands. ``bands`` may be the table
-    made by :func:`launchtide.operators.histogram.derive_bands`; it has as many rows
-    as there are segments.
+    made by :func:`launchtide.operators.histogram.derive_bands`. That has by its making
+    one row per band, so it is broadcast unmeasured; give any other limits as a list.
     """
     matched = _matched_table if isinstance(bands, DataFrame) else _matched
     return matched(deltas, bands).select(
