@@ -5,17 +5,87 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from launchtide.llm.fingerprints import fingerprint_documents
+from launchtide.llm.licenses import scan_licenses
+from launchtide.llm.mixing import mix
 from launchtide.llm.near_duplicates import near_duplicates
+from launchtide.llm.packing import pack
 from launchtide.llm.shared import table
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = F.col("mix_size") * F.col("mix_copies")
+    return mix(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.col("mix_size").alias("size"),
+        F.col("mix_source_size").alias("source_size"),
+        F.col("mix_target").alias("target"),
+        taken.alias("taken"),
+    )
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_fingerprints": op2_fingerprints,
+    "op3_licenses": op3_licenses,
+    "op4_mixing": op4_mixing,
     "op5_near_duplicates": op5_near_duplicates,
+    "op9_packing": op9_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # The ranking by one window per source, which Spark's form reaches in bins.
+    "op4_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         (CAST(CAST('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), '4')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5)
+           / 4503599627370496.0 AS drawn
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(2 * sum(size) AS DOUBLE) AS cap,
+         CAST(list_value(5, 2, 1)[1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3] AS DOUBLE) AS weight
+  FROM sized GROUP BY source
+), filling AS (
+  SELECT *, (sum(source_size) OVER () * 1.5 - coalesce(sum(cap) OVER before, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM sources
+  WINDOW before AS (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), plan AS (
+  SELECT source, source_size,
+         coalesce(least(cap, weight * (SELECT arg_min(level, cap / weight) FROM filling WHERE level < cap / weight)), cap) AS target
+  FROM filling
+), rates AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM plan
+), rest AS (
+  SELECT *, target - whole * source_size AS rest,
+         CASE WHEN source_size > 0 THEN (target - whole * source_size) / source_size ELSE 0 END AS chance
+  FROM rates
+), ranked AS (
+  SELECT s.*, r.source_size, target, whole, rest, chance,
+         coalesce(sum(size) OVER (PARTITION BY s.source
+           ORDER BY drawn / (1 - drawn) / (chance / (1 - chance)), doc_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM sized s JOIN rest r ON s.source IS NOT DISTINCT FROM r.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN chance > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM ranked
+""",
+}
