@@ -15,7 +15,7 @@ from launchtide.llm.shared import stored
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    """``links``: (low, high). The links of one star operation, low < high, distinct."""
+    """``links``: (low, high). The links of one star operation, low < high."""
     if large:
         sides = links.select(F.col("low").alias("node"), F.col("high").alias("other")).union(
             links.select("high", "low")
@@ -32,7 +32,15 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         made = near.select(F.col("least").alias("low"), F.col("other").alias("high")).union(
             least.select("least", "node")
         )
-    return made.filter("low < high").distinct()
+    return made.filter("low < high")
+
+
+def _settled(links: DataFrame) -> bool:
+    """Whether every greater end has one link and is nobody's lesser end."""
+    ends = links.select(F.col("high").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(links.select("low", F.lit(0), F.lit(1)))
+    seen = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.filter("up > 1 or up = 1 and down = 1").isEmpty()
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -49,14 +57,10 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         .distinct()
     )
     links = stored(links, "links")
-    before = None
     for _ in range(rounds):
-        links = stored(_star(_star(links, True), False), "stars")
-        # Two numbers tell that nothing changed: the links and the sum of their hashes.
-        mark = links.agg(F.count("*"), F.bit_xor(F.xxhash64("low", "high"))).first()
-        if mark == before:
+        if _settled(links):
             break
-        before = mark
+        links = stored(_star(_star(links, True), False).distinct(), "stars")
     else:
         raise RuntimeError("links have not settled")
     return links.select(F.col("high").alias("node"), F.col("low").alias("component")).union(

@@ -107,7 +107,7 @@ def near_duplicates(
     percent: int = 80,
     n_bins: int = 128,
     rows: int = 5,
-    rounds: int = 3,
+    rounds: int = 2,
 ) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -119,8 +119,8 @@ def near_duplicates(
     Documents with equal sets become one node before any pair is made. Each node puts its
     signature in ``n_bins // rows`` buckets. Every bucket ties its members to its least
     one, and the pairs are confirmed on full sets. Buckets that still hold members of
-    several components then tie those that are left, up to ``rounds`` times in all, so
-    that a pair is not lost because neither is near the least member. At similarity 0.8 a
+    several components then tie those that are left, ``rounds`` times in all, so that a
+    pair is not lost because neither is near the least member. At similarity 0.8 a
     pair shares no bucket with chance (1 - 0.8^5)^25 = 5e-5.
 
     A text that is null, empty or without words has no shingles and links with nothing;
@@ -145,23 +145,27 @@ def near_duplicates(
         for k in range(n_bins // rows)
     ]
     alone = nodes.select(F.explode(F.array(*bands)).alias("key"), "node", "n")
-    links = _same_id(known, nodes)
-    for turn in range(rounds):
-        if turn:
-            alone = stored(_left_over(alone, groups), "alone")
+    edges = stored(star_edges(alone, percent), "edges")
+    links = stored(_same_id(known, nodes).union(_verified(docs, edges, size, percent)), "links")
+    groups = components(links)
+    for _ in range(1, rounds):
+        alone = stored(_left_over(alone, groups), "alone")
         edges = stored(star_edges(alone, percent), "edges")
         if edges.isEmpty():
             break
-        links = stored(links.union(_verified(docs, edges, size, percent)), "links")
+        more = stored(_verified(docs, edges, size, percent), "links")
+        if more.isEmpty():
+            break
+        links = links.union(more)
         groups = components(links)
-    return _labelled(sketch, nodes, components(links))
+    return _labelled(sketch, nodes, groups)
 
 
 def _same_id(known: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links between the classes of rows that repeat a doc_id with other texts."""
     repeated = known.groupBy("doc_id").agg(F.count("*").alias("k")).filter("k > 1")
     return (
-        known.join(stored(repeated, "repeated"), "doc_id")
+        known.join(repeated, "doc_id")
         .join(nodes.select("h1", "h2", "n", "node"), ["h1", "h2", "n"])
         .filter("doc_id <> node")
         .select(F.col("node").alias("low"), F.col("doc_id").alias("high"))
