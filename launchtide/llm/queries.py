@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from launchtide.llm.caps import near_vectors
+from launchtide.llm.conversations import format_chats
 from launchtide.llm.fingerprints import fingerprint_documents
 from launchtide.llm.licenses import scan_licenses
 from launchtide.llm.mixing import mix
@@ -38,16 +40,26 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op6_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_licenses": op3_licenses,
     "op4_mixing": op4_mixing,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_chats": op6_chats,
     "op9_packing": op9_packing,
+    "op10_near_vectors": op10_near_vectors,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -87,5 +99,25 @@ WITH sized AS (
 SELECT doc_id, size, source_size, target,
        CAST(size * (whole + CASE WHEN chance > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM ranked
+""",
+    # Conversations as lists of turns; one goes if a longer one begins with its list.
+    "op6_chats": r"""
+WITH ordered AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS LAST, role, text) AS turns
+  FROM conversations GROUP BY conv_id
+), distinct_ones AS (
+  SELECT min(conv_id) AS conv_id, turns, len(turns) AS n, count(*) AS n_copies FROM ordered GROUP BY turns
+), kept AS (
+  SELECT * FROM distinct_ones a
+  WHERE NOT EXISTS (
+    SELECT 1 FROM distinct_ones b WHERE b.turns[1] = a.turns[1] AND b.n > a.n AND b.turns[1:a.n] = a.turns)
+), rendered AS (
+  SELECT conv_id, n, n_copies,
+         array_to_string(list_transform(turns, lambda t: concat('<|im_start|>', t.role, chr(10), t.text, '<|im_end|>', chr(10))), '') AS text
+  FROM kept
+)
+SELECT conv_id, CAST(n AS BIGINT) AS n_turns, CAST(n_copies AS BIGINT) AS n_copies,
+       CAST(length(text) AS BIGINT) AS n_chars, text
+FROM rendered
 """,
 }
