@@ -10,19 +10,47 @@ from pyspark.sql import DataFrame, SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from launchtide.llm.mixing import mixed  # noqa: E402
 from launchtide.llm.near_duplicates import drop_near_duplicates  # noqa: E402
+from launchtide.llm.packing import pack  # noqa: E402
+from launchtide.llm.quality import drop_low_quality  # noqa: E402
 from launchtide.llm.shared import stored, table  # noqa: E402
+from launchtide.llm.toxicity import drop_toxic  # noqa: E402
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier chain does not reject."""
+    return drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the byte-level network predicts to be good."""
+    return drop_low_quality(docs, table(spark, sf_dir, "labels"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one of least doc_id."""
     return drop_near_duplicates(docs)
 
 
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it; some not at all, some twice."""
+    return mixed(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their sequences and offsets."""
+    return pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity),
+    ("quality", quality),
     ("near_duplicates", near_duplicates),
+    ("mixing", mixing),
+    ("packing", packing),
 ]
 
 #: No SQL: classifiers, MinHash and tokenizers can't be written in it.

@@ -214,7 +214,7 @@ def _labelled(sketch: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFra
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The documents, all columns as they are, less those near a kept one of less doc_id.
 
-    Rows that repeat a kept doc_id with the same text stay once.
+    Rows that repeat a doc_id are one document: they stay or go together.
     """
     name = spare(docs, "kept_id")
     kept = near_duplicates(docs, **options).filter("kept").select(F.col("doc_id").alias(name))

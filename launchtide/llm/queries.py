@@ -14,7 +14,13 @@ from launchtide.llm.licenses import scan_licenses
 from launchtide.llm.mixing import mix
 from launchtide.llm.near_duplicates import near_duplicates
 from launchtide.llm.packing import pack
+from launchtide.llm.quality import score_quality
 from launchtide.llm.shared import table
+from launchtide.llm.toxicity import score_toxicity
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +50,10 @@ def op6_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -53,11 +63,13 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
     "op3_licenses": op3_licenses,
     "op4_mixing": op4_mixing,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_chats": op6_chats,
+    "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_near_vectors": op10_near_vectors,
 }

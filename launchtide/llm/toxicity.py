@@ -11,15 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from launchtide.llm.shared import spare, stored
-from launchtide.llm.words import LOWER, mix, pieces, texts_of
+from launchtide.llm.words import LOWER, pieces, texts_of
 
 #: Hash buckets of n-grams, as a power of two.
 BITS = 20
-GRAMS = (4, 5, 6)
+GRAMS = (5, 6)
+#: Bytes of text that are worked on at a time.
+PIECE = 1 << 18
+_LETTER = LOWER.copy()
+_LETTER[[*range(48), *range(58, 97), *range(123, 128)]] = 32
 #: Labelled rows that a model is fitted on, at most: those of the least hash of doc_id.
 FIT_ROWS = 12_000
 #: Buckets a category may use: those that part its labels best.
-FEATURES = 3_000
+FEATURES = 400
 FOLDS = 4
 
 # Categories in the order of the chain: a name, and which labelled rows belong to it. The
@@ -31,48 +35,49 @@ CATEGORIES = (
 )
 
 
-def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and row of every character n-gram of the given rows, as bytes, A-Z lower-cased.
+def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length in ``GRAMS``, the buckets of the n-grams of the given rows.
 
-    Runs of other than letters, digits and non-ASCII bytes count as one kind of gap, so a
-    word's first and last letters show.
+    With them comes where each row's n-grams begin. Letters are bytes, A-Z lower-cased, and
+    anything but letters, digits and non-ASCII bytes is one kind of gap, so that a word's
+    first and last letters show. Each row has a gap before it and several after it, so no
+    n-gram reaches from one into another.
     """
-    data = LOWER[data]
-    gap = (data < 48) | ((data > 57) & (data < 97)) | ((data > 122) & (data < 128))
-    data = np.where(gap, np.uint8(32), data)
-    # A gap before and after each row, so that no n-gram reaches into another.
-    n_rows, reach = len(offsets) - 1, max(GRAMS)
-    starts = offsets[:-1] + np.arange(n_rows) * reach + 1
-    line = np.full(len(data) + n_rows * reach + 1, 32, np.uint64)
-    line[np.arange(len(data)) + np.repeat(starts - offsets[:-1], np.diff(offsets))] = data
-    row = np.repeat(np.arange(n_rows), np.diff(np.append(starts - 1, len(line))))
-    packed = np.zeros(len(line), np.uint64)
-    found, rows = [], []
-    for k in range(reach):
-        packed[: len(line) - k] |= line[k:] << np.uint64(8 * k)
+    reach = max(GRAMS)
+    n_rows = len(offsets) - 1
+    begin = offsets + np.arange(n_rows + 1) * reach
+    line = np.full(int(begin[-1]) + reach, 32, np.uint8)
+    for row, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+        at = a + row * reach + 1
+        line[at : at + b - a] = data[a:b]
+    line = _LETTER[line].astype(np.uint32)
+    end = int(begin[-1])
+    grams = line[:end].copy()
+    for k in range(1, 4):
+        grams |= line[k : k + end] << np.uint32(8 * k)
+    grams *= np.uint32(0x9E3779B1)
+    found = []
+    for k in range(4, reach):
+        grams ^= line[k : k + end] * np.uint32((0x85EBCA6B * (2 * k + 1)) & 0xFFFFFFFF)
         if k + 1 in GRAMS:
-            end = len(line) - k
-            grams = mix(packed[:end] ^ np.uint64((k + 1) << 56))
-            found.append((grams >> np.uint64(64 - BITS)).astype(np.int64))
-            rows.append(row[:end])
-    return np.concatenate(found), np.concatenate(rows)
+            mixed = (grams ^ (grams >> np.uint32(15))) * np.uint32((0xC2B2AE35 + 2 * k) & 0xFFFFFFFF)
+            found.append((mixed >> np.uint32(32 - BITS), begin))
+    return found
 
 
 def distinct_buckets(column: pa.Array) -> Iterator[list[np.ndarray]]:
     """The distinct buckets of each text, some rows at a time."""
     data, offsets = texts_of(column)
-    for a, b in pieces(offsets):
+    for a, b in pieces(offsets, PIECE):
         inner = offsets[a : b + 1] - offsets[a]
-        bucket, row = gram_buckets(data[offsets[a] : offsets[b]], inner)
-        both = np.unique((row << BITS) | bucket)
-        ends = np.searchsorted(both, np.arange(b - a + 1) << BITS)
-        yield [both[i:j] & ((1 << BITS) - 1) for i, j in zip(ends[:-1], ends[1:], strict=True)]
+        found = gram_buckets(data[offsets[a] : offsets[b]], inner)
+        yield [np.unique(np.concatenate([g[x[r] : x[r + 1]] for g, x in found])) for r in range(b - a)]
 
 
 def _bucketer():
     def buckets(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            lists = [own.astype(np.int32) for part in distinct_buckets(column) for own in part]
+            lists = [own.view(np.int32) for part in distinct_buckets(column) for own in part]
             ends = np.cumsum([0, *map(len, lists)])
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *lists])))
 
@@ -107,7 +112,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_linear(rows: Rows, dense: np.ndarray, label: np.ndarray, n: int, steps: int = 120, decay: float = 2e-4):
+def fit_linear(rows: Rows, dense: np.ndarray, label: np.ndarray, n: int, steps: int = 300, decay: float = 1e-5):
     """Weights of sparse features, of dense ones and a bias: logistic regression.
 
     Accelerated gradient steps on the mean loss with squared weights added. Labels of one
@@ -117,7 +122,7 @@ def fit_linear(rows: Rows, dense: np.ndarray, label: np.ndarray, n: int, steps:
     w, d, bias = np.zeros(n), np.zeros(dense.shape[1]), float(np.log(share / (1 - share)))
     if label.min(initial=1) == label.max(initial=0):
         return w, d, bias
-    # Features in a row bound the curvature; the mean number is near enough with momentum.
+    # The step that the curvature of a mean row allows.
     rate = 4 / (1 + dense.shape[1] + len(rows.index) / len(label))
     before = (w, d, bias)
     for step in range(steps):
@@ -125,7 +130,7 @@ def fit_linear(rows: Rows, dense: np.ndarray, label: np.ndarray, n: int, steps:
         ahead = tuple(x + m * (x - y) for x, y in zip((w, d, bias), before, strict=True))
         error = (sigmoid(rows.dot(ahead[0]) + dense @ ahead[1] + ahead[2]) - label) / len(label)
         before = (w, d, bias)
-        w = ahead[0] - rate * len(label) ** 0.5 * (rows.total(error, n) + decay * ahead[0])
+        w = ahead[0] - rate * (rows.total(error, n) + decay * ahead[0])
         d = ahead[1] - rate * (dense.T @ error + decay * ahead[1])
         bias = ahead[2] - rate * error.sum()
     return w, d, bias
@@ -190,11 +195,11 @@ def fit_toxicity(
     )
     names = [f"c{k}" for k in range(len(categories))]
     totals = sample.agg(F.count("*"), *(F.sum(c) for c in names)).first()
-    table = np.full(1 << BITS, -1, np.int32)
+    table = np.full(1 << BITS, -1, np.int16)
     if not totals[0]:
         return table, [(np.zeros(0), np.zeros(k), -5.0) for k in range(len(names))]
     counts = sample.select(F.explode("buckets").alias("bucket"), *names).groupBy("bucket").agg(F.count("*").alias("n"), *(F.sum(c).alias(c) for c in names))
-    counts = stored(counts.filter("n >= 2"), "counts")
+    counts = stored(counts.filter("n >= 3"), "counts")
     picked: set[int] = set()
     for k, name in enumerate(names):
         yes, all_rows = totals[k + 1], totals[0]
@@ -226,12 +231,15 @@ def scorer(docs: DataFrame, model: tuple[np.ndarray, list[tuple]], names: Sequen
         for column in columns:
             data, offsets = texts_of(column)
             said = [np.zeros((0, len(names)))]
-            for a, b in pieces(offsets):
+            for a, b in pieces(offsets, PIECE):
                 inner = offsets[a : b + 1] - offsets[a]
-                bucket, row = gram_buckets(data[offsets[a] : offsets[b]], inner)
-                feature = table[bucket]
-                used = feature >= 0
-                both = np.unique((row[used] << BITS) | feature[used])
+                pairs = []
+                for bucket, begin in gram_buckets(data[offsets[a] : offsets[b]], inner):
+                    feature = table[bucket]
+                    used = np.flatnonzero(feature >= 0)
+                    row = np.searchsorted(begin, used, "right") - 1
+                    pairs.append((row << BITS) | feature[used])
+                both = np.unique(np.concatenate(pairs))
                 ends = np.searchsorted(both, np.arange(b - a + 1) << BITS)
                 said.append(predict_chain(Rows(both & ((1 << BITS) - 1), ends), models))
             yield pa.StructArray.from_arrays(list(map(pa.array, np.concatenate(said).T.copy())), list(names))
