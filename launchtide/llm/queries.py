@@ -11,6 +11,7 @@ from launchtide.llm.caps import near_vectors
 from launchtide.llm.conversations import format_chats
 from launchtide.llm.fingerprints import fingerprint_documents
 from launchtide.llm.licenses import scan_licenses
+from launchtide.llm.main_text import extract_main_text
 from launchtide.llm.mixing import mix
 from launchtide.llm.near_duplicates import near_duplicates
 from launchtide.llm.packing import pack
@@ -50,6 +51,10 @@ def op6_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_mixing": op4_mixing,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_chats": op6_chats,
+    "op7_main_text": op7_main_text,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_near_vectors": op10_near_vectors,
