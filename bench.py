@@ -3,21 +3,33 @@
 ``BENCH_SF_DIR`` names the tables and ``BENCH_CPUS`` the threads. Each query runs once
 to warm up, then ``BENCH_RUNS`` times; the least time counts. Results go to Spark's
 ``noop`` sink, so every row is computed and none is kept.
+
+``queries`` are the registered ones on the tables as they are. ``stored`` are the plans on
+profiles written once, before the clock starts, as many files: ``BENCH_COPIES`` copies of
+the tables with users of their own. ``skewed`` is the same with a third of the profiles
+without user, of one model and at one time. In both, ``plain`` is the step-by-step form and
+``shuffled`` the package's with no lookup small enough to broadcast.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
+from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from checks import testmap
 from checks.plain import plain_deltas, plain_segments
 from checks.queries import QUERIES
-from launchtide.schemas import MY_BANDS
+from launchtide.operators import assign_segments, enrich, first_device, segment_audit, sightings
+from launchtide.plans import batch_datamart, monthly_datamart, user_deltas
+from launchtide.schemas import ID_AS_CODED, MY_BANDS
+from launchtide.sources import read_profiles
 
 HEADLINES = [
     "flatten_sightings",
@@ -25,39 +37,69 @@ HEADLINES = [
     "first_launched_device",
     "segment_datamart",
     "segment_datamart_overlap",
-    "segment_datamart_monthly",
+    "segment_datamart_monthly_coded",
     "segment_datamart_derived",
+    "segment_union",
     "segment_audit",
     "delta_histogram",
     "delta_histogram_monthly",
     "combine_histograms",
     "derive_thresholds",
-    "scan_profiles_months",
-    "sink_deltas_parquet",
+    "job_monthly_segments",
 ]
+FILES = 32
 
 
-def plain_datamart(spark: SparkSession, sf_dir: str):
-    """The flagship result by the step-by-step plan, for comparison only."""
-    deltas = plain_deltas(
-        testmap.profiles(spark, sf_dir),
-        testmap.lookup(spark, sf_dir),
-        testmap.launch_table(spark, sf_dir),
-        testmap.BRAND,
-    )
-    return plain_segments(deltas, MY_BANDS, testmap.LABELS)
+def stored_inputs(spark: SparkSession, sf_dir: str, copies: int, skewed: bool) -> str:
+    """Profiles below a new base, by country and month, each month in several files."""
+    profiles = testmap.profiles(spark, sf_dir).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    profiles = profiles.withColumn("ifa", F.concat_ws("-", "copy", "ifa")).drop("copy")
+    if skewed:
+        hot = F.xxhash64("ifa", "device", "app") % 3 == 0
+        device = F.struct(F.lit("Android").alias("platform"), F.lit("1").alias("device_model"))
+        app = F.array(F.struct(F.lit(None).cast("timestamp_ntz").alias("first_seen")))
+        profiles = profiles.withColumns(
+            {"ifa": F.when(~hot, F.col("ifa")), "device": F.when(hot, device).otherwise(F.col("device")), "app": F.when(hot, app).otherwise(F.col("app"))}
+        )
+    base = testmap.scratch(spark, "bench")
+    quarter = (F.col("month") / 100).cast("int") * 100 + 1
+    profiles.withColumn("month", quarter).repartition(FILES).write.partitionBy("month").parquet(f"{base}/{testmap.COUNTRY}")
+    return base
+
+
+def plans(spark: SparkSession, sf_dir: str, base: str) -> dict[str, Callable[[], DataFrame]]:
+    def read(with_month: bool = False) -> DataFrame:
+        return read_profiles(spark, base, testmap.COUNTRY, "month=*", testmap.DIRECTORY, with_month)
 
+    lookup, launches = testmap.lookup(spark, sf_dir), testmap.launch_table(spark, sf_dir)
+    brand, labels = testmap.BRAND, testmap.LABELS
+    return {
+        "scan": lambda: read(True),
+        "datamart": lambda: batch_datamart(read(), lookup, launches, MY_BANDS, labels),
+        "monthly": lambda: monthly_datamart(read(True), lookup, launches, ID_AS_CODED, labels),
+        "audit": lambda: segment_audit(monthly_datamart(read(True), lookup, launches, ID_AS_CODED, labels)),
+        "first_device": lambda: first_device(enrich(sightings(read()), lookup, brand), launches),
+        "shuffled": lambda: assign_segments(user_deltas(read(), lookup, launches, brand, broadcast_bytes=-1), MY_BANDS, labels),
+        "plain": lambda: plain_segments(plain_deltas(read(), lookup, launches, brand), MY_BANDS, labels),
+    }
 
-def seconds(spark: SparkSession, query, sf_dir: str) -> float:
+
+def seconds(make: Callable[[], DataFrame]) -> float:
     start = time.perf_counter()
-    query(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    make().write.format("noop").mode("overwrite").save()
     return time.perf_counter() - start
 
 
+def least(make: Callable[[], DataFrame], runs: int) -> float:
+    seconds(make)
+    return round(min(seconds(make) for _ in range(runs)), 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    copies = int(os.environ.get("BENCH_COPIES", "4"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("launchtide-bench")
@@ -65,14 +107,15 @@ def main() -> None:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="launchtide-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    times = {}
-    for key, query in [*((k, QUERIES[k]) for k in HEADLINES), ("plain", plain_datamart)]:
-        seconds(spark, query, sf_dir)
-        times[key] = round(min(seconds(spark, query, sf_dir) for _ in range(runs)), 3)
-    plain = times.pop("plain")
+    times = {key: least(lambda key=key: QUERIES[key](spark, sf_dir), runs) for key in HEADLINES}
+    inputs = {}
+    for name, skewed in (("stored", False), ("skewed", True)):
+        base = stored_inputs(spark, sf_dir, copies, skewed)
+        inputs[name] = {key: least(make, runs) for key, make in plans(spark, sf_dir, base).items()}
     print(
         json.dumps(
             {
@@ -80,7 +123,8 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
-                "plain_datamart": plain,
+                **inputs,
+                "copies": copies,
                 "sf": Path(sf_dir).name.removeprefix("sf"),
             }
         )

@@ -5,26 +5,35 @@ from __future__ import annotations
 _TABLES = """
 WITH profiles AS (
   SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS month,
-         CAST(o_custkey AS VARCHAR) AS ifa,
+         CASE WHEN o_custkey % 50 <> 7 THEN CAST(o_custkey AS VARCHAR) END AS ifa,
          CASE l_returnflag WHEN 'N' THEN 'Android' WHEN 'A' THEN 'android' ELSE 'iOS' END
            AS platform,
          CAST(l_partkey AS VARCHAR) AS device_model,
-         l_shipdate, l_linenumber
+         l_shipdate, l_linenumber, l_orderkey
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 ), apps AS (
   SELECT month, ifa, platform, device_model,
-         l_shipdate + to_days(CAST(7 * nth AS INTEGER)) AS first_seen
+         CASE WHEN l_orderkey % 61 <> 0 OR nth < l_linenumber - 1
+              THEN l_shipdate + to_days(CAST(7 * nth AS INTEGER)) END AS first_seen
   FROM (SELECT *, unnest(range(l_linenumber)) AS nth FROM profiles)
 ), flat AS (
-  SELECT month, ifa, platform, device_model, l_shipdate AS first_seen
-  FROM profiles WHERE lower(platform) = 'android'
+  SELECT month, ifa, platform, device_model, first_seen
+  FROM apps WHERE lower(platform) = 'android'
 ), lookup AS (
   SELECT CAST(p_partkey AS VARCHAR) AS model, p_brand AS brand, p_name AS name
   FROM part WHERE p_partkey % 10 <> 0
-), launches AS (
-  SELECT p_name AS name,
-         CAST(DATE '1995-01-01' + CAST(7 * min(p_partkey) AS INTEGER) AS DATE) AS launch
+  UNION ALL
+  SELECT CAST(p_partkey AS VARCHAR), p_brand, 'A ' || p_name
+  FROM part WHERE p_partkey % 10 <> 0 AND p_partkey % 15 = 4
+), numbered AS (
+  SELECT p_name AS name, min(p_partkey) AS k,
+         CAST(DATE '1995-01-01' + CAST(7 * min(p_partkey) AS INTEGER) AS DATE) AS day
   FROM part GROUP BY p_name
+), launches AS (
+  SELECT name, CASE WHEN k % 12 NOT IN (7, 9) THEN day END AS launch FROM numbered
+  UNION ALL SELECT name, CAST(day - 10 AS DATE) FROM numbered WHERE k % 12 = 3
+  UNION ALL SELECT name, NULL FROM numbered WHERE k % 12 = 5
+  UNION ALL SELECT 'A ' || name, CAST(day + 3 AS DATE) FROM numbered WHERE k % 30 = 4
 ), left_joined AS (
   SELECT ifa, first_seen, brand, name FROM flat LEFT JOIN lookup ON device_model = model
 ), filled AS (
@@ -41,11 +50,13 @@ WITH profiles AS (
 ), first_user AS (
   SELECT ifa, name, launch, first_seen, date FROM launched
   QUALIFY row_number() OVER (
-    PARTITION BY ifa ORDER BY date NULLS FIRST, first_seen NULLS FIRST, name, launch) = 1
+    PARTITION BY ifa
+    ORDER BY date NULLS FIRST, first_seen NULLS FIRST, name, launch NULLS LAST) = 1
 ), first_month AS (
   SELECT month, ifa, name, launch, first_seen, date FROM launched
   QUALIFY row_number() OVER (
-    PARTITION BY month, ifa ORDER BY date NULLS FIRST, first_seen NULLS FIRST, name, launch) = 1
+    PARTITION BY month, ifa
+    ORDER BY date NULLS FIRST, first_seen NULLS FIRST, name, launch NULLS LAST) = 1
 ), deltas_all AS (
   SELECT *, CAST(date_diff('day', launch, date) AS INTEGER) AS delta FROM first_user
 ), deltas AS (
@@ -68,12 +79,26 @@ WITH profiles AS (
          min(delta) FILTER (run * 1000 >= total * 840) AS c4
   FROM running
 ), derived AS (
-  SELECT 'Innovator' AS segment, 'SEG_TEL_NS_00008' AS segment_id,
-         CAST(NULL AS INTEGER) AS lo, c1 AS hi FROM cuts
+  SELECT 'Innovator' AS segment, 'SEG_TEL_NS_00008' AS segment_id, CAST(NULL AS INTEGER) AS lo, c1 AS hi FROM cuts
   UNION ALL SELECT 'Early_Adopter', 'SEG_TEL_NS_00009', c1 + 1, c2 FROM cuts
   UNION ALL SELECT 'Early_Majority', 'SEG_TEL_NS_00010', c2 + 1, c3 FROM cuts
   UNION ALL SELECT 'Late_Majority', 'SEG_TEL_NS_00011', c3 + 1, c4 FROM cuts
   UNION ALL SELECT 'Laggard', 'SEG_TEL_NS_00012', c4 + 1, NULL FROM cuts
+), running_monthly AS (
+  SELECT delta, sum(sum(count)) OVER (ORDER BY delta) AS run, sum(sum(count)) OVER () AS total
+  FROM histograms GROUP BY delta
+), cuts_monthly AS (
+  SELECT min(delta) FILTER (run * 1000 >= total * 25) AS c1,
+         min(delta) FILTER (run * 1000 >= total * 160) AS c2,
+         min(delta) FILTER (run * 1000 >= total * 500) AS c3,
+         min(delta) FILTER (run * 1000 >= total * 840) AS c4
+  FROM running_monthly
+), derived_monthly AS (
+  SELECT 'Innovator' AS segment, 'SEG_TEL_NS_00013' AS segment_id, CAST(NULL AS INTEGER) AS lo, c1 AS hi FROM cuts_monthly
+  UNION ALL SELECT 'Early_Adopter', 'SEG_TEL_NS_00014', c1 + 1, c2 FROM cuts_monthly
+  UNION ALL SELECT 'Early_Majority', 'SEG_TEL_NS_00015', c2 + 1, c3 FROM cuts_monthly
+  UNION ALL SELECT 'Late_Majority', 'SEG_TEL_NS_00016', c3 + 1, c4 FROM cuts_monthly
+  UNION ALL SELECT 'Laggard', 'SEG_TEL_NS_00017', c4 + 1, NULL FROM cuts_monthly
 )
 """
 
@@ -86,7 +111,7 @@ SELECT '202109' AS quarter, 'samsung_high_end_phones' AS adoption_type, ifa,
 FROM {source} WHERE {condition}"""
 
 
-# Segment, id and condition of each band, stated apart from the package's own tables.
+# Segment, id and condition of each band, stated apart from the package's tables.
 _MY = [
     ("Innovator", "SEG_TEL_NS_00008", "delta < 7"),
     ("Early_Adopter", "SEG_TEL_NS_00009", "delta BETWEEN 7 AND 108"),
@@ -114,7 +139,22 @@ def _union(source: str, bands: list[tuple[str, str, str]]) -> str:
     return "\nUNION ALL".join(_segment(source, *band) for band in bands)
 
 
+def _inside(source: str, bands: str) -> str:
+    """Segments of derived bands, by a join on their limits."""
+    return f"""
+SELECT '202109' AS quarter, 'samsung_high_end_phones' AS adoption_type, ifa,
+       segment_id, segment, 'Brand#1' AS device_brand,
+       name AS device_name, launch AS launch_date, first_seen, delta
+FROM {source} JOIN {bands} ON (lo IS NULL OR delta >= lo) AND (hi IS NULL OR delta <= hi)"""
+
+
+def _labelled(datamart: str) -> str:
+    return f"""SELECT '202201' AS quarter, 'uptake' AS adoption_type, ifa, segment_id, segment,
+       'any' AS device_brand, device_name, launch_date, first_seen, delta FROM ({datamart})"""
+
+
 _DATAMART = _union("deltas", _MY)
+_CODED = _union("monthly", _ID_AS_CODED)
 _BAND_KEYS = ["innovator", "early_adopter", "early_majority", "late_majority", "laggard"]
 
 _SELECTS = {
@@ -146,7 +186,8 @@ _SELECTS = {
     "fill_not_detected": "SELECT ifa, first_seen, brand, name FROM filled",
     "enrich_device_left": "SELECT ifa, first_seen, brand, name FROM filled",
     "enrich_device": "SELECT ifa, first_seen, brand, name FROM filled WHERE brand = 'Brand#1'",
-    "filter_brand": "SELECT ifa, first_seen, brand, name FROM filled WHERE brand = 'Brand#1'",
+    "filter_brand": """SELECT ifa, first_seen, brand, name FROM filled
+         WHERE brand = 'Not Detected'""",
     "launch_dimension": "SELECT name, launch FROM launches",
     "join_launch_inner": """SELECT ifa, first_seen, filled.name AS name, launch
          FROM filled JOIN launches ON filled.name = launches.name WHERE brand = 'Brand#1'""",
@@ -155,8 +196,9 @@ _SELECTS = {
          FROM first_month""",
     "launch_delta": "SELECT ifa, name, launch, first_seen, date, delta FROM deltas_all",
     "filter_nonnegative_delta": "SELECT ifa, name, launch, first_seen, date, delta FROM deltas",
-    "delta_histogram": "SELECT delta, count FROM histogram ORDER BY delta",
-    "delta_row_histogram": "SELECT delta, count(ifa) AS count FROM deltas GROUP BY delta",
+    "delta_histogram": """SELECT delta, count(DISTINCT ifa) AS count FROM monthly
+         GROUP BY delta ORDER BY delta""",
+    "delta_row_histogram": "SELECT delta, count(ifa) AS count FROM monthly GROUP BY delta",
     "delta_histogram_monthly": "SELECT month, delta, count FROM histograms ORDER BY month, delta",
     "combine_histograms": """SELECT delta, CAST(sum(count) AS BIGINT) AS sum_count
          FROM histograms GROUP BY delta ORDER BY delta""",
@@ -165,21 +207,25 @@ _SELECTS = {
         f"segment_{key}": _segment("deltas", *band)
         for key, band in zip(_BAND_KEYS, _MY, strict=True)
     },
-    "label_segments": _DATAMART,
+    "label_segments": _labelled(_DATAMART),
     "segment_union": _DATAMART,
     "segment_datamart": _DATAMART,
     "segment_datamart_overlap": _union("deltas", _ID_AS_CODED),
     "segment_datamart_monthly": _union("monthly", _ID_DOCUMENTED),
-    "segment_datamart_derived": """
-SELECT '202109' AS quarter, 'samsung_high_end_phones' AS adoption_type, ifa,
-       segment_id, segment, 'Brand#1' AS device_brand,
-       name AS device_name, launch AS launch_date, first_seen, delta
-FROM deltas JOIN derived ON (lo IS NULL OR delta >= lo) AND (hi IS NULL OR delta <= hi)""",
+    "segment_datamart_monthly_coded": _CODED,
+    "segment_datamart_derived": _inside("deltas", "derived"),
     "segment_audit": f"""SELECT segment, count(ifa) AS n_rows, count(DISTINCT ifa) AS n_users
-         FROM ({_DATAMART}) GROUP BY segment""",
+         FROM ({_CODED}) GROUP BY segment""",
     "datamart_totals": f"""SELECT count(ifa) AS n_rows, count(DISTINCT ifa) AS n_users
-         FROM ({_DATAMART})""",
-    "distinct_users": f"SELECT DISTINCT ifa FROM ({_DATAMART})",
+         FROM ({_CODED})""",
+    "distinct_users": f"SELECT DISTINCT ifa FROM ({_CODED})",
+    "job_batch": _DATAMART,
+    "job_monthly_report": """SELECT delta, CAST(sum(count) AS BIGINT) AS sum_count
+         FROM histograms GROUP BY delta ORDER BY delta""",
+    "job_monthly_segments": _CODED,
+    "job_monthly_segments_derived": _inside("monthly", "derived_monthly"),
+    "job_monthly_audit": f"""SELECT segment, count(ifa) AS n_rows, count(DISTINCT ifa) AS n_users
+         FROM ({_CODED}) GROUP BY segment""",
     "preview_segment": f"SELECT * FROM ({_DATAMART}) ORDER BY delta, ifa LIMIT 5",
 }
 

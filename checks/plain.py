@@ -36,7 +36,8 @@ def plain_deltas(
         .join(launches, "name")
         .withColumn("date", F.to_date("first_seen"))
     )
-    order = Window.partitionBy(*by).orderBy("date", "first_seen", "name", "launch")
+    launch = F.col("launch").asc_nulls_last()
+    order = Window.partitionBy(*by).orderBy("date", "first_seen", "name", launch)
     ranked = launched.withColumn("rank", F.row_number().over(order))
     deltas = ranked.filter("rank = 1").withColumn("delta", F.datediff("date", "launch"))
     return deltas.filter(~F.col("delta").cast("string").like("%-%")).drop("rank", "brand")

@@ -17,7 +17,7 @@ from launchtide.operators import (
     delta_row_histogram,
     derive_bands,
     distinct_users,
-    earliest_sightings,
+    device_lookup,
     enrich,
     first_device,
     join_launches,
@@ -27,8 +27,17 @@ from launchtide.operators import (
     sightings,
 )
 from launchtide.operators.uptake import MONTH_USER, USER
-from launchtide.plans import batch_datamart, monthly_datamart, user_deltas
-from launchtide.schemas import ID_AS_CODED, ID_DOCUMENTED, MY_BANDS, NOT_DETECTED
+from launchtide.operators.sightings import on_platform
+from launchtide.plans import (
+    audit_path,
+    batch_datamart,
+    monthly_datamart,
+    run_batch,
+    run_monthly,
+    run_monthly_segments,
+    user_deltas,
+)
+from launchtide.schemas import ID_AS_CODED, ID_DOCUMENTED, MY_BANDS, NOT_DETECTED, Labels
 from launchtide.sinks import write_datamart, write_deltas, write_histograms, write_report
 from launchtide.sources import (
     read_deltas,
@@ -54,7 +63,7 @@ def _inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Dat
 
 
 def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return earliest_sightings(testmap.profiles(spark, sf_dir))
+    return sightings(testmap.profiles(spark, sf_dir))
 
 
 def _enriched(spark: SparkSession, sf_dir: str, brand: str | None = BRAND) -> DataFrame:
@@ -70,13 +79,6 @@ def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_deltas(*_inputs(spark, sf_dir), BRAND)
 
 
-def _stored_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same, written and read back where several scans follow."""
-    path = scratch(spark, "deltas")
-    _deltas(spark, sf_dir).write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def _monthly_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_deltas(*_inputs(spark, sf_dir), BRAND, MONTH_USER)
 
@@ -89,6 +91,10 @@ def _datamart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_datamart(*_inputs(spark, sf_dir), MY_BANDS, LABELS)
 
 
+def _coded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return monthly_datamart(*_inputs(spark, sf_dir), ID_AS_CODED, LABELS)
+
+
 # Scans and sinks
 
 
@@ -175,8 +181,7 @@ def explode_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_platform(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = testmap.profiles(spark, sf_dir).select("ifa", "device.*")
-    return seen.filter(F.lower("platform").like("android"))
+    return on_platform(testmap.profiles(spark, sf_dir)).select("ifa", "device.*")
 
 
 def flatten_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,17 +199,11 @@ def derive_date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Lookups
 
 
-def _left_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = testmap.raw_device_lookup(spark, sf_dir)
-    flat = _flat(spark, sf_dir)
-    return flat.join(raw, flat.device_model == raw.Model, "left").select(
-        "ifa", "first_seen", "Retail Branding", "Marketing Name"
-    )
-
-
 def rename_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    renamed = {"Retail Branding": "brand", "Marketing Name": "name"}
-    return _left_joined(spark, sf_dir).withColumnsRenamed(renamed)
+    """The renamed lookup beside each sighting, before anything is filled."""
+    flat = _flat(spark, sf_dir).select("ifa", "first_seen", F.col("device_model").alias("model"))
+    names = device_lookup(testmap.raw_device_lookup(spark, sf_dir))
+    return flat.join(names, "model", "left").select("ifa", "first_seen", "brand", "name")
 
 
 def fill_not_detected(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,7 +211,7 @@ def fill_not_detected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fill_not_detected(spark, sf_dir).drop("brand", "Release_Year", "Release_Month")
+    return _enriched(spark, sf_dir, None).drop("month", "brand", "Release_Year", "Release_Month")
 
 
 def enrich_device_left(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +223,8 @@ def enrich_device(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def filter_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_device_left(spark, sf_dir).filter(F.col("brand") == BRAND)
+    """The brand of sightings that the lookup does not have."""
+    return _enriched(spark, sf_dir, NOT_DETECTED).drop("month")
 
 
 def launch_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -261,11 +261,11 @@ def filter_nonnegative_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users_per_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delta_histogram(_deltas(spark, sf_dir))
+    return delta_histogram(_monthly_deltas(spark, sf_dir))
 
 
 def rows_per_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delta_row_histogram(_deltas(spark, sf_dir))
+    return delta_row_histogram(_monthly_deltas(spark, sf_dir))
 
 
 def delta_histogram_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -292,12 +292,13 @@ def _one_segment(number: int) -> Query:
 
 
 def label_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_segments(_deltas(spark, sf_dir), MY_BANDS, LABELS)
+    labels = Labels(quarter="202201", adoption_type="uptake", device_brand="any")
+    return assign_segments(_deltas(spark, sf_dir), MY_BANDS, labels)
 
 
 def segment_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five segments of the stored deltas, each its own scan with its band pushed down."""
-    deltas = _stored_deltas(spark, sf_dir)
+    """Five segments of the same deltas, a branch each; the shuffle by user serves all."""
+    deltas = _deltas(spark, sf_dir)
     union = assign_segments(deltas, MY_BANDS[:1], LABELS)
     for band in MY_BANDS[1:]:
         union = union.unionByName(assign_segments(deltas, [band], LABELS))
@@ -316,22 +317,67 @@ def segment_datamart_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_datamart(*_inputs(spark, sf_dir), ID_DOCUMENTED, LABELS)
 
 
+def segment_datamart_monthly_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _coded(spark, sf_dir)
+
+
 def segment_datamart_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = _stored_deltas(spark, sf_dir)
-    bands = derive_bands(delta_histogram(stored, one_row_per_user=True))
-    return assign_segments(stored, bands, LABELS)
+    deltas = _deltas(spark, sf_dir)
+    return assign_segments(deltas, derive_bands(delta_histogram(deltas, one_row_per_user=True)), LABELS)
 
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment_audit(_datamart(spark, sf_dir))
+    return segment_audit(_coded(spark, sf_dir))
 
 
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return datamart_totals(_datamart(spark, sf_dir))
+    return datamart_totals(_coded(spark, sf_dir))
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return distinct_users(_datamart(spark, sf_dir))
+    return distinct_users(_coded(spark, sf_dir))
+
+
+# The stored jobs, from files to files
+
+
+def _files(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Profiles by month and both lookups, as a job finds them."""
+    files = {name: scratch(spark, name) for name in ("lookup", "launches")}
+    testmap.raw_device_lookup(spark, sf_dir).write.csv(files["lookup"], header=True)
+    testmap.raw_launches(spark, sf_dir).write.csv(files["launches"], header=True)
+    return files | {"profiles": testmap.stored_profiles(spark, sf_dir), "country": COUNTRY, "months": ALL_MONTHS, "directory": DIRECTORY}
+
+
+def job_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_batch(
+        spark, **_files(spark, sf_dir), out=scratch(spark, "datamart"), bands=MY_BANDS, labels=LABELS
+    )
+
+
+def job_monthly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch(spark, "monthly")
+    run_monthly(spark, **_files(spark, sf_dir), out=out, brand=BRAND)
+    return spark.read.schema("delta int, sum_count bigint").csv(f"{out}/report", header=True)
+
+
+def _job_segments(spark: SparkSession, sf_dir: str, bands: tuple | None) -> str:
+    out, datamart = scratch(spark, "monthly"), scratch(spark, "datamart")
+    run_monthly(spark, **_files(spark, sf_dir), out=out, brand=BRAND)
+    run_monthly_segments(spark, out, datamart, bands, LABELS)
+    return datamart
+
+
+def job_monthly_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_job_segments(spark, sf_dir, ID_AS_CODED))
+
+
+def job_monthly_segments_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_job_segments(spark, sf_dir, None))
+
+
+def job_monthly_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(audit_path(_job_segments(spark, sf_dir, ID_AS_CODED)))
 
 
 def preview_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,9 +428,15 @@ QUERIES: dict[str, Query] = {
     "segment_datamart": segment_datamart,
     "segment_datamart_overlap": segment_datamart_overlap,
     "segment_datamart_monthly": segment_datamart_monthly,
+    "segment_datamart_monthly_coded": segment_datamart_monthly_coded,
     "segment_datamart_derived": segment_datamart_derived,
     "segment_audit": audit,
     "datamart_totals": totals,
     "distinct_users": users,
+    "job_batch": job_batch,
+    "job_monthly_report": job_monthly_report,
+    "job_monthly_segments": job_monthly_segments,
+    "job_monthly_segments_derived": job_monthly_segments_derived,
+    "job_monthly_audit": job_monthly_audit,
     "preview_segment": preview_segment,
 }

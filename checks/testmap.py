@@ -1,16 +1,18 @@
-"""The given test tables read as profiles, device lookup and launches (FIXTURES.md, 3)."""
+"""The given test tables read as profiles, device lookup and launches (FIXTURES.md, 3).
 
-from __future__ import annotations
+By fixed arithmetic on their keys some users have no id, some apps no date, some models two
+names, and some names a second, an unreadable or no launch.
+"""
 
-import tempfile
-import uuid
+from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from launchtide.functions import yyyymm
 from launchtide.operators import device_lookup, launches
 from launchtide.schemas import Labels
+from launchtide.sinks import shared_path
 
 BRAND = "Brand#1"
 LABELS = Labels(device_brand=BRAND)
@@ -18,8 +20,6 @@ COUNTRY = "XX"
 # Spark names a partition's directory after its column.
 DIRECTORY = "{country}/month={month}"
 
-_local_folders: list[tempfile.TemporaryDirectory] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,8 +29,9 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One profile per order line, as ``month, ifa, device, app``.
 
     The customer is the user and the part the device. A line has ``l_linenumber``
-    apps: one first seen at the ship date, each next one a week later. Profiles are
-    built from their own line, without a group that one customer could fill.
+    apps: one first seen at the ship date, each next one a week later; the last app of
+    every 61st order has no date, and every fiftieth customer no id. Profiles are built
+    from their own line, without a group that one customer could fill.
     """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
@@ -41,20 +42,30 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     last = F.expr("l_shipdate + make_dt_interval(7 * (l_linenumber - 1))")
     weekly = F.sequence("l_shipdate", last, F.expr("interval 7 days"))
+    undated = F.col("l_orderkey") % 61 == 0
+    seen = F.transform(weekly, lambda time, i: F.when(~undated | (i < F.size(weekly) - 1), time))
+    user = F.when(F.col("o_custkey") % 50 != 7, F.col("o_custkey")).cast("string")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         yyyymm(F.col("l_shipdate")).alias("month"),
-        F.col("o_custkey").cast("string").alias("ifa"),
+        user.alias("ifa"),
         F.struct(
             platform.alias("platform"), F.col("l_partkey").cast("string").alias("device_model")
         ).alias("device"),
-        F.arrays_zip(weekly.alias("first_seen")).alias("app"),
+        F.arrays_zip(seen.alias("first_seen")).alias("app"),
     )
 
 
 def raw_device_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parts but every tenth, as the raw device table; the gap leaves unknown models."""
-    part = table(spark, sf_dir, "part")
-    return part.filter(F.col("p_partkey") % 10 != 0).select(
+    """The parts but every tenth, as the raw device table; the gap leaves unknown models.
+
+    Every fifteenth model is listed again by a name that sorts before its own.
+    """
+    part = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 10 != 0)
+    again = part.filter(F.col("p_partkey") % 15 == 4)
+    names = part.select("p_brand", "p_name", "p_partkey").union(
+        again.select("p_brand", F.concat(F.lit("A "), "p_name"), "p_partkey")
+    )
+    return names.select(
         F.col("p_brand").alias("Retail Branding"),
         F.col("p_name").alias("Marketing Name"),
         F.col("p_partkey").cast("string").alias("Model"),
@@ -62,13 +73,32 @@ def raw_device_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_launches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A launch for each part name, a week after the launch of the part numbered before."""
-    day = F.date_add(F.lit("1995-01-01").cast("date"), (F.min("p_partkey") * 7).cast("int"))
-    return (
-        table(spark, sf_dir, "part")
-        .groupBy(F.col("p_name").alias("Name"))
-        .agg(day.cast("string").alias("Release_Date"))
-    )
+    """A launch for each part name, a week after the launch of the part numbered before.
+
+    By the name's least part number modulo 12: 3 has a second, earlier launch, 5 a second one
+    that cannot be read, 7 only one that cannot be read, 9 none. Half of the second names
+    of models were launched three days later.
+    """
+    first = table(spark, sf_dir, "part").groupBy("p_name").agg(F.min("p_partkey").alias("k"))
+    k = F.col("k")
+
+    def day(shift: int) -> Column:
+        return F.date_add(F.lit("1995-01-01").cast("date"), (k * 7 + shift).cast("int")).cast("string")
+
+    rows = first.select(
+        F.explode(
+            F.filter(
+                F.array(
+                    F.struct(F.col("p_name").alias("Name"), F.when(k % 12 == 7, "soon").when(k % 12 != 9, day(0)).alias("Release_Date")),
+                    F.when(k % 12 == 3, F.struct(F.col("p_name").alias("Name"), day(-10).alias("Release_Date"))),
+                    F.when(k % 12 == 5, F.struct(F.col("p_name").alias("Name"), F.lit("soon").alias("Release_Date"))),
+                    F.when(k % 30 == 4, F.struct(F.concat(F.lit("A "), "p_name").alias("Name"), day(3).alias("Release_Date"))),
+                ),
+                lambda row: row.isNotNull(),
+            )
+        ).alias("row")
+    )
+    return rows.select("row.*")
 
 
 def lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,19 +110,8 @@ def launch_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that every executor can reach.
-
-    It lies in the folder the session names for checkpoints. Only a session on one
-    machine that names none gets a temporary folder, which is gone when Python ends.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.TemporaryDirectory(prefix="launchtide-")
-    _local_folders.append(folder)
-    return f"{folder.name}/{name}"
+    """A new folder that every executor can reach."""
+    return shared_path(spark, name)
 
 
 def stored_profiles(spark: SparkSession, sf_dir: str) -> str:

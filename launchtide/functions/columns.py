@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,13 +26,22 @@ def yyyymm(time: Column) -> Column:
     return (F.year(time) * 100 + F.month(time)).cast("int")
 
 
-def month_of_path(path: Column) -> Column:
-    """The month named by the last six characters of a file's directory.
+def month_of_path(path: Column, directory: str = "{country}/{month}", country: str = "*") -> Column:
+    """The month in a file's path, found where ``directory`` has ``{month}``.
 
-    Serves plain ``202009`` directories as well as ``month=202009`` ones.
+    ``directory`` is the place of the profiles below their base, such as ``{country}/{month}``,
+    ``{month}/{country}`` or ``{country}/month={month}``; folders below it don't matter. A
+    path without a month there is an error that names it.
     """
-    directory = F.substring_index(F.substring_index(path, "/", -2), "/", 1)
-    return F.right(directory, F.lit(6)).cast("int")
+    if directory.count("{month}") != 1:
+        raise ValueError(f"the directory {directory!r} has to hold {{month}} once")
+    named = "[^/]*" if re.search(r"[*?\[{]", country) else re.escape(country)
+    parts = re.split(r"(\{month\}|\{country\})", directory.strip("/"))
+    known = {"{month}": r"(\d{6})", "{country}": named}
+    pattern = "^.*/" + "".join(known.get(part, re.escape(part)) for part in parts) + "/"
+    found = F.regexp_extract(path, pattern, 1)
+    missing = F.raise_error(F.concat(F.lit(f"no month where {directory} has it: "), path))
+    return F.when(found != "", found).otherwise(missing.cast("string")).cast("int")
 
 
 def within(value: Column, lo: Column | int | None, hi: Column | int | None) -> Column:

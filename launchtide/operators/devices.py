@@ -58,10 +58,8 @@ def enrich(
 
 
 def earliest_launches(launches: DataFrame) -> DataFrame:
-    """One ``name, launch`` row per name, the least launch; null where one is null."""
-    # The least of a struct, unlike the least of a date, is null where one date is.
-    least = F.min(F.struct("launch")).alias("least")
-    return launches.groupBy("name").agg(least).select("name", "least.launch")
+    """One ``name, launch`` row per name, the least readable launch; null if none is."""
+    return launches.groupBy("name").agg(F.min("launch").alias("launch"))
 
 
 def launched_models(lookup: DataFrame, launches: DataFrame, brand: str) -> DataFrame:

@@ -55,8 +55,12 @@ def derive_bands(
 
     A cut is the least delta at which the running share of ``count`` reaches a share;
     it closes one band and the next begins a day later. Names and ids are taken from
-    ``bands``, one more than there are shares.
+    ``bands``, one more than there are shares. Shares rise, and lie above 0 and up to 1:
+    one that is never reached would leave its band open, and falling ones would cross.
     """
+    exact = [Decimal(str(share)) for share in shares]
+    if any(a >= b for a, b in zip([0, *exact], exact, strict=False)) or max(exact, default=1) > 1:
+        raise ValueError(f"shares have to rise within 0 and 1, unlike {', '.join(map(str, shares))}")
     if len(bands) != len(shares) + 1:
         raise ValueError(f"{len(shares)} shares cut {len(shares) + 1} bands, not {len(bands)}")
     in_order = Window.orderBy("delta").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -71,9 +75,9 @@ def derive_bands(
     cuts = running.agg(
         *[
             F.min(
-                F.when(F.col("running") >= F.col("total") * F.lit(Decimal(share)), F.col("delta"))
+                F.when(F.col("running") >= F.col("total") * F.lit(share), F.col("delta"))
             ).alias(f"cut{i}")
-            for i, share in enumerate(shares)
+            for i, share in enumerate(exact)
         ]
     )
     rows = [

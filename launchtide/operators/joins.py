@@ -7,10 +7,14 @@ from operator import add
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 << 20
-SALTS = 32
 CELL_BYTES = 16
+#: A key with at least this share of the rows is hot; so there are at most as many as its inverse.
+HOT_SHARE = 1 / 64
+#: Salts for a key that has all rows; others get their share of them.
+SALTS = 256
 
 
 def measured_bytes(table: DataFrame) -> int:
@@ -22,6 +26,26 @@ def measured_bytes(table: DataFrame) -> int:
     return table.agg(F.sum(reduce(add, widths))).first()[0] or 0
 
 
+def fits(broadcast_bytes: int, *tables: DataFrame | None) -> bool:
+    """Whether one of the tables, measured in turn, is small enough to broadcast."""
+    return any(measured_bytes(t) <= broadcast_bytes for t in tables if t is not None)
+
+
+def hot_keys(facts: DataFrame, on: str) -> DataFrame:
+    """``<on>, salts``: keys that hold much of ``facts``, at most ``1 / HOT_SHARE`` of them.
+
+    Rows are counted by key, which is combined before its shuffle.
+    """
+    counts = facts.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("n"))
+    total = facts.count()
+    hot = counts.filter(F.col("n") >= max(1, total * HOT_SHARE)).withColumn(
+        "salts", F.ceil(F.col("n") * SALTS / max(total, 1)).cast("int")
+    )
+    rows = [tuple(row) for row in hot.select(on, "salts").collect()]
+    schema = T.StructType([facts.schema[on], T.StructField("salts", T.IntegerType())])
+    return facts.sparkSession.createDataFrame(rows, schema)
+
+
 def join_lookup(
     facts: DataFrame,
     lookup: DataFrame,
@@ -36,17 +60,22 @@ def join_lookup(
     shuffled. Where a lookup takes work to make, ``bound`` names a table that is no
     smaller and is measured first; the lookup itself only if that is too large.
 
-    A larger lookup is shuffled with a salt beside the key, so that a key holding much
-    of ``facts`` (or a null key) is spread over ``SALTS`` tasks, which adaptive
-    execution splits again where they are still too large. The salt is a hash of the
-    row: a task run again sends its rows to the same place.
+    A larger lookup is shuffled. Keys that hold much of ``facts`` are counted first: their
+    rows are dealt over salts in proportion to their number, in turn, so equal rows part
+    as well, and only their lookup rows are copied. Rows without a key match nothing; a
+    left join adds them back without a shuffle.
     """
-    if any(
-        measured_bytes(table) <= broadcast_bytes for table in (bound, lookup) if table is not None
-    ):
+    if fits(broadcast_bytes, bound, lookup):
         return facts.join(F.broadcast(lookup), on, how)
-    salt = F.pmod(F.xxhash64(*facts.columns), F.lit(SALTS)).cast("int")
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = facts.withColumn("salt", salt)
-    copies = lookup.withColumn("salt", every_salt)
-    return salted.join(copies, [on, "salt"], how).drop("salt")
+    hot = F.broadcast(hot_keys(facts, on))
+    turn = F.pmod(F.monotonically_increasing_id(), F.col("salts")).cast("int")
+    keyed = facts.filter(F.col(on).isNotNull())
+    salted = keyed.join(hot, on, "left").withColumn("salt", F.coalesce(turn, F.lit(0)))
+    last = F.coalesce(F.col("salts"), F.lit(1)) - 1
+    copies = lookup.join(hot, on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), last)))
+    joined = salted.drop("salts").join(copies.drop("salts"), [on, "salt"], how).drop("salt")
+    if how != "left":
+        return joined
+    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name != on]
+    unkeyed = facts.filter(F.col(on).isNull()).select(on, *(c for c in facts.columns if c != on), *added)
+    return joined.unionByName(unkeyed)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from launchtide.functions import within
 from launchtide.schemas import Band, Labels
 
+MOST_BANDS = 1000
+
 
 def _inside() -> Column:
     """Whether ``delta`` lies in the band beside it; a null limit is open."""
@@ -33,12 +35,17 @@ def _matched(deltas: DataFrame, bands: Sequence[Band]) -> DataFrame:
         return deltas.filter(within(F.col("delta"), band.lo, band.hi)).select(
             "*", F.lit(band.segment).alias("segment"), F.lit(band.segment_id).alias("segment_id")
         )
+    if not bands:
+        return deltas.select("*", F.lit("").alias("segment"), F.lit("").alias("segment_id")).limit(0)
     return deltas.select("*", F.inline(F.array(*map(_row, bands)))).filter(_inside())
 
 
-def _matched_table(deltas: DataFrame, bands: DataFrame) -> DataFrame:
-    """The same with a band table made by Spark, whose few rows are broadcast."""
-    return deltas.join(F.broadcast(bands), _inside())
+def _listed(bands: DataFrame) -> list[Band]:
+    """A band table as a list. Limits are few; a table of more is another kind of join."""
+    rows = bands.select("segment", "segment_id", "lo", "hi").limit(MOST_BANDS + 1).collect()
+    if len(rows) > MOST_BANDS:
+        raise ValueError(f"a band table has at most {MOST_BANDS} rows; give a list of Band")
+    return [Band(*row) for row in rows]
 
 
 def assign_segments(
@@ -47,11 +54,11 @@ def assign_segments(
     """The ten-column segment table: a row for each band a user's delta lies in.
 
     ``deltas`` is read once, whatever the number of bands. ``bands`` may be the table
-    made by :func:`launchtide.operators.histogram.derive_bands`. That has by its making
-    one row per band, so it is broadcast unmeasured; give any other limits as a list.
+    made by :func:`launchtide.operators.histogram.derive_bands`: its few rows are fetched,
+    which computes them, and stand as literals beside each delta like those of a list.
     """
-    matched = _matched_table if isinstance(bands, DataFrame) else _matched
-    return matched(deltas, bands).select(
+    bands = _listed(bands) if isinstance(bands, DataFrame) else bands
+    return _matched(deltas, bands).select(
         F.lit(labels.quarter).alias("quarter"),
         F.lit(labels.adoption_type).alias("adoption_type"),
         "ifa",

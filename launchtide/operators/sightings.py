@@ -12,7 +12,9 @@ FIRST, SKIP = "first", "skip"
 KEEP, DROP = "keep", "drop"
 
 
-def _on_platform(profiles: DataFrame, platform: str, null_users: str) -> DataFrame:
+def on_platform(
+    profiles: DataFrame, platform: str = PLATFORM, null_users: str = KEEP
+) -> DataFrame:
     """Profiles of one platform, whatever its case; a prefix such as ``androidtv`` is another."""
     chosen = profiles.filter(F.lower("device.platform") == platform.lower())
     return chosen.filter(F.col("ifa").isNotNull()) if null_users == DROP else chosen
@@ -32,7 +34,7 @@ def sightings(
 
     Null and empty app arrays give no row.
     """
-    exploded = _on_platform(profiles, platform, null_users).select(
+    exploded = on_platform(profiles, platform, null_users).select(
         *_leading(profiles), "device.platform", "device.device_model", F.explode("app").alias("app")
     )
     rows = exploded.withColumn("first_seen", F.col("app.first_seen")).drop("app")
@@ -54,7 +56,7 @@ def earliest_sightings(
     times = F.col("app.first_seen")
     seen = earliest(times) if null_dates == SKIP else earliest_unless_null(times)
     rows = (
-        _on_platform(profiles, platform, null_users)
+        on_platform(profiles, platform, null_users)
         .filter(F.size(times) > 0)
         .select(
             *_leading(profiles),

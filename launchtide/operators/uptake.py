@@ -25,11 +25,13 @@ def first_rows(launched: DataFrame, by: Sequence[str] = USER) -> DataFrame:
     """The earliest row of each user, or of each user and month.
 
     Undated rows come first; rows seen at the same time are ordered by name and
-    launch, so the outcome does not depend on where rows lie. Ordering by time covers
+    launch, one that cannot be read last, so the outcome does not depend on where rows lie. Ordering by time covers
     ordering by date. Spark keeps one row per key and task ahead of the shuffle, so a
     user with very many rows puts no load on one task.
     """
-    order = Window.partitionBy(*by).orderBy("first_seen", "name", "launch")
+    order = Window.partitionBy(*by).orderBy(
+        "first_seen", "name", F.col("launch").asc_nulls_last()
+    )
     return (
         launched.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") == 1)

@@ -1,7 +1,8 @@
-from launchtide.plans.jobs import run_batch, run_monthly, run_monthly_segments
+from launchtide.plans.jobs import audit_path, run_batch, run_monthly, run_monthly_segments
 from launchtide.plans.uptake import batch_datamart, monthly_datamart, user_deltas
 
 __all__ = [
+    "audit_path",
     "batch_datamart",
     "monthly_datamart",
     "run_batch",

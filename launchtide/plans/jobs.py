@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from launchtide.operators.histogram import SHARES, combine_histograms, delta_histogram, derive_bands
-from launchtide.operators.segments import assign_segments
+from launchtide.operators.segments import assign_segments, segment_audit
 from launchtide.operators.uptake import MONTH_USER
 from launchtide.plans.uptake import batch_datamart, user_deltas
 from launchtide.schemas import ID_DOCUMENTED, MY_BANDS, Band, Labels
@@ -20,6 +20,21 @@ from launchtide.sources import (
     read_profiles,
 )
 
+DIRECTORY = "{country}/{month}"
+
+
+def audit_path(datamart: str) -> str:
+    """Where the audit of a stored segment table lies: ``segment, n_rows, n_users``."""
+    return f"{datamart.rstrip('/')}-audit"
+
+
+def _audited(spark: SparkSession, datamart: DataFrame, path: str) -> DataFrame:
+    """Write a segment table, count what was written, and return it as stored."""
+    write_datamart(datamart, path)
+    stored = spark.read.parquet(path)
+    segment_audit(stored).write.mode("overwrite").parquet(audit_path(path))
+    return stored
+
 
 def run_batch(
     spark: SparkSession,
@@ -31,20 +46,21 @@ def run_batch(
     out: str,
     bands: Sequence[Band] = MY_BANDS,
     labels: Labels = Labels(),
+    directory: str = DIRECTORY,
 ) -> DataFrame:
     """Segment the users of all ``months`` together, write the table to ``out``, return it.
 
-    The months form a list or a glob of directory names.
+    The months form a list or a glob of directory names. Rows and distinct users of each
+    segment are written beside the table (:func:`audit_path`).
     """
     datamart = batch_datamart(
-        read_profiles(spark, profiles, country, months, with_month=False),
+        read_profiles(spark, profiles, country, months, directory, with_month=False),
         read_device_lookup(spark, lookup),
         read_launches(spark, launches),
         bands,
         labels,
     )
-    write_datamart(datamart, out)
-    return spark.read.parquet(out)
+    return _audited(spark, datamart, out)
 
 
 def run_monthly(
@@ -56,17 +72,23 @@ def run_monthly(
     launches: str,
     out: str,
     brand: str = Labels().device_brand,
+    directory: str = DIRECTORY,
 ) -> DataFrame:
     """Write month-wise deltas, their histograms and the combined report under ``out``.
 
-    The months are named one by one, so that one left without rows can be emptied. All
-    months go through one job. The profiles are read for the deltas only; what
+    The months are a list, of which one left without rows is emptied, or a glob, which
+    stands for the months it finds. All months go through one job. The profiles are read for the deltas only; what
     follows reads the deltas back, so a lost executor never repeats that scan. Months
     already at ``out`` stay and count in the report, which is returned.
     """
-    months = [int(month) for month in ([months] if isinstance(months, str) else months)]
+    scan = read_profiles(spark, profiles, country, months, directory)
+    named = [str(month) for month in ([months] if isinstance(months, str) else months)]
+    if all(month.isdigit() for month in named):
+        months = sorted({int(month) for month in named})
+    else:
+        months = sorted(row.month for row in scan.select("month").distinct().collect())
     deltas = user_deltas(
-        read_profiles(spark, profiles, country, months),
+        scan,
         read_device_lookup(spark, lookup),
         read_launches(spark, launches),
         brand,
@@ -92,11 +114,11 @@ def run_monthly_segments(
 ) -> DataFrame:
     """Segment the stored deltas of :func:`run_monthly`, write the table, return it.
 
-    ``bands=None`` derives the bands from the stored histograms by ``shares``.
+    ``bands=None`` derives the bands from the stored histograms by ``shares``. The audit is
+    written beside the table (:func:`audit_path`).
     """
     if bands is None:
         total = combine_histograms(read_histograms(spark, f"{out}/histograms"))
         bands = derive_bands(total, shares, ID_DOCUMENTED, count="sum_count")
     segments = assign_segments(read_deltas(spark, f"{out}/deltas"), bands, labels)
-    write_datamart(segments, datamart)
-    return spark.read.parquet(datamart)
+    return _audited(spark, segments, datamart)

@@ -1,4 +1,8 @@
-"""The whole computation, from profiles to segments, as lazy DataFrames."""
+"""The whole computation, from profiles to segments.
+
+The DataFrames are lazy but for the measuring of lookups: building one runs small jobs over
+the lookup tables, and over the profiles' models if those don't fit a broadcast.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from launchtide.operators.devices import launched_models, of_brand
-from launchtide.operators.joins import BROADCAST_BYTES, join_lookup
+from launchtide.operators.joins import BROADCAST_BYTES, fits, join_lookup
 from launchtide.operators.segments import assign_segments
 from launchtide.operators.sightings import FIRST, KEEP, earliest_sightings
 from launchtide.operators.uptake import MONTH_USER, USER, first_rows, launch_delta, non_negative
@@ -35,13 +39,13 @@ def user_deltas(
     # Each launched model is one of the brand's lookup rows with a date: these take no join.
     no_smaller = of_brand(lookup, brand).select("model", "name", F.lit("yyyy-mm-dd").alias("launch"))
     seen = earliest_sightings(profiles, null_dates=null_dates, null_users=null_users)
+    seen = seen.select(*by, "device_model", "first_seen")
+    if not fits(broadcast_bytes, no_smaller, models):
+        # Only the first of a user's sightings of a model can count; null is before all.
+        least = F.min(F.struct("first_seen")).alias("least")
+        seen = seen.groupBy(*by, "device_model").agg(least).select(*by, "device_model", "least.*")
     launched = join_lookup(
-        seen.select(*by, "device_model", "first_seen"),
-        models,
-        "device_model",
-        "inner",
-        broadcast_bytes,
-        bound=no_smaller,
+        seen, models, "device_model", "inner", broadcast_bytes, bound=no_smaller
     ).withColumn("ifa", F.coalesce("ifa", F.lit(NOT_DETECTED)))
     return non_negative(launch_delta(first_rows(launched, by)))
 

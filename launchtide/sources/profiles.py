@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,34 @@ from launchtide.functions import month_of_path
 from launchtide.schemas import PROFILE, require
 
 
+_GLOB = re.compile(r"[*?\[\]{}]")
+
+
+def _matches(glob: str) -> re.Pattern[str]:
+    """A directory glob with ``* ? [..] {a,b}`` as a pattern."""
+    known = {"*": "[^/]*", "?": "[^/]", "{": "(?:", "}": ")", ",": "|"}
+    depth, out = 0, []
+    for part in re.split(r"(\[[^\]]*\]|[*?{},])", glob):
+        depth += (part == "{") - (part == "}")
+        if part.startswith("["):
+            out.append(part.replace("[!", "[^"))
+        else:
+            out.append(known[part] if part in known and (part != "," or depth) else re.escape(part))
+    return re.compile("".join(out))
+
+
+def distinct_names(names: Iterable[str | int]) -> list[str]:
+    """Month names and globs of which no two name the same directory.
+
+    Globs become one, which finds each directory once; a name that it matches goes.
+    """
+    names = list(dict.fromkeys(str(name) for name in names))
+    globs = [name for name in names if _GLOB.search(name)]
+    known = [_matches(glob) for glob in globs]
+    plain = [n for n in names if n not in globs and not any(k.fullmatch(n) for k in known)]
+    return plain + ([globs[0] if len(globs) == 1 else "{" + ",".join(globs) + "}"] if globs else [])
+
+
 def read_profiles(
     spark: SparkSession,
     base: str,
@@ -21,15 +50,18 @@ def read_profiles(
 ) -> DataFrame:
     """Profiles of one country as ``month, ifa, device, app``, in one scan.
 
-    ``months`` is a month, a list of months, or a glob such as ``202{0*,101,102}``.
+    ``months`` is a month, a list of months, or a glob such as ``202{0*,101,102}``; one
+    named twice is read once. The month is read off the path where ``directory`` has it.
     Only the directories named are listed, so other months cost nothing. Reading
     directories rather than a glob over files spares the driver one path per file.
     Without need for the month leave it out: Spark numbers the rows of a scan whose
     file path is selected and then not used.
     """
-    names = [months] if isinstance(months, str) else list(months)
+    names = distinct_names([months] if isinstance(months, str) else months)
     paths = [f"{base}/{directory.format(country=country, month=name)}" for name in names]
-    stored = spark.read.option("pathGlobFilter", "*.parquet").parquet(*paths)
+    files = {"pathGlobFilter": "*.parquet", "recursiveFileLookup": "true"}
+    stored = spark.read.options(**files).parquet(*paths)
     require(stored.schema, PROFILE, "profile table")
-    month = [month_of_path(F.col("_metadata.file_path")).alias("month")] if with_month else []
+    path = F.col("_metadata.file_path")
+    month = [month_of_path(path, directory, country).alias("month")] if with_month else []
     return stored.select(*month, "ifa", "device", "app")

@@ -13,6 +13,7 @@ from launchtide.operators import (
     earliest_sightings,
     enrich,
     first_device,
+    first_rows,
     join_launches,
     launch_delta,
     launched_models,
@@ -179,12 +180,39 @@ def test_launched_models_choose_least_name_then_least_launch(spark):
     assert found == {
         ("m1", "x", "2020-01-01"),
         ("m2", "Not Detected", "2021-01-01"),
-        ("m3", "z", "None"),
+        ("m3", "z", "2020-01-01"),
     }
     with pytest.raises(ValueError):
         launched_models(lookup, launch, NOT_DETECTED)
 
 
+def test_an_unreadable_duplicate_launch_hides_no_user(spark):
+    lookup = spark.createDataFrame([("m", "B", "x"), ("k", "B", "y")], "model string, brand string, name string")
+    launch = spark.sql(
+        """SELECT * FROM VALUES ('x', date'2020-01-01'), ('x', null), ('y', null) AS t(name, launch)"""
+    )
+    profiles = spark.sql(
+        """SELECT ifa, named_struct('platform', 'Android', 'device_model', model) AS device,
+                  array(named_struct('first_seen', timestamp'2020-01-03')) AS app
+           FROM VALUES ('u', 'm'), ('v', 'k') AS t(ifa, model)"""
+    )
+    assert deltas_of(user_deltas(profiles, lookup, launch, "B")) == {"u": 2}
+    by_app = first_device(enrich(sightings(profiles), lookup, "B"), launch)
+    assert deltas_of(launch_delta(by_app)) == {"u": 2, "v": None}
+    joined = join_launches(enrich(sightings(profiles), lookup, "B"), launch)
+    assert {(row.ifa, str(row.launch)) for row in first_rows(joined).collect()} == {
+        ("u", "2020-01-01"), ("v", "None"),
+    }
+
+
+def test_a_band_table_may_not_be_long_and_no_bands_give_no_rows(spark, inputs):
+    deltas = user_deltas(*inputs)
+    long = spark.range(1001).selectExpr("'s' AS segment", "'i' AS segment_id", "int(id) AS lo", "int(id) AS hi")
+    with pytest.raises(ValueError, match="1000"):
+        assign_segments(deltas, long)
+    assert assign_segments(deltas, []).count() == 0
+
+
 def test_unreadable_launch_dates_are_null(spark):
     raw = spark.createDataFrame(
         [("a", "2020-03-06"), ("b", "3/6/2020"), ("c", ""), ("d", None), ("e", "2020-3-6")],

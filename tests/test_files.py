@@ -13,9 +13,11 @@ from launchtide.operators import (
     derive_bands,
     device_lookup,
     launches,
+    segment_audit,
 )
 from launchtide.operators.uptake import MONTH_USER
 from launchtide.plans import (
+    audit_path,
     batch_datamart,
     monthly_datamart,
     run_batch,
@@ -84,6 +86,31 @@ def test_profiles_by_list_glob_and_single_month(spark, stored):
         counts(["202103"])
 
 
+def test_no_month_is_read_twice(spark, stored):
+    def count(months):
+        return read_profiles(spark, f"{stored}/profiles", "MY", months).count()
+
+    whole = len(edge_table.ROWS)
+    assert count(["202*", "202101"]) == count(["202{0*,101,102}", "2021*"]) == whole
+    assert count(["202101", 202101]) == count(["202101"]) < whole
+    with pytest.raises(AnalysisException):
+        count(["202101", "202103"])
+
+
+def test_the_month_may_stand_before_the_country(spark, stored, tmp_path):
+    for month in MONTHS:
+        own = read_profiles(spark, f"{stored}/profiles", "MY", [month]).drop("month")
+        own.write.parquet(f"{tmp_path}/{month}/MY/day=01")
+    turned = read_profiles(spark, str(tmp_path), "MY", "202*", "{month}/{country}")
+    straight = read_profiles(spark, f"{stored}/profiles", "MY", MONTHS)
+    assert rows(turned) == rows(straight)
+
+
+def test_only_the_named_month_is_listed(spark, stored):
+    files = read_profiles(spark, f"{stored}/profiles", "MY", ["202101"]).inputFiles()
+    assert files and all("/MY/202101/" in file for file in files)
+
+
 def test_lookups(spark, stored, inputs):
     _, lookup, launch = inputs
     assert rows(lookup) == rows(device_lookup(edge_table.raw_lookup(spark)))
@@ -152,6 +179,9 @@ def test_batch_job(spark, stored, inputs, tmp_path):
     )
     assert rows(written) == rows(batch_datamart(*inputs))
     assert {row.ifa: row.delta for row in written.collect()} == edge_table.KEPT
+    audit = spark.read.parquet(audit_path(f"{tmp_path}/datamart"))
+    assert rows(audit) == rows(segment_audit(batch_datamart(*inputs)))
+    assert sum(row.n_rows for row in audit.collect()) == len(edge_table.KEPT)
 
 
 def test_monthly_job(spark, stored, inputs, tmp_path):
@@ -169,6 +199,7 @@ def test_monthly_job(spark, stored, inputs, tmp_path):
     written = run_monthly_segments(spark, out, f"{tmp_path}/documented")
     assert rows(written) == rows(monthly_datamart(*inputs, ID_DOCUMENTED))
     coded = run_monthly_segments(spark, out, f"{tmp_path}/coded", ID_AS_CODED)
+    assert rows(spark.read.parquet(audit_path(f"{tmp_path}/coded"))) == rows(segment_audit(coded))
     assert rows(coded) == rows(monthly_datamart(*inputs, ID_AS_CODED))
     derived = run_monthly_segments(spark, out, f"{tmp_path}/derived", None)
     bands = derive_bands(total, bands=ID_DOCUMENTED, count="sum_count")
@@ -183,3 +214,10 @@ def test_monthly_job(spark, stored, inputs, tmp_path):
     )
     again = spark.read.schema("delta int, sum_count bigint").csv(f"{out}/report", header=True)
     assert rows(again) == report
+    # A glob stands for the months it finds.
+    run_monthly(
+        spark, f"{stored}/profiles", "MY", "202{0*,101,102}", f"{stored}/lookup",
+        f"{stored}/launches", f"{out}-glob",
+    )
+    globbed = spark.read.schema("delta int, sum_count bigint").csv(f"{out}-glob/report", header=True)
+    assert rows(globbed) == report

@@ -12,11 +12,12 @@ from launchtide.operators import (
     assign_segments,
     combine_histograms,
     delta_histogram,
-    earliest_sightings,
     enrich,
     first_device,
     join_launches,
     launch_delta,
+    segment_audit,
+    sightings,
 )
 from launchtide.operators.uptake import MONTH_USER
 from launchtide.plans import user_deltas
@@ -27,40 +28,46 @@ SCALES = ["sf0.001", "sf0.01", "sf0.1"]
 
 EXPECTED = {
     "sf0.001": dict(
-        android=4032, not_detected=428, launched=139, first=88, negative=12, kept=76,
-        my=[0, 3, 2, 7, 64], cuts=[42, 423, 1086, 1956],
-        monthly=123, monthly_users=82, histograms=123, combined=121, summed=123, coded=123,
+        android=16202, enriched=17359, not_detected=1740, launched=684, first=86, undated=19,
+        negative=9, kept=58, my=[0, 2, 2, 5, 49], cuts=[72, 430, 1066, 1936],
+        monthly=100, monthly_users=71, histograms=100, combined=99, summed=100, coded=101,
+        coded_rows=[1, 2, 7, 7, 84], coded_users=[1, 2, 7, 7, 64],
     ),
     "sf0.01": dict(
-        android=39954, not_detected=3967, launched=1374, first=886, negative=175, kept=711,
-        my=[2, 43, 36, 68, 562], cuts=[44, 283, 859, 1658],
-        monthly=1165, monthly_users=793, histograms=1144, combined=912, summed=1165, coded=1170,
+        android=160003, enriched=170602, not_detected=15968, launched=6767, first=869, undated=143,
+        negative=129, kept=597, my=[2, 34, 30, 60, 471], cuts=[44, 285, 869, 1676],
+        monthly=999, monthly_users=694, histograms=983, combined=810, summed=999, coded=1004,
+        coded_rows=[10, 37, 106, 58, 793], coded_users=[10, 36, 102, 55, 581],
     ),
     "sf0.1": dict(
-        android=399975, not_detected=40063, launched=14418, first=9039, negative=2145, kept=6894,
-        my=[34, 484, 423, 669, 5284], cuts=[39, 225, 811, 1618],
-        monthly=11835, monthly_users=8031, histograms=10381, combined=2396, summed=11835,
-        coded=11878,
+        android=1599269, enriched=1705793, not_detected=160916, launched=65816, first=8855,
+        undated=1716, negative=1610, kept=5529, my=[24, 382, 341, 521, 4261],
+        cuts=[39, 228, 819, 1630], monthly=9574, monthly_users=6886, histograms=8534,
+        combined=2362, summed=9574, coded=9611, coded_rows=[91, 523, 967, 635, 7395],
+        coded_users=[91, 507, 932, 623, 5689],
     ),
 }
+SEGMENTS = ["Innovator", "Early_Adopter", "Early_Majority", "Late_Majority", "Laggard"]
 
 
 @pytest.mark.parametrize("scale", SCALES)
 def test_batch(spark, scale):
     sf_dir, expected = f"{TABLES}/{scale}", EXPECTED[scale]
-    seen = earliest_sightings(testmap.profiles(spark, sf_dir))
+    seen = sightings(testmap.profiles(spark, sf_dir))
     lookup, launches = testmap.lookup(spark, sf_dir), testmap.launch_table(spark, sf_dir)
     enriched = enrich(seen, lookup)
     of_brand = enrich(seen, lookup, BRAND)
     deltas = launch_delta(first_device(of_brand, launches))
     assert seen.count() == expected["android"]
+    assert enriched.count() == expected["enriched"]
     assert enriched.filter(F.col("brand") == NOT_DETECTED).count() == expected["not_detected"]
     assert join_launches(of_brand, launches).count() == expected["launched"]
     assert deltas.count() == expected["first"]
     assert deltas.filter("delta < 0").count() == expected["negative"]
-    audit = {row.segment: row.n_rows for row in QUERIES["segment_audit"](spark, sf_dir).collect()}
-    names = ["Innovator", "Early_Adopter", "Early_Majority", "Late_Majority", "Laggard"]
-    assert [audit.get(name, 0) for name in names] == expected["my"]
+    assert deltas.filter("delta IS NULL").count() == expected["undated"]
+    datamart = QUERIES["segment_datamart"](spark, sf_dir)
+    audit = {row.segment: row.n_rows for row in segment_audit(datamart).collect()}
+    assert [audit.get(name, 0) for name in SEGMENTS] == expected["my"]
     assert sum(expected["my"]) == expected["kept"]
     cuts = [row.hi for row in QUERIES["derive_thresholds"](spark, sf_dir).collect()]
     assert cuts == [*expected["cuts"], None]
@@ -79,5 +86,9 @@ def test_monthly(spark, scale):
     assert histograms.count() == expected["histograms"]
     assert combined.count() == expected["combined"]
     assert combined.agg(F.sum("sum_count")).first()[0] == expected["summed"]
-    assert assign_segments(deltas, ID_AS_CODED, LABELS).count() == expected["coded"]
+    coded = assign_segments(deltas, ID_AS_CODED, LABELS)
+    audit = {row.segment: (row.n_rows, row.n_users) for row in segment_audit(coded).collect()}
+    assert [audit[name][0] for name in SEGMENTS] == expected["coded_rows"]
+    assert [audit[name][1] for name in SEGMENTS] == expected["coded_users"]
+    assert sum(expected["coded_rows"]) == expected["coded"]
     deltas.unpersist()

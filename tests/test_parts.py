@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from checks import testmap
 from launchtide.functions import earliest, earliest_unless_null, month_of_path, within, yyyymm
 from launchtide.schemas import DATAMART, ID_AS_CODED, ID_DOCUMENTED, MY_BANDS, PROFILE, require
+from launchtide.sources.profiles import distinct_names
 
 
 def test_earliest(spark):
@@ -36,9 +37,24 @@ def test_months(spark):
         yyyymm(F.lit("2020-09-30").cast("date")).alias("day"),
         yyyymm(F.lit("2021-12-31 23:59:59").cast("timestamp_ntz")).alias("time"),
         month_of_path(F.lit("s3a://b/monthly/MY/202009/part-0.parquet")).alias("plain"),
-        month_of_path(F.lit("file:/b/MY/month=202109/part-0.parquet")).alias("named"),
+        month_of_path(
+            F.lit("file:/b/MY/month=202109/part-0.parquet"), "{country}/month={month}", "MY"
+        ).alias("named"),
+        month_of_path(F.lit("file:/b/202108/MY/part-0.parquet"), "{month}/{country}", "MY").alias("first"),
+        month_of_path(F.lit("file:/202001/MY/202107/day=01/p.parquet"), country="MY").alias("deeper"),
     )
-    assert tuple(row.first()) == (202009, 202112, 202009, 202109)
+    assert tuple(row.first()) == (202009, 202112, 202009, 202109, 202108, 202107)
+    with pytest.raises(ValueError, match="once"):
+        month_of_path(F.lit("x"), "{country}")
+    with pytest.raises(Exception, match="no month where"):
+        spark.range(1).select(month_of_path(F.lit("file:/b/MY/x/part-0.parquet"))).collect()
+
+
+def test_month_names_that_name_a_directory_twice():
+    assert distinct_names(["202101", 202101, "202102"]) == ["202101", "202102"]
+    assert distinct_names(["2021*", "202101", "202002"]) == ["202002", "2021*"]
+    assert distinct_names(["202{0*,101}", "202101", "202102", "2020*"]) == ["202102", "{202{0*,101},2020*}"]
+    assert distinct_names(["20200[1-3]", "202004", "20200?"]) == ["{20200[1-3],20200?}"]
 
 
 def test_within(spark):
@@ -89,6 +105,9 @@ class Session:
     def get(self, name, default):
         return self.settings.get(name.replace(".", "_"), default)
 
+    def set(self, name, value):
+        self.settings[name.replace(".", "_")] = value
+
 
 def test_scratch_lies_where_the_session_says():
     shared = Session(spark_checkpoint_dir="hdfs://n/shared/", spark_master="yarn")
@@ -97,4 +116,5 @@ def test_scratch_lies_where_the_session_says():
     assert first != second
     with pytest.raises(RuntimeError):
         testmap.scratch(Session(spark_master="yarn"), "deltas")
-    assert testmap.scratch(Session(spark_master="local[2]"), "deltas").endswith("/deltas")
+    alone = Session(spark_master="local[2]")
+    assert testmap.scratch(alone, "deltas").startswith(alone.settings["spark_checkpoint_dir"])

@@ -19,7 +19,7 @@ from launchtide.operators import (
     sightings,
 )
 from launchtide.operators.devices import of_brand
-from launchtide.operators.joins import SALTS, measured_bytes
+from launchtide.operators.joins import SALTS, hot_keys, join_lookup, measured_bytes
 from launchtide.operators.uptake import MONTH_USER
 from launchtide.plans import batch_datamart, user_deltas
 from launchtide.schemas import BRAND, ID_AS_CODED, MY_BANDS
@@ -121,21 +121,50 @@ def test_stored_deltas_are_pruned_by_month_and_band(inputs, spark, tmp_path):
     assert "GreaterThanOrEqual(delta,7), LessThanOrEqual(delta,108)" in text
 
 
-def test_a_lookup_too_large_to_broadcast_is_salted(inputs, spark):
+@pytest.fixture
+def shuffled(spark):
+    """Joins as they are when nothing fits a broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_a_lookup_too_large_to_broadcast_is_shuffled(inputs, shuffled):
     profiles, lookup, _ = inputs
     seen = earliest_sightings(profiles)
     size = measured_bytes(lookup.select("model", "brand", "name"))
     assert 0 < size < 2000
     assert "BroadcastHashJoin" in plan(enrich(seen, lookup, broadcast_bytes=size))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(enrich(seen, lookup, broadcast_bytes=size - 1))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin [device_model" in text
-    assert "BroadcastHashJoin" not in text
+    text = plan(enrich(seen, lookup, broadcast_bytes=size - 1))
+    assert re.search(r"SortMergeJoin \[device_model#\d+, salt#\d+\]", text)
     assert re.search(r"Exchange hashpartitioning\(device_model#\d+, salt#\d+", text)
-    assert SALTS > 1
+
+
+def test_only_hot_keys_are_salted_and_equal_rows_part(spark, shuffled):
+    facts = spark.range(0, 30_000, 1, 4).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE string(id) END AS k", "1 AS same"
+    )
+    lookup = spark.range(0, 30_000, 1, 4).selectExpr(
+        "CASE WHEN id = 0 THEN 'hot' ELSE string(id) END AS k", "id AS value"
+    )
+    keys = {row.k: row.salts for row in hot_keys(facts, "k").collect()}
+    assert keys == {"hot": -(-SALTS * 10_000 // 30_000)}
+    joined = join_lookup(facts, lookup, "k", broadcast_bytes=-1)
+    assert joined.count() == 20_000
+    parts = joined.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) == 4 and max(row["count"] for row in parts) < 4_000
+    left = join_lookup(facts, lookup, "k", "left", broadcast_bytes=-1)
+    assert left.count() == 30_000
+    assert left.filter("k IS NULL AND value IS NULL").count() == 10_000
+    assert join_lookup(facts.limit(0), lookup, "k", broadcast_bytes=-1).count() == 0
+
+
+def test_equal_sightings_are_one_row_before_a_shuffled_join(inputs, shuffled):
+    facts = plan(user_deltas(*inputs, broadcast_bytes=-1))
+    join = facts.index("SortMergeJoin [device_model")
+    assert "partial_min(struct(first_seen" in facts[join:]
 
 
 def test_a_lookup_is_broadcast_by_its_bound_or_else_by_its_own_size(inputs, spark):

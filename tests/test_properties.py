@@ -137,6 +137,14 @@ def test_derived_bands_equal_a_running_count(inputs, shares):
     assert [band.segment for band in bands] == [band.segment for band in MY_BANDS]
 
 
+@pytest.mark.parametrize(
+    "shares", [("0.1", "0.2", "0.9", "1.5"), ("0.5", "0.4", "0.6", "0.7"), ("0", "0.2", "0.3", "0.4"), ("0.2", "0.2", "0.3", "0.4")]
+)
+def test_shares_rise_within_0_and_1(inputs, shares):
+    with pytest.raises(ValueError, match="rise"):
+        derive_bands(delta_histogram(user_deltas(*inputs, BRAND)), shares)
+
+
 def test_derived_bands_need_a_name_each(inputs):
     with pytest.raises(ValueError):
         derive_bands(delta_histogram(user_deltas(*inputs, BRAND)), ("0.5",))
