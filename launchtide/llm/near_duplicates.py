@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from launchtide.llm.minhash import signatures
 from launchtide.llm.shared import broadcast_if_small, spare, stored
 from launchtide.llm.words import mix, shingle_sets
 
+#: Members of a bucket that are held against as many others in one task.
+BLOCK = 512
 _SKETCH = "struct<n:bigint,h1:bigint,h2:bigint,signature:binary>"
 
 
@@ -100,14 +103,57 @@ def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> Dat
     )
 
 
+def _missed(members: DataFrame, nodes: DataFrame, groups: DataFrame, size: tuple[int, int], percent: int) -> DataFrame:
+    """``(low, high)``: pairs of a bucket that its star left in different components.
+
+    Of buckets that hold several components, each member that is not in the least one's is
+    held against all members, by their signatures. Both sides are cut into blocks, and two
+    blocks are a task. A pair comes out if the signatures leave its similarity possible by
+    four deviations, its sizes allow it, its components differ, and it shares no earlier
+    band.
+    """
+    rows, n_bins = size
+    n_bands = n_bins // rows
+    labelled = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    of_bucket = (
+        labelled.groupBy("key")
+        .agg(F.min(F.struct("node", "component")).alias("first"), F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("m"))
+        .filter("a < b")
+        .select("key", "m", F.col("first.component").alias("main"))
+    )
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node", "key"), blocks).cast("int")
+    every = F.sequence(F.lit(0), blocks - 1)
+    mixed = stored(labelled.join(of_bucket, "key").withColumn("own", own).withColumn("blocks", blocks), "mixed")
+    left = mixed.filter("component <> main")
+    queries = left.select("key", "band", "node", "component", "n", F.col("own").alias("a"), F.explode(every).alias("b"), F.lit(True).alias("asks"))
+    # A block is held only against blocks that hold members left over.
+    asked = left.select("key", F.col("own").alias("a")).distinct()
+    others = mixed.join(asked, "key").select("key", "band", "node", "component", "n", "a", F.col("own").alias("b"), F.lit(False).alias("asks"))
+    units = queries.union(others).join(nodes.select("node", "signature"), "node")
+    margin = percent / 100 - 4 * sqrt(percent / 100 * (1 - percent / 100) / n_bins)
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node, component, n, asks = (table.column(c).to_numpy(zero_copy_only=False) for c in ("node", "component", "n", "asks"))
+        band = table.column("band")[0].as_py()
+        signature = np.stack([np.frombuffer(row.as_py(), ">u4") for row in table.column("signature")]).astype(np.uint32)
+        one, two = np.flatnonzero(asks), np.flatnonzero(~asks)
+        low, high = [], []
+        for x in one:
+            y = two[(component[two] != component[x]) & (100 * np.minimum(n[two], n[x]) >= percent * np.maximum(n[two], n[x]))]
+            same = signature[y] == signature[x]
+            first = same[:, : n_bands * rows].reshape(-1, n_bands, rows).all(axis=2).argmax(axis=1)
+            y = y[(same.mean(axis=1) >= margin) & (first == band)]
+            low.append(np.minimum(node[y], node[x]))
+            high.append(np.maximum(node[y], node[x]))
+        return pa.table({"low": np.concatenate(low or [node[:0]]), "high": np.concatenate(high or [node[:0]])})
+
+    return units.groupBy("key", "a", "b").applyInArrow(compare, "low bigint, high bigint").distinct()
+
+
 def near_duplicates(
-    docs: DataFrame,
-    *,
-    size: int = 5,
-    percent: int = 80,
-    n_bins: int = 128,
-    rows: int = 5,
-    rounds: int = 2,
+    docs: DataFrame, *, size: int = 5, percent: int = 80, n_bins: int = 128, rows: int = 4
 ) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
@@ -118,10 +164,11 @@ def near_duplicates(
 
     Documents with equal sets become one node before any pair is made. Each node puts its
     signature in ``n_bins // rows`` buckets. Every bucket ties its members to its least
-    one, and the pairs are confirmed on full sets. Buckets that still hold members of
-    several components then tie those that are left, ``rounds`` times in all, so that a
-    pair is not lost because neither is near the least member. At similarity 0.8 a
-    pair shares no bucket with chance (1 - 0.8^5)^25 = 5e-5.
+    one, and the pairs are confirmed on full sets. That settles nearly all buckets; where
+    one still holds several components, the members left over are held against the others
+    by their signatures (:func:`_missed`) and what is possible is confirmed, so a pair is
+    not lost because neither is near the least member. At similarity 0.8 a pair shares no
+    bucket with chance (1 - 0.8^4)^32 = 5e-8, more for sets of few shingles.
 
     A text that is null, empty or without words has no shingles and links with nothing;
     so does a document without doc_id, whose component is null and which is kept. Rows
@@ -144,20 +191,13 @@ def near_duplicates(
         F.xxhash64(F.lit(k), F.substring("signature", 1 + 4 * rows * k, 4 * rows))
         for k in range(n_bins // rows)
     ]
-    alone = nodes.select(F.explode(F.array(*bands)).alias("key"), "node", "n")
-    edges = stored(star_edges(alone, percent), "edges")
+    members = nodes.select("node", "n", F.posexplode(F.array(*bands)).alias("band", "key"))
+    edges = stored(star_edges(members, percent), "edges")
     links = stored(_same_id(known, nodes).union(_verified(docs, edges, size, percent)), "links")
     groups = components(links)
-    for _ in range(1, rounds):
-        alone = stored(_left_over(alone, groups), "alone")
-        edges = stored(star_edges(alone, percent), "edges")
-        if edges.isEmpty():
-            break
-        more = stored(_verified(docs, edges, size, percent), "links")
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        groups = components(links)
+    missed = stored(_missed(members, nodes, groups, (rows, n_bins), percent), "missed")
+    if not missed.isEmpty():
+        groups = components(links.union(_verified(docs, missed, size, percent)))
     return _labelled(sketch, nodes, groups)
 
 
@@ -172,24 +212,6 @@ def _same_id(known: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def _left_over(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """Of buckets that hold several components, the members not in that of the least one."""
-    labelled = members.join(groups, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    first = (
-        labelled.groupBy("key")
-        .agg(
-            F.min(F.struct("node", "component")).alias("first"),
-            F.min("component").alias("a"),
-            F.max("component").alias("b"),
-        )
-        .filter("a < b")
-        .select("key", F.col("first.component").alias("other"))
-    )
-    return labelled.join(first, "key").filter("component <> other").select("key", "node", "n")
-
-
 def _labelled(sketch: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
     """Components of nodes brought back to the documents of their classes."""
     classes = (

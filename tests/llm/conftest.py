@@ -1,0 +1,79 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+WORDS = [f"w{i}" for i in range(400)] + ["ärger", "naïve", "日本", "Über"]
+
+
+def prose(rng: random.Random, n: int) -> str:
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+@pytest.fixture(scope="session")
+def edge_rows():
+    """Nulls, empty and blank texts, ties, repeated rows and ids, and one very long text."""
+    rng = random.Random(5)
+    base = prose(rng, 60)
+    return [
+        (1, base, "en", "a"),
+        (2, base, "en", "a"),
+        (3, base + " more", "en", None),
+        (4, None, None, None),
+        (5, "", "en", "b"),
+        (6, " \t\n ", "en", "b"),
+        (7, "one", "fr", "b"),
+        (8, "ONE", "fr", "c"),
+        (9, "one two three", "de", "c"),
+        (10, "é" * 3 + "\x00 nul\x0b\x85tab", "de", "a"),
+        (10, "é" * 3 + "\x00 nul\x0b\x85tab", "de", "a"),
+        (11, prose(rng, 40_000), "en", "a"),
+        (12, "x" * 300_000, "en", "d"),
+        (None, base, "en", "a"),
+        (None, prose(rng, 30), None, None),
+        (13, prose(rng, 80), "en", "b"),
+        (13, prose(rng, 80), "en", "b"),
+    ]
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark, edge_rows):
+    """With columns whose names clash with those that operators make."""
+    rows = [(*row, 99, "z", 0.5, True) for row in edge_rows]
+    schema = (
+        "doc_id bigint, text string, lang string, source string, size int, KEPT string, "
+        "score double, kept_id boolean"
+    )
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(edge_docs):
+    return edge_docs.limit(0)
+
+
+@pytest.fixture(scope="session")
+def edge_labels(spark):
+    rows = [(1, 1, 0), (2, 1, 0), (2, 0, 1), (7, 0, 1), (9, 1, None), (11, None, 0), (None, 1, 1), (500, 0, 0)]
+    return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int").repartition(2)
+
+
+@pytest.fixture(scope="session")
+def copies(spark):
+    """Prose with a hot group of copies, near copies in chains, and a hot source."""
+    rng = random.Random(11)
+    rows = []
+    hot = prose(rng, 50).split()
+    for k in range(400):
+        if k % 3 == 0:
+            words = list(hot)
+            for _ in range(rng.choice([0, 0, 0, 1, 2])):
+                words[rng.randrange(len(words))] = rng.choice(WORDS)
+        elif k % 3 == 1 and rows:
+            words = rng.choice(rows)[1].split()
+            words[rng.randrange(len(words))] = rng.choice(WORDS)
+        else:
+            words = prose(rng, rng.randrange(1, 90)).split()
+        rows.append((k, " ".join(words), "en", "hot" if k % 3 == 0 else f"s{k % 7}"))
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(4)
