@@ -80,17 +80,20 @@ def star_edges(members: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> DataFrame:
-    """The edges whose whole shingle sets are similar enough."""
-    ends = stored(
-        edges.select(F.explode(F.array("low", "high")).alias("doc_id")).distinct(), "ends"
-    )
-    sets = stored(
+def _sets(docs: DataFrame, ends: DataFrame, size: int) -> DataFrame:
+    """``node, set``: the whole shingle sets of the documents named in a stored table."""
+    return stored(
         docs.join(broadcast_if_small(ends), "doc_id", "left_semi")
         .select(F.col("doc_id").alias("node"), setter(size)("text").alias("set"))
         .distinct(),
         "sets",
     )
+
+
+def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> DataFrame:
+    """The edges whose whole shingle sets are similar enough."""
+    ends = edges.select(F.explode(F.array("low", "high")).alias("doc_id")).distinct()
+    sets = _sets(docs, stored(ends, "ends"), size)
     low = sets.select(F.col("node").alias("low"), F.col("set").alias("low_set"))
     high = sets.select(F.col("node").alias("high"), F.col("set").alias("high_set"))
     common = F.size(F.array_intersect("low_set", "high_set"))
@@ -103,16 +106,16 @@ def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> Dat
     )
 
 
-def _missed(members: DataFrame, nodes: DataFrame, groups: DataFrame, size: tuple[int, int], percent: int) -> DataFrame:
-    """``(low, high)``: pairs of a bucket that its star left in different components.
+def _missed(docs: DataFrame, members: DataFrame, nodes: DataFrame, groups: DataFrame, size: int, percent: int, n_bins: int, rows: int) -> DataFrame:
+    """``(low, high)``: links between members of a bucket in different components.
 
-    Of buckets that hold several components, each member that is not in the least one's is
-    held against all members, by their signatures. Both sides are cut into blocks, and two
-    blocks are a task. A pair comes out if the signatures leave its similarity possible by
-    four deviations, its sizes allow it, its components differ, and it shares no earlier
-    band.
+    Of buckets that hold several components after their stars, each member that is not in
+    the least one's is held against all members. Both sides are cut into blocks, and two
+    blocks are a task. Signatures tell first which members may have a partner: by four
+    deviations, by size, in another component, and in no earlier band. Only those come back
+    with their whole sets, which decide. Neither step gives out pairs: the first names
+    members, the second one link for each member and component it reaches.
     """
-    rows, n_bins = size
     n_bands = n_bins // rows
     labelled = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of_bucket = (
@@ -123,33 +126,58 @@ def _missed(members: DataFrame, nodes: DataFrame, groups: DataFrame, size: tuple
     )
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node", "key"), blocks).cast("int")
-    every = F.sequence(F.lit(0), blocks - 1)
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b")
     mixed = stored(labelled.join(of_bucket, "key").withColumn("own", own).withColumn("blocks", blocks), "mixed")
     left = mixed.filter("component <> main")
-    queries = left.select("key", "band", "node", "component", "n", F.col("own").alias("a"), F.explode(every).alias("b"), F.lit(True).alias("asks"))
+    columns = ["key", "band", "node", "component", "n"]
+    asking = left.select(*columns, F.col("own").alias("a"), every, F.lit(True).alias("asks"))
     # A block is held only against blocks that hold members left over.
     asked = left.select("key", F.col("own").alias("a")).distinct()
-    others = mixed.join(asked, "key").select("key", "band", "node", "component", "n", "a", F.col("own").alias("b"), F.lit(False).alias("asks"))
-    units = queries.union(others).join(nodes.select("node", "signature"), "node")
+    others = mixed.join(asked, "key").select(*columns, "a", F.col("own").alias("b"), F.lit(False).alias("asks"))
+    units = asking.union(others).join(nodes.select("node", "signature"), "node")
     margin = percent / 100 - 4 * sqrt(percent / 100 * (1 - percent / 100) / n_bins)
+    schema = "key bigint, band int, node bigint, component bigint, n bigint, a int, b int, asks boolean, signature binary"
 
-    def compare(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        node, component, n, asks = (table.column(c).to_numpy(zero_copy_only=False) for c in ("node", "component", "n", "asks"))
+    def partners(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+        """For each asking row, the rows that signatures leave possible."""
+        component, n, asks = (table.column(c).to_numpy(zero_copy_only=False) for c in ("component", "n", "asks"))
         band = table.column("band")[0].as_py()
         signature = np.stack([np.frombuffer(row.as_py(), ">u4") for row in table.column("signature")]).astype(np.uint32)
-        one, two = np.flatnonzero(asks), np.flatnonzero(~asks)
-        low, high = [], []
-        for x in one:
+        two = np.flatnonzero(~asks)
+        for x in np.flatnonzero(asks):
             y = two[(component[two] != component[x]) & (100 * np.minimum(n[two], n[x]) >= percent * np.maximum(n[two], n[x]))]
             same = signature[y] == signature[x]
             first = same[:, : n_bands * rows].reshape(-1, n_bands, rows).all(axis=2).argmax(axis=1)
-            y = y[(same.mean(axis=1) >= margin) & (first == band)]
-            low.append(np.minimum(node[y], node[x]))
-            high.append(np.maximum(node[y], node[x]))
-        return pa.table({"low": np.concatenate(low or [node[:0]]), "high": np.concatenate(high or [node[:0]])})
+            yield x, y[(same.mean(axis=1) >= margin) & (first == band)]
+
+    def possible(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        named = np.zeros(table.num_rows, bool)
+        for x, y in partners(table):
+            named[y] = True
+            named[x] |= len(y) > 0
+        return table.filter(pa.array(named))
 
-    return units.groupBy("key", "a", "b").applyInArrow(compare, "low bigint, high bigint").distinct()
+    def confirmed(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        node, component = (table.column(c).to_numpy() for c in ("node", "component"))
+        sets = [row.values.to_numpy() for row in table.column("set")]
+        low, high = [], []
+        for x, y in partners(table):
+            reached = set()
+            for k in y:
+                if component[k] not in reached:
+                    common = len(np.intersect1d(sets[x], sets[k], assume_unique=True))
+                    if 100 * common >= percent * (len(sets[x]) + len(sets[k]) - common):
+                        reached.add(component[k])
+                        low.append(min(node[x], node[k]))
+                        high.append(max(node[x], node[k]))
+        return pa.table({"low": pa.array(low, pa.int64()), "high": pa.array(high, pa.int64())})
+
+    named = stored(units.select(*(x.split()[0] for x in schema.split(", "))).groupBy("key", "a", "b").applyInArrow(possible, schema), "possible")
+    sets = _sets(docs, stored(named.select(F.col("node").alias("doc_id")).distinct(), "ends"), size)
+    pairs = named.join(sets, "node").groupBy("key", "a", "b").applyInArrow(confirmed, "low bigint, high bigint")
+    return pairs.distinct()
 
 
 def near_duplicates(
@@ -166,8 +194,7 @@ def near_duplicates(
     signature in ``n_bins // rows`` buckets. Every bucket ties its members to its least
     one, and the pairs are confirmed on full sets. That settles nearly all buckets; where
     one still holds several components, the members left over are held against the others
-    by their signatures (:func:`_missed`) and what is possible is confirmed, so a pair is
-    not lost because neither is near the least member. At similarity 0.8 a pair shares no
+    (:func:`_missed`), so a pair is not lost because neither is near the least member. At similarity 0.8 a pair shares no
     bucket with chance (1 - 0.8^4)^32 = 5e-8, more for sets of few shingles.
 
     A text that is null, empty or without words has no shingles and links with nothing;
@@ -195,9 +222,9 @@ def near_duplicates(
     edges = stored(star_edges(members, percent), "edges")
     links = stored(_same_id(known, nodes).union(_verified(docs, edges, size, percent)), "links")
     groups = components(links)
-    missed = stored(_missed(members, nodes, groups, (rows, n_bins), percent), "missed")
+    missed = stored(_missed(docs, members, nodes, groups, size, percent, n_bins, rows), "missed")
     if not missed.isEmpty():
-        groups = components(links.union(_verified(docs, missed, size, percent)))
+        groups = components(links.union(missed))
     return _labelled(sketch, nodes, groups)
 
 

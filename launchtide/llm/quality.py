@@ -40,11 +40,16 @@ class Network:
 
 @dataclass
 class Batch:
-    """Texts laid in one line, with gaps; where their cells begin and how many they have."""
+    """Texts laid in one line, with gaps, and how many cells each has.
+
+    ``bounds`` are where cells begin, and after a text's last one where its gap does;
+    ``is_cell`` tells them apart.
+    """
 
     symbols: np.ndarray
-    starts: np.ndarray
     cells: np.ndarray
+    bounds: np.ndarray
+    is_cell: np.ndarray
 
 
 def lay_out(texts: list[np.ndarray]) -> Batch:
@@ -62,10 +67,19 @@ def lay_out(texts: list[np.ndarray]) -> Batch:
     symbols = line.astype(np.int16)
     symbols[:-3][seen] += 256
     symbols[line == 0] = 0
+    return Batch(symbols, *_bounds(begin, sizes))
+
+
+def _bounds(begin: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells of texts, and where they and the gaps after them begin."""
     cells = np.maximum(-(-sizes // CELL), 1)
-    first = np.repeat(begin, cells)
-    place = np.arange(len(first)) - np.repeat(np.cumsum(cells) - cells, cells)
-    return Batch(symbols, first + place * CELL, cells)
+    last = np.cumsum(cells + 1) - 1
+    place = np.arange(int(last[-1]) + 1) - np.repeat(last - cells, cells + 1)
+    bounds = np.repeat(begin, cells + 1) + place * CELL
+    bounds[last] = begin + np.maximum(sizes, 1)
+    is_cell = np.ones(len(bounds), bool)
+    is_cell[last] = False
+    return cells, bounds, is_cell
 
 
 def convolve(net: Network, symbols: np.ndarray) -> np.ndarray:
@@ -79,7 +93,7 @@ def convolve(net: Network, symbols: np.ndarray) -> np.ndarray:
 
 def pooled(net: Network, batch: Batch, out: np.ndarray):
     """Greatest activation by cell, by chunk; their mean and greatest by text."""
-    cell = np.maximum.reduceat(out, batch.starts, axis=0) + net.bias
+    cell = np.maximum.reduceat(out, batch.bounds, axis=0)[batch.is_cell] + net.bias
     np.maximum(cell, 0, out=cell)
     last = np.cumsum(batch.cells) - 1
     chunk = cell.copy()
@@ -121,13 +135,11 @@ def score_long(net: Network, text: np.ndarray) -> float:
             break
         before = max(at * CELL - GAP, 0)
         after = min(until * CELL + WIDTH, len(text))
-        line = np.concatenate([np.zeros(GAP if not at else 0, np.uint8), text[before:after], np.zeros(GAP if after == len(text) else 0, np.uint8)])
+        line = text[before:after]
         batch = lay_out([line])
-        symbols = batch.symbols[GAP:]
-        out = convolve(net, symbols)
-        part = Batch(symbols, GAP + np.arange(until - at) * CELL, np.array([until - at]))
-        stop = len(out) if until == n_cells else GAP + (until - at) * CELL
-        _, own, number, features = pooled(net, part, out[:stop])
+        own_begin = np.array([GAP + at * CELL - before])
+        part = Batch(batch.symbols, *_bounds(own_begin, np.array([min(until * CELL, len(text)) - at * CELL])))
+        _, _, number, features = pooled(net, part, convolve(net, batch.symbols))
         total += features[0, :FILTERS] * number[0]
         most = np.maximum(most, features[0, FILTERS:])
         count += int(number[0])
@@ -173,10 +185,12 @@ def fit_network(texts: list[np.ndarray], labels: np.ndarray, *, epochs: int = 10
             to_cell[cell <= 0] = 0
             grads[1] = to_cell.sum(axis=0)
             # To the place in the cell where the filter said most.
-            cell_of = np.zeros(len(out), np.int64)
-            cell_of[batch.starts] = 1
-            cell_of = np.cumsum(cell_of) - 1
-            peak = np.maximum.reduceat(out, batch.starts, axis=0)
+            part_of = np.zeros(len(out), np.int64)
+            part_of[batch.bounds] = 1
+            part_of = np.cumsum(part_of) - 1
+            number = np.where(batch.is_cell, np.cumsum(batch.is_cell) - 1, -1)
+            cell_of = np.where(part_of >= 0, number[part_of], -1)
+            peak = np.maximum.reduceat(out, batch.bounds, axis=0)[batch.is_cell]
             place, which = np.nonzero((out == peak[cell_of]) & (to_cell != 0)[cell_of] & (cell_of >= 0)[:, None])
             first = np.unique(cell_of[place] * FILTERS + which, return_index=True)[1]
             place, which = place[first], which[first]

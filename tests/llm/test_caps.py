@@ -1,0 +1,89 @@
+"""Cap filters: all pairs on hot clusters, recall at the threshold, and edges."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from launchtide.llm import caps
+from launchtide.llm.caps import codebook, decode, near_vectors
+
+
+def brute_force(ids, vectors, threshold=0.95):
+    n = len(ids)
+    label = np.arange(n)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T >= threshold - 1e-12
+    for _ in range(n):
+        new = np.where(near, label[None], n).min(axis=1)
+        if (new == label).all():
+            break
+        label = new
+    ids = np.array(ids)
+    least = {k: ids[label == k].min() for k in np.unique(label)}
+    return {i: (int(near[k].sum()) - 1, int(least[label[k]])) for k, i in enumerate(ids.tolist())}
+
+
+def test_equals_all_pairs_on_clusters(spark, monkeypatch):
+    monkeypatch.setattr(caps, "BLOCK", 64)
+    draw = np.random.Generator(np.random.PCG64(3))
+    centers = draw.standard_normal((60, 32))
+    hot = centers[0] + 0.08 * draw.standard_normal((220, 32))
+    rest = centers[draw.integers(0, 60, 250)] + 0.1 * draw.standard_normal((250, 32))
+    vectors = np.concatenate([hot, rest, rest[:20], 3 * rest[20:40]])
+    ids = draw.permutation(len(vectors)).tolist()
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, vectors, strict=True)], "vec_id bigint, embedding array<double>").repartition(3)
+    found = {r.vec_id: r for r in near_vectors(frame).collect()}
+    wanted = brute_force(ids, vectors)
+    assert {i: r.component_id for i, r in found.items()} == {i: c for i, (_, c) in wanted.items()}
+    links = sum(n for n, _ in wanted.values())
+    assert 0.99 * links <= sum(r.n_links for r in found.values()) <= links
+    assert all(found[i].n_links <= n for i, (n, _) in wanted.items())
+    assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
+
+
+@pytest.mark.parametrize("codes", [32, 128, 512])
+def test_recall_at_the_threshold(codes):
+    draw = np.random.Generator(np.random.PCG64(4))
+    a = draw.standard_normal((800, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = draw.standard_normal((800, 64))
+    b -= a * (a * b).sum(axis=1, keepdims=True)
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    book = codebook(64, codes, 10)
+    one, two = decode(a, book, 24, 8), decode(b, book, 24, 8)
+    assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(one, two, strict=True)]) > 0.95
+
+
+def test_decoding_lists_every_direction_above_the_cap():
+    draw = np.random.Generator(np.random.PCG64(5))
+    x = draw.standard_normal((20, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rotation, left, right = book = codebook(16, 32, 1)
+    turned = x @ rotation
+    scores = (turned[:, :8] @ left.T)[:, :, None] + (turned[:, 8:] @ right.T)[:, None, :]
+    for own, score in zip(decode(x, book, 20, 4), scores.reshape(20, -1), strict=True):
+        assert (np.sort(np.argsort(-score)[: len(own)]) == own).all() and len(own) >= 4
+
+
+def test_edges(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 0.0, 0.0], "x", 1), (2, [1.0, 0.0, 0.0], "x", 1), (3, [2.0, 0.0, 0.0], "x", 1),
+        (4, [0.0, 0.0, 0.0], "x", 1), (5, None, "x", 1), (6, [nan, 1.0, 0.0], "x", 1),
+        (7, [inf, 1.0, 0.0], "x", 1), (8, [None, 1.0, 0.0], "x", 1), (9, [], "x", 1),
+        (10, [1.0, 0.0], "x", 1), (11, [1e-30, 0.0, 0.0], "x", 1), (12, [1e300, 1e300, 0.0], "x", 1),
+        (None, [1.0, 0.0, 0.0], "x", 1), (13, [0.0, 1.0, 0.0], "x", 1), (13, [0.0, 0.0, 1.0], "x", 1),
+        (14, [0.0, 0.0, 0.0], "x", 1),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, component string, N_LINKS int")
+    found = near_vectors(frame).collect()
+    assert len(found) == len(rows)
+    by_id = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in found if r.vec_id not in (None, 13)}
+    assert by_id == {
+        1: (3, 1, True), 2: (3, 1, False), 3: (3, 1, False), 11: (3, 1, False),
+        **{k: (0, k, True) for k in (4, 5, 6, 7, 8, 9, 10, 12, 14)},
+    }
+    assert [(r.n_links, r.component_id, r.kept) for r in found if r.vec_id is None] == [(0, None, True)]
+    assert [(r.n_links, r.component_id) for r in found if r.vec_id == 13] == [(0, 13), (0, 13)]
+    assert near_vectors(frame.limit(0)).count() == 0

@@ -1,0 +1,129 @@
+"""Toxicity and quality: held-out accuracy, independence of batches, and edges."""
+
+from __future__ import annotations
+
+import random
+from zlib import crc32
+
+import numpy as np
+import pytest
+
+from launchtide.llm.quality import (
+    PIECE,
+    drop_low_quality,
+    fit_network,
+    score_batch,
+    score_long,
+    score_quality,
+)
+from launchtide.llm.toxicity import Rows, drop_toxic, fit_chain, predict_chain, score_toxicity
+from tests.llm.conftest import prose
+
+BAD = ["grobnik", "pfuiteufel", "snarfle"]
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng = random.Random(7)
+    docs, labels = [], []
+    for k in range(900):
+        toxic, good = rng.random() < 0.15, rng.random() < 0.8
+        words = prose(rng, rng.randrange(20, 120)).split()
+        if toxic:
+            for _ in range(2):
+                words.insert(rng.randrange(len(words)), rng.choice(BAD) + rng.choice(["", "s", "ed"]))
+        if not good:
+            junk = rng.choice(["caps", "pipes", "repeat"])
+            words = (
+                [w.upper() + "!!" for w in words] if junk == "caps"
+                else [x for w in words for x in (w, "|")] if junk == "pipes"
+                else [w for w in words[:10] for _ in range(12)]
+            )
+        docs.append((k, " ".join(words), rng.choice(["en", "de", None]), "s"))
+        labels.append((k, int(good), int(toxic)))
+    return (
+        spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string").repartition(4),
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").repartition(2),
+    )
+
+
+def held(k):
+    return crc32(str(k).encode()) % 3 == 1
+
+
+def test_toxicity_of_held_out_rows(labelled):
+    docs, labels = labelled
+    known = labels.filter("crc32(cast(doc_id as string)) % 3 <> 1")
+    found = {row.doc_id: row for row in score_toxicity(docs, known).collect()}
+    truth = {row.doc_id: row.toxic == 1 for row in labels.collect()}
+    right = [found[k].rejected == truth[k] for k in truth if held(k)]
+    assert np.mean(right) > 0.97
+    kept = drop_toxic(docs, known)
+    assert kept.columns == docs.columns
+    assert {row.doc_id for row in kept.collect()} == {k for k, row in found.items() if not row.rejected}
+    again = {row.doc_id: row.toxic for row in score_toxicity(docs.repartition(7), known.repartition(3)).collect()}
+    assert all(again[k] == pytest.approx(row.toxic, abs=1e-12) for k, row in found.items())
+
+
+def test_a_chain_feeds_on_what_came_before():
+    # The second label is the first one's opposite half the time a third thing tells it.
+    rng = np.random.Generator(np.random.PCG64(2))
+    first = rng.random(600) < 0.5
+    lists = [np.array([0, 2] if a else [1, 2]) for a in first]
+    rows = Rows(np.concatenate(lists), np.arange(0, 1201, 2))
+    labels = np.column_stack([first, first]).astype(int)
+    models = fit_chain(rows, labels, np.arange(600) % 4, 3)
+    assert len(models[0][1]) == 0 and len(models[1][1]) == 1
+    assert models[1][1][0] > 0.1
+    said = predict_chain(rows, models)
+    assert ((said >= 0.5) == labels).all()
+
+
+def test_toxicity_edges(edge_docs, edge_rows, edge_labels, no_docs):
+    found = score_toxicity(edge_docs, edge_labels).collect()
+    assert len(found) == len(edge_rows) and all(0 <= row.toxic <= 1 for row in found)
+    assert len({row.toxic for row in found if row.doc_id in (4, 5, 6)}) == 1
+    nothing = score_toxicity(edge_docs, edge_labels.limit(0)).collect()
+    assert len(nothing) == len(edge_rows) and not any(row.rejected for row in nothing)
+    assert score_toxicity(no_docs, edge_labels).count() == 0
+    assert drop_toxic(edge_docs, edge_labels.limit(0)).count() == len(edge_rows)
+    assert drop_toxic(edge_docs, edge_labels).columns == edge_docs.columns
+
+
+def test_quality_of_held_out_rows(labelled):
+    docs, labels = labelled
+    found = {row.doc_id: row for row in score_quality(docs, labels).collect()}
+    truth = {row.doc_id: row.quality for row in labels.collect()}
+    assert all(row.held_out == held(k) and row.predicted == int(row.score >= 0.5) for k, row in found.items())
+    assert np.mean([found[k].predicted == truth[k] for k in truth if held(k)]) > 0.97
+    turned = docs.withColumn("lang", docs.source).repartition(9)
+    again = {row.doc_id: row.score for row in score_quality(turned, labels.repartition(3)).collect()}
+    assert all(again[k] == pytest.approx(row.score, abs=1e-6) for k, row in found.items())
+    # Labels of held-out rows say nothing to the network.
+    flipped = labels.selectExpr("doc_id", "IF(crc32(cast(doc_id as string)) % 3 = 1, 1 - quality, quality) AS quality", "toxic")
+    other = {row.doc_id: row.score for row in score_quality(docs, flipped).collect()}
+    assert all(other[k] == pytest.approx(row.score, abs=1e-9) for k, row in found.items())
+    kept = drop_low_quality(docs, labels)
+    assert kept.columns == docs.columns
+    assert kept.count() == sum(row.predicted for row in found.values())
+
+
+def test_quality_edges(edge_docs, edge_rows, edge_labels, no_docs):
+    found = score_quality(edge_docs, edge_labels).collect()
+    assert len(found) == len(edge_rows) and all(0 <= row.score <= 1 for row in found)
+    assert len({row.score for row in found if row.doc_id in (4, 5)}) == 1
+    assert not any(row.held_out for row in found if row.doc_id is None)
+    assert {row.predicted for row in score_quality(edge_docs, edge_labels.limit(0)).collect()} == {1}
+    assert score_quality(no_docs, edge_labels).count() == 0
+    assert drop_low_quality(edge_docs, edge_labels.limit(0)).columns == edge_docs.columns
+
+
+def test_scores_do_not_depend_on_neighbours_or_pieces():
+    rng = random.Random(4)
+    texts = [np.frombuffer(prose(rng, n).encode(), np.uint8) for n in (1, 3, 30, 31, 200, 900, 2, 50)]
+    net = fit_network(texts, np.array([0, 1, 1, 0, 1, 1, 0, 1.0]), epochs=1)
+    together = score_batch(net, texts)
+    assert together == pytest.approx([score_batch(net, [t])[0] for t in texts], abs=1e-6)
+    for n in (PIECE - 1, PIECE, PIECE + 1, 2 * PIECE + 5, 3 * PIECE + 129):
+        long = np.frombuffer((prose(rng, n // 4) * 2).encode(), np.uint8)[:n]
+        assert score_long(net, long) == pytest.approx(score_batch(net, [long])[0], abs=1e-4)
