@@ -154,7 +154,7 @@ def fit_network(texts: list[np.ndarray], labels: np.ndarray, *, epochs: int = 10
     net = Network(tables.astype(np.float32), np.zeros(FILTERS, np.float32), draw.standard_normal(2 * FILTERS) * 0.1, 0.0)
     share = (labels.sum() + 0.5) / (len(labels) + 1) if len(labels) else 1 - 1e-3
     net.head_bias = float(np.log(share / (1 - share)))
-    if labels.min(initial=1) == labels.max(initial=0):
+    if not len(labels) or labels.min() == labels.max():
         net.head[:] = 0
         return net
     held = [net.tables, net.bias, net.head, np.array([net.head_bias])]

@@ -40,15 +40,15 @@ def gram_buckets(data: np.ndarray, offsets: np.ndarray) -> list[tuple[np.ndarray
 
     With them comes where each row's n-grams begin. Letters are bytes, A-Z lower-cased, and
     anything but letters, digits and non-ASCII bytes is one kind of gap, so that a word's
-    first and last letters show. Each row has a gap before it and several after it, so no
-    n-gram reaches from one into another.
+    first and last letters show. A gap as long as the longest n-gram stands before each
+    row and after the last, so no n-gram reaches from one row into another.
     """
     reach = max(GRAMS)
     n_rows = len(offsets) - 1
     begin = offsets + np.arange(n_rows + 1) * reach
     line = np.full(int(begin[-1]) + reach, 32, np.uint8)
     for row, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
-        at = a + row * reach + 1
+        at = a + (row + 1) * reach
         line[at : at + b - a] = data[a:b]
     line = _LETTER[line].astype(np.uint32)
     end = int(begin[-1])
@@ -120,7 +120,7 @@ def fit_linear(rows: Rows, dense: np.ndarray, label: np.ndarray, n: int, steps:
     """
     share = (label.sum() + 0.5) / (len(label) + 1)
     w, d, bias = np.zeros(n), np.zeros(dense.shape[1]), float(np.log(share / (1 - share)))
-    if label.min(initial=1) == label.max(initial=0):
+    if not len(label) or label.min() == label.max():
         return w, d, bias
     # The step that the curvature of a mean row allows.
     rate = 4 / (1 + dense.shape[1] + len(rows.index) / len(label))
