@@ -111,13 +111,12 @@ def parse(html: str) -> Node:
         end, tag = match[1], match[2] or match[4]
         if end:
             end = end.lower()
-            if end == "p" or end not in INLINE or end == "a":
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == end:
-                        cut(k)
-                        break
-                    if end in INLINE and not stack[k].inline:
-                        break
+            for k in range(len(stack) - 1, 0, -1):
+                if stack[k].tag == end:
+                    cut(k)
+                    break
+                if end in INLINE and not stack[k].inline:
+                    break
             continue
         if not tag:
             continue
@@ -132,8 +131,6 @@ def parse(html: str) -> Node:
             continue
         if tag in ("html", "head", "body"):
             continue
-        if tag in INLINE and tag != "a" and not raw.strip():
-            continue
         if tag not in INLINE:
             ends = ENDED_BY.get(tag)
             for k in range(len(stack) - 1, 0, -1):
