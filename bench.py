@@ -51,7 +51,7 @@ FILES = 32
 
 
 def stored_inputs(spark: SparkSession, sf_dir: str, copies: int, skewed: bool) -> str:
-    """Profiles below a new base, by country and month, each month in several files."""
+    """Profiles below a new base, by country and month, each month in ``FILES`` files."""
     profiles = testmap.profiles(spark, sf_dir).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
     profiles = profiles.withColumn("ifa", F.concat_ws("-", "copy", "ifa")).drop("copy")
     if skewed:
@@ -62,14 +62,15 @@ def stored_inputs(spark: SparkSession, sf_dir: str, copies: int, skewed: bool) -
             {"ifa": F.when(~hot, F.col("ifa")), "device": F.when(hot, device).otherwise(F.col("device")), "app": F.when(hot, app).otherwise(F.col("app"))}
         )
     base = testmap.scratch(spark, "bench")
-    quarter = (F.col("month") / 100).cast("int") * 100 + 1
-    profiles.withColumn("month", quarter).repartition(FILES).write.partitionBy("month").parquet(f"{base}/{testmap.COUNTRY}")
+    # A directory a year keeps the files large.
+    year = (F.col("month") / 100).cast("int") * 100 + 1
+    profiles.withColumn("month", year).repartition(FILES).write.partitionBy("month").parquet(f"{base}/{testmap.COUNTRY}")
     return base
 
 
 def plans(spark: SparkSession, sf_dir: str, base: str) -> dict[str, Callable[[], DataFrame]]:
     def read(with_month: bool = False) -> DataFrame:
-        return read_profiles(spark, base, testmap.COUNTRY, "month=*", testmap.DIRECTORY, with_month)
+        return read_profiles(spark, base, testmap.COUNTRY, "*", testmap.DIRECTORY, with_month)
 
     lookup, launches = testmap.lookup(spark, sf_dir), testmap.launch_table(spark, sf_dir)
     brand, labels = testmap.BRAND, testmap.LABELS
