@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from launchtide.llm.shared import spare, stored
 from launchtide.llm.words import LOWER, pieces, texts_of
@@ -74,15 +75,26 @@ def distinct_buckets(column: pa.Array) -> Iterator[list[np.ndarray]]:
         yield [np.unique(np.concatenate([g[x[r] : x[r + 1]] for g, x in found])) for r in range(b - a)]
 
 
-def _bucketer():
-    def buckets(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            lists = [own.view(np.int32) for part in distinct_buckets(column) for own in part]
-            ends = np.cumsum([0, *map(len, lists)])
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *lists])))
+def with_buckets(docs: DataFrame) -> DataFrame:
+    """``docs`` with the distinct buckets of ``text``, an array, in place of it.
+
+    Rows come out a piece at a time, as their buckets are larger than the texts.
+    """
+    at = docs.columns.index("text")
+    schema = T.StructType(docs.schema.fields[:at] + docs.schema.fields[at + 1 :]).add("buckets", T.ArrayType(T.IntegerType()))
+
+    def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            others = batch.drop_columns(["text"])
+            row = 0
+            for part in distinct_buckets(batch.column(at)):
+                ends = np.cumsum([0, *map(len, part)])
+                values = np.concatenate([np.zeros(0, np.uint32), *part]).view(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+                yield others.slice(row, len(part)).append_column("buckets", lists)
+                row += len(part)
 
-    buckets.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(buckets, "array<int>")
+    return docs.mapInArrow(replace, schema)
 
 
 @dataclass
@@ -184,15 +196,13 @@ def fit_toxicity(
     ).agg(F.max("toxic").alias("toxic"))
     chosen = known.orderBy(F.xxhash64("label_id"), "label_id").limit(fit_rows)
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-    sample = stored(
-        text.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select(
-            "doc_id",
-            _bucketer()("text").alias("buckets"),
-            F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold"),
-            *(F.coalesce(F.expr(rule).cast("int"), F.lit(0)).alias(f"c{k}") for k, (_, rule) in enumerate(categories)),
-        ),
-        "sample",
+    drawn = text.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select(
+        "doc_id",
+        "text",
+        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold"),
+        *(F.coalesce(F.expr(rule).cast("int"), F.lit(0)).alias(f"c{k}") for k, (_, rule) in enumerate(categories)),
     )
+    sample = stored(with_buckets(drawn), "sample")
     names = [f"c{k}" for k in range(len(categories))]
     totals = sample.agg(F.count("*"), *(F.sum(c) for c in names)).first()
     table = np.full(1 << BITS, -1, np.int16)

@@ -1,7 +1,7 @@
 """Words and shingles of many texts at once, as 64-bit hashes in numpy arrays.
 
 Texts come as Arrow columns; their UTF-8 bytes are read in place, in pieces of about
-two MB, so memory does not grow with a batch. Equal words have equal hashes wherever
+half a MB, so memory does not grow with a batch. Equal words have equal hashes wherever
 they stand. Two different words or shingles share a hash with chance 2^-64.
 """
 
@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 21
+PIECE = 1 << 19
 #: An odd multiplier and its inverse modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
