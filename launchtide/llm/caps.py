@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
-from statistics import NormalDist
+from math import ceil, log2, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +16,10 @@ from launchtide.llm.shared import stored
 
 #: Vectors of one filter that are compared in one task at a time.
 BLOCK = 1024
+#: Codes of a half up to which a vector's caps need not grow in number.
+FEW_CODES = 1 << 7
+#: Greatest cosine of a cap's edge with its direction. Narrower caps part vectors at the threshold.
+NARROWEST = 0.8
 _FOUND = "node bigint, links bigint, least bigint"
 
 
@@ -32,6 +35,40 @@ def codebook(dimension: int, codes: int, seed: int) -> tuple[np.ndarray, np.ndar
     return rotation, *(h / np.maximum(np.linalg.norm(h, axis=1, keepdims=True), 1e-12) for h in halves)
 
 
+def cap_height(book: tuple, filters: float) -> float:
+    """The height that ``filters`` directions exceed on average, by the products of random vectors.
+
+    Sums of two products have shorter tails than a normal distribution, so it is not
+    taken from one: lists would shrink as the codes grow.
+    """
+    rotation, left, right = book
+    sample = np.random.Generator(np.random.PCG64(len(rotation))).standard_normal((64, len(rotation)))
+    turned = sample / np.linalg.norm(sample, axis=1, keepdims=True) @ rotation
+    a = turned[:, : left.shape[1]] @ left.T
+    b = np.sort(turned[:, left.shape[1] :] @ right.T, axis=1)
+    low, high = -2.0, 2.0
+    for _ in range(40):
+        middle = (low + high) / 2
+        above = sum(int((len(y) - np.searchsorted(y, middle - x[x >= middle - y[-1]])).sum()) for x, y in zip(a, b, strict=True))
+        low, high = (middle, high) if above >= filters * len(sample) else (low, middle)
+    return high
+
+
+def raised(codes: int, filters: float, least: int) -> tuple[float, int]:
+    """``filters`` and ``least`` for so many codes: more directions part two vectors more often."""
+    growth = max(1.0, log2(codes) / log2(FEW_CODES))
+    return filters * growth, ceil(least * growth**2)
+
+
+def fitting_book(dimension: int, codes: int, seed: int, filters: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A codebook of at most so many codes, fewer if its caps would be narrower than ``NARROWEST``."""
+    book = codebook(dimension, codes, seed)
+    while codes > 1 and cap_height(book, min(raised(codes, filters, 1)[0], codes**2 / 2)) > NARROWEST * sqrt(2):
+        codes //= 2
+        book = codebook(dimension, codes, seed)
+    return book
+
+
 def decode(unit: np.ndarray, book: tuple, filters: float, least: int) -> list[np.ndarray]:
     """All filters whose direction exceeds the cap's height, for each unit vector, sorted.
 
@@ -45,7 +82,7 @@ def decode(unit: np.ndarray, book: tuple, filters: float, least: int) -> list[np
     turned = unit @ rotation
     a = turned[:, : left.shape[1]] @ left.T
     b = turned[:, left.shape[1] :] @ right.T
-    height = NormalDist().inv_cdf(1 - min(0.5, filters / codes**2)) * sqrt(2 / unit.shape[1])
+    height = cap_height(book, min(filters, codes**2 / 2))
     lists = []
     for x, y in zip(a, b, strict=True):
         i, j = np.argsort(-x), np.argsort(-y)
@@ -114,12 +151,14 @@ def near_vectors(
 
     Equal vectors are one node. Each node is decoded to all filter directions it exceeds
     (:func:`decode`), about ``filters`` of ``codes ** 2``, where the codes grow with the
-    root of the number of nodes, so a filter holds about as many at any size. Nodes that
+    root of the number of nodes, so a filter holds about as many at any size. Beyond
+    ``FEW_CODES``, ``filters`` and ``least`` grow with the codes (:func:`raised`). Nodes that
     meet in a filter are compared in full. A filter with more than ``BLOCK`` nodes is cut
     into blocks, and every two blocks are a task. A pair that meets in several filters is
     counted in the first. What leaves a task is one row per node, with its links and the
-    least node it is tied to there, never the pairs. All vectors are indexed; two at the
-    threshold share a filter with a chance above 0.98 (``tests/llm`` measures it).
+    least node it is tied to there, never the pairs. All vectors are indexed; two at a
+    threshold of 0.95 share a filter with a chance above 0.97 at any number of codes
+    (``tests/llm`` measures it).
 
     A vector that is null, empty, zero, or holds null or non-finite numbers links with
     nothing, and vectors of unequal length don't link. A row without vec_id links with
@@ -156,8 +195,9 @@ def near_vectors(
                 own = own / np.abs(own).max(axis=1, keepdims=True)
                 own /= np.linalg.norm(own, axis=1, keepdims=True)
                 if int(d) not in books:
-                    books[int(d)] = codebook(int(d), codes, seed)
-                for r, found in zip(rows, decode(own, books[int(d)], filters, least), strict=True):
+                    books[int(d)] = fitting_book(int(d), codes, seed, filters)
+                book = books[int(d)]
+                for r, found in zip(rows, decode(own, book, *raised(len(book[1]), filters, least)), strict=True):
                     keys[r] = found + int(d) * codes**2
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), v, pa.array(keys, pa.list_(pa.int64()))],

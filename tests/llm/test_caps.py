@@ -55,6 +55,21 @@ def test_recall_at_the_threshold(codes):
     assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(one, two, strict=True)]) > 0.95
 
 
+@pytest.mark.parametrize("dimension, codes", [(3, 16384), (8, 16384), (32, 16384), *((64, n) for n in (32, 128, 512, 2048, 8192, 16384))])
+def test_recall_at_the_threshold_holds_as_codes_grow(dimension, codes):
+    draw = np.random.Generator(np.random.PCG64(6))
+    a = draw.standard_normal((800, dimension))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = draw.standard_normal((800, dimension))
+    b -= a * (a * b).sum(axis=1, keepdims=True)
+    b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    book = caps.fitting_book(dimension, codes, 10, 24)
+    filters, least = caps.raised(len(book[1]), 24, 8)
+    one, two = decode(a, book, filters, least), decode(b, book, filters, least)
+    assert np.mean([len(np.intersect1d(x, y)) > 0 for x, y in zip(one, two, strict=True)]) > 0.97
+    assert 0.7 * filters < np.mean([len(x) for x in one]) < 1.5 * filters
+
+
 def test_decoding_lists_every_direction_above_the_cap():
     draw = np.random.Generator(np.random.PCG64(5))
     x = draw.standard_normal((20, 16))
