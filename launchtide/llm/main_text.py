@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from zlib import crc32
@@ -26,7 +27,7 @@ REFERENCES = 16
 #: Pages that must agree on a text outside an article, and inside one, to make it template.
 OUTSIDE, INSIDE = 2, 8
 AGREEING = 0.9
-#: Elements deeper than this are taken as children of one at this depth.
+#: Blocks deeper than this are laid in page order into the one at this depth, or a deeper article.
 DEPTH = 100
 
 # Element names of HTML by their kind.
@@ -98,20 +99,44 @@ def parse(html: str) -> Node:
     """The tree of a page. Elements that are never closed end with what holds them."""
     root = Node("root")
     stack, at, articles = [root], 0, 0
+    # Where each open element is laid, by its place in the stack; open elements by tag.
+    boxes, opened = [0], Counter()
 
     def cut(k: int) -> None:
         nonlocal articles
         articles -= sum(x.tag in ("article", "main") for x in stack[k:])
-        del stack[k:]
+        opened.subtract(x.tag for x in stack[k:])
+        del stack[k:], boxes[k:]
+
+    def box(inline: bool) -> int:
+        """Where an element is laid that begins now."""
+        top = len(stack) - 1
+        if top < DEPTH - 1:
+            return top
+        if inline:
+            return boxes[top] if top >= DEPTH and stack[top].inline else top
+        while top >= DEPTH and stack[top].tag not in ("article", "main"):
+            top = boxes[top]
+        return top
+
+    def last(k: int) -> Node:
+        """The open element at k, continued if another was laid behind it since."""
+        if k >= DEPTH:
+            holder = last(boxes[k])
+            if holder.parts[-1:] != [stack[k]]:
+                known = stack[k]
+                stack[k] = Node(known.tag, known.label, known.inline, known.dropped)
+                holder.parts.append(stack[k])
+        return stack[k]
 
     for match in iter(lambda: _TAG.search(html, at), None):
         if match.start() > at:
-            stack[-1].parts.append(html[at : match.start()])
+            last(len(stack) - 1).parts.append(html[at : match.start()])
         at = match.end()
         end, tag = match[1], match[2] or match[4]
         if end:
             end = end.lower()
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[end] else ():
                 if stack[k].tag == end:
                     cut(k)
                     break
@@ -127,13 +152,13 @@ def parse(html: str) -> Node:
             at = close.start() if close else len(html)
             continue
         if tag in VOID or raw.endswith("/") and tag not in INLINE and tag != "p":
-            stack[-1].parts.append(" " if tag in INLINE or tag in ("br", "img", "wbr") else Node(tag))
+            last(len(stack) - 1).parts.append(" " if tag in INLINE or tag in ("br", "img", "wbr") else Node(tag))
             continue
         if tag in ("html", "head", "body"):
             continue
         if tag not in INLINE:
             ends = ENDED_BY.get(tag)
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if any(opened[x] for x in ("p", *(ends or ()))) else ():
                 open_tag = stack[k].tag
                 if open_tag == "p" or (ends and open_tag in ends):
                     cut(k)
@@ -142,12 +167,15 @@ def parse(html: str) -> Node:
                 elif open_tag not in INLINE and not (ends and open_tag not in ("ul", "ol", "dl", "table", "tbody")):
                     break
         node = _element(tag, raw, articles > 0)
-        stack[-1].parts.append(node)
-        if len(stack) < DEPTH:
-            stack.append(node)
-            articles += tag in ("article", "main")
+        place = box(node.inline)
+        node.dropped |= len(stack) > DEPTH and stack[-1].dropped
+        last(place).parts.append(node)
+        stack.append(node)
+        boxes.append(place)
+        opened[tag] += 1
+        articles += tag in ("article", "main")
     if at < len(html):
-        stack[-1].parts.append(html[at:])
+        last(len(stack) - 1).parts.append(html[at:])
     return root
 
 

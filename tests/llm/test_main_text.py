@@ -58,6 +58,17 @@ def test_small_pages(html, text):
     assert main_text(parse(html)) == " ".join(text.split(" ")).strip()
 
 
+@pytest.mark.parametrize("n", [50, 96, 97, 98, 99, 100, 150, 3000])
+def test_text_around_deep_parts_keeps_its_place(n):
+    deep = "<div>" * n + "<p>in <b>side</b> it</p><nav>menu <div>more menu</div></nav>x" + "</div>" * n
+    page = f"<div><article><p>before</p>{deep}<p>after <font>it</article><p>outside</div>"
+    assert main_text(parse(page)) == "before\nin side it\nx\nafter it"
+    page = "<div>" * n + "<div>y<article><p>a</p>b<div>c</div>d</article>z</div>"
+    assert main_text(parse(page)) == "a\nb\nc\nd"
+    page = "<article>" + "<font>" * n + "<p>a</p><p>b</article><p>outside"
+    assert main_text(parse(page)) == "a\nb"
+
+
 def simple_tree_matching(a, b):
     if a.node.label != b.node.label:
         return 0
