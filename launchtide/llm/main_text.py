@@ -17,16 +17,16 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from launchtide.llm.shared import broadcast_if_small, stored
 
-#: Pages of a host that its wrapper is learned from, at most: those of the least hashes.
-REFERENCES = 16
 #: Pages that must agree on a text outside an article, and inside one, to make it template.
 OUTSIDE, INSIDE = 2, 8
 AGREEING = 0.9
+#: How deep the containers lie that tell layouts of a host apart.
+LAYOUT_DEPTH = 3
 #: Blocks deeper than this are laid in page order into the one at this depth, or a deeper article.
 DEPTH = 100
 
@@ -41,6 +41,7 @@ DROPPED = frozenset(
     "nav aside form button select option noscript template iframe svg math canvas object audio "
     "video dialog menu fieldset".split()
 )
+CONTAINERS = frozenset("div section main article header center table tbody tr td".split())
 ENDED_BY = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
 # Words in class and id that name parts which are no article text.
@@ -344,50 +345,116 @@ def align(a: Tree, b: Tree, shape: Shape) -> Iterator[tuple[Tree, Tree]]:
             yield from align(a.children[i], b.children[j], shape)
 
 
-def learn(pages: list[str]) -> str | None:
-    """The wrapper of a host from some of its pages, or nothing if no text is constant.
+def layout(root: Node) -> tuple[int, int] | None:
+    """Two hashes of a page: of its containers' label paths, and of its tree but for articles.
 
-    The page of the fewest blocks is matched with each other one. The wrapper is that
-    page's tree: label, children, and the hash of its text where that is template.
+    Nothing for a page without text.
     """
-    shape = Shape()
-    trees = sorted((Tree(parse(page), shape) for page in pages), key=Tree.count)
-    pivot, others = trees[0], trees[1:]
-    same: dict[int, int] = {}
-    for other in others:
-        for one, two in align(pivot, other, shape):
-            same[id(one)] = same.get(id(one), 0) + (one.text == two.text)
-    empty = crc32(b"")
-    constant = 0
-
-    def packed(tree: Tree) -> list:
-        nonlocal constant
-        agreeing = 1 + same.get(id(tree), 0)
-        fixed = tree.text != empty and agreeing >= (INSIDE if tree.inside else OUTSIDE) and agreeing >= AGREEING * len(trees)
-        constant += fixed
-        return [tree.node.label, tree.text if fixed else None, [packed(kid) for kid in tree.children]]
+    paths = set()
+    text = False
 
-    wrapper = packed(pivot)
-    return json.dumps(wrapper, separators=(",", ":")) if constant else None
+    def walk(at: Node, path: str, depth: int, inside: bool) -> list[int]:
+        nonlocal text
+        inner = []
+        for part in at.parts:
+            if isinstance(part, str):
+                text = text or bool(part.strip())
+            elif part.dropped:
+                continue
+            elif part.inline:
+                inner += walk(part, path, depth, inside)
+            else:
+                own = f"{path}/{part.label}" if depth <= LAYOUT_DEPTH else ""
+                if own and not inside and part.tag in CONTAINERS:
+                    paths.add(own)
+                found = walk(part, own, depth + 1, inside or part.tag in ("article", "main"))
+                if not inside:
+                    inner.append(crc32(repr((part.label, found)).encode("utf-8", "replace")))
+        return inner
+
+    skeleton = crc32(repr(walk(root, "", 1, False)).encode())
+    return (crc32("\n".join(sorted(paths)).encode("utf-8", "replace")), skeleton) if text else None
 
 
 class Wrapper:
-    """A learned wrapper as a tree to be matched."""
+    """A packed tree to be matched: label, text where that is template, hash, children."""
 
-    def __init__(self, packed: list, shape: Shape):
-        label, self.text, children = packed
-        self.children = [Wrapper(kid, shape) for kid in children]
+    def __init__(self, packed: list, shape: Shape, nodes: list[Wrapper]):
+        label, self.text, self.whole, self.inside, children = packed
+        self.number = len(nodes)
+        nodes.append(self)
+        self.children = [Wrapper(kid, shape, nodes) for kid in children]
         self.shape = shape.of(label, [kid.shape for kid in self.children])
-        self.whole = self.text if self.text is not None else -1
 
 
-def unwrap(root: Node, wrapper: str) -> None:
-    """Mark the nodes of a page that match template nodes of its host's wrapper."""
+def pack_tree(page: str) -> str:
+    """A page's tree as the pivot that other pages of its layout are matched with."""
+
+    def packed(tree: Tree) -> list:
+        return [tree.node.label, None, tree.whole, tree.inside, [packed(kid) for kid in tree.children]]
+
+    return json.dumps(packed(Tree(parse(page), Shape())), separators=(",", ":"))
+
+
+def votes(pivots: list[Wrapper], tree: Tree, shape: Shape) -> Iterator[tuple[int, int, int, bool]]:
+    """Texts that a page has where it matches a pivot: which pivot, node, text, in an article."""
+    empty = crc32(b"")
+    for k, pivot in enumerate(pivots):
+        for known, own in align(pivot, tree, shape) if pivot else ():
+            if own.text != empty:
+                yield k, known.number, own.text, known.inside or own.inside
+
+
+def template(pivot: str, texts: dict[int, int]) -> str:
+    """The wrapper: the pivot, with the hashes of those texts that are template."""
+    number = -1
+
+    def filled(packed: list) -> list:
+        nonlocal number
+        number += 1
+        label, _, whole, inside, children = packed
+        return [label, texts.get(number), whole, inside, [filled(kid) for kid in children]]
+
+    return json.dumps(filled(json.loads(pivot)), separators=(",", ":"))
+
+
+def learn(pages: list[str]) -> str | None:
+    """The wrapper of pages of one layout, or nothing if no text is constant.
+
+    As :func:`wrappers` finds it for each layout of each host: every page with text is
+    matched with the pivot, and texts are counted by its nodes.
+    """
+    found = [(page, layout(parse(page))) for page in sorted(set(pages))]
+    known = [(page, own[1]) for page, own in found if own]
+    if not known:
+        return None
+    number = Counter(skeleton for _, skeleton in known)
+    pivot = pack_tree(max(known, key=lambda x: number[x[1]])[0])
+    counts: Counter = Counter()
+    for page, _ in known:
+        shape = Shape()
+        counts.update(votes([Wrapper(json.loads(pivot), shape, [])], Tree(parse(page), shape), shape))
+    texts = {
+        node: text
+        for (_, node, text, inside), n in counts.items()
+        if n >= (INSIDE if inside else OUTSIDE) and n >= AGREEING * len(known)
+    }
+    return template(pivot, texts) if texts else None
+
+
+def unwrap(root: Node, *wrappers: str) -> None:
+    """Take out of a page the texts that its wrappers have as template in the same place."""
     shape = Shape()
-    for known, tree in align(Wrapper(json.loads(wrapper), shape), Tree(root, shape), shape):
-        if known.text is not None and known.text == tree.text:
-            # Its own text goes; what it holds besides is judged for itself.
-            tree.node.parts = [kid.node for kid in tree.children]
+    page = Tree(root, shape)
+    found = [
+        tree
+        for wrapper in wrappers
+        for known, tree in align(Wrapper(json.loads(wrapper), shape, []), page, shape)
+        if known.text is not None and known.text == tree.text
+    ]
+    for tree in found:
+        # Its own text goes; what it holds besides is judged for itself.
+        tree.node.parts = [kid.node for kid in tree.children]
 
 
 def host(url: str = "url"):
@@ -396,30 +463,91 @@ def host(url: str = "url"):
     return F.lower(found)
 
 
+def _function(each, returns: str, kind: pa.DataType, columns: int = 1):
+    """Arrow function of columns, row by row."""
+
+    def rows(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for own in batches:
+            own = own if isinstance(own, tuple) else (own,)
+            yield pa.array([each(*row) for row in zip(*(x.to_pylist() for x in own), strict=True)], kind)
+
+    taken = Iterator[pa.Array] if columns == 1 else Iterator[tuple[(pa.Array,) * columns]]
+    rows.__annotations__ = {"batches": taken, "return": Iterator[pa.Array]}
+    return F.arrow_udf(rows, returns)
+
+
+def _laid_out(html):
+    """Layout and skeleton of a page's html, null without text."""
+    kind = pa.struct([("layout", pa.int64()), ("skeleton", pa.int64())])
+
+    def each(html: str | None) -> dict | None:
+        found = html and layout(parse(html))
+        return dict(zip(("layout", "skeleton"), found, strict=True)) if found else None
+
+    return _function(each, "struct<layout:bigint,skeleton:bigint>", kind)(html)
+
+
+def _by_layout(pages: DataFrame, known: DataFrame, name: str) -> DataFrame:
+    """``pages`` with what is known of each one's host as a whole and, at hosts of several, of its layout."""
+    known = known.withColumnRenamed("host", "of")
+    whole = known.groupBy("of").agg(
+        F.max(F.when(F.col("layout") == -1, F.col(name))).alias("whole"), F.max(F.col("layout") != -1).alias("several")
+    )
+    own = known.filter("layout <> -1").select("of", F.col("layout").alias("laid"), F.col(name).alias("own"))
+    whole, own = broadcast_if_small(whole), broadcast_if_small(own)
+    pages = pages.join(whole, F.col("host") == whole["of"], "left").drop("of")
+    pages = pages.withColumn("layout", _laid_out(F.when(F.col("several"), F.col("html")))["layout"])
+    return pages.join(own, (F.col("host") == own["of"]) & (F.col("layout") == F.col("laid")), "left").drop("of", "laid")
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """``(host, wrapper)`` for hosts with a template, from at most ``REFERENCES`` pages each.
+    """``(host, layout, wrapper)`` for layouts with a template; layout -1 is a host's pages together.
+
+    A host of one layout has only the latter.
 
-    Equal pages of a host count once. The least hashes are kept by each task before the
-    shuffle, so a host with a third of all pages sends few.
+    Every distinct page with text has a say. A layout's pivot is a page of its commonest
+    skeleton, a host's that of its commonest layout. Each page is matched with both, and
+    its texts are counted by pivot node; only these counts are shuffled, combined before.
     """
-    keyed = pages.select(host().alias("host"), F.coalesce("html", F.lit("")).alias("html"), "page_id")
+    keyed = pages.select(host().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
     keyed = keyed.withColumn("hash", F.xxhash64("html"))
-    distinct = keyed.groupBy("host", "hash").agg(F.min("page_id").alias("page_id"))
-    order = Window.partitionBy("host").orderBy("hash")
-    chosen = distinct.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= REFERENCES)
-    several = F.max("place").over(Window.partitionBy("host")) >= OUTSIDE
-    chosen = stored(chosen.withColumn("several", several).filter("several"), "references")
-
-    def induce(table: pa.Table) -> pa.Table:
-        schema = pa.schema([("host", pa.string()), ("wrapper", pa.string())])
-        references = table.column("html").unique().to_pylist()
-        wrapper = learn(references) if len(references) >= OUTSIDE else None
-        rows = [] if wrapper is None else [{"host": table.column("host")[0].as_py(), "wrapper": wrapper}]
-        return pa.Table.from_pylist(rows, schema)
-
-    same = ["host", "hash", "page_id"]
-    references = keyed.join(broadcast_if_small(chosen.select(*same)), same)
-    return references.select("host", "html").groupBy("host").applyInArrow(induce, "host string, wrapper string")
+    distinct = keyed.withColumn("found", _laid_out("html")).filter("found is not null").groupBy("host", "hash").agg(F.first("found").alias("found"))
+    skeletons = distinct.groupBy("host", "found.layout", "found.skeleton").agg(F.count("*").alias("n"), F.min("hash").alias("hash"))
+    most = F.max(F.struct("n", "hash"))
+    layouts = stored(skeletons.groupBy("host", "layout").agg(F.sum("n").alias("n"), most["hash"].alias("hash")), "layouts")
+    whole = layouts.groupBy("host").agg(F.count("*").alias("k"), F.sum("n").alias("n"), most["hash"].alias("hash"))
+    several = whole.filter("k > 1").select("host").join(layouts, "host").select("host", "layout", "n", "hash")
+    chosen = several.union(whole.select("host", F.lit(-1).cast("long"), "n", "hash")).filter(F.col("n") >= OUTSIDE)
+    chosen = stored(chosen, "chosen")
+    packed = _function(pack_tree, "string", pa.string())
+    same = ["host", "hash"]
+    pivots = keyed.join(broadcast_if_small(chosen.select(*same).distinct()), same).groupBy(*same).agg(F.first("html").alias("html"))
+    pivots = stored(pivots.select(*same, packed("html").alias("pivot")).join(chosen, same).select("host", "layout", "n", "pivot"), "pivots")
+
+    def vote(html: str, *pivots: str | None) -> list[dict]:
+        shape = Shape()
+        known = [x and Wrapper(json.loads(x), shape, []) for x in pivots]
+        names = ("pivot", "node", "text", "inside")
+        return [dict(zip(names, own, strict=True)) for own in votes(known, Tree(parse(html), shape), shape)] if any(known) else []
+
+    fields = [("pivot", pa.int32()), ("node", pa.int32()), ("text", pa.int64()), ("inside", pa.bool_())]
+    says = _function(vote, "array<struct<pivot:int,node:int,text:bigint,inside:boolean>>", pa.list_(pa.struct(fields)), 3)
+    said = _by_layout(keyed, pivots, "pivot").filter("own is not null or whole is not null")
+    said = said.select(*same, "layout", says("html", "own", "whole").alias("votes"))
+    said = said.groupBy(*same).agg(F.first(F.struct("layout", "votes")).alias("page"))
+    said = said.select("host", F.col("page.layout").alias("layout"), F.explode("page.votes").alias("vote"))
+    said = said.select("host", F.when(F.col("vote.pivot") == 0, F.col("layout")).otherwise(-1).alias("layout"), "vote.node", "vote.text", "vote.inside")
+    place = ["host", "layout"]
+    counts = said.groupBy(*place, "node", "text", "inside").agg(F.count("*").alias("k"))
+    counts = counts.filter(F.col("k") >= F.when(F.col("inside"), INSIDE).otherwise(OUTSIDE))
+    agreed = counts.join(broadcast_if_small(pivots.select(*place, "n")), place).filter(F.col("k") >= AGREEING * F.col("n"))
+    agreed = agreed.groupBy(*place).agg(F.collect_list(F.struct("node", "text")).alias("texts"))
+
+    def fill(pivot: str, texts: list[dict]) -> str:
+        return template(pivot, {x["node"]: x["text"] for x in texts})
+
+    filled = _function(fill, "string", pa.string(), 2)("pivot", "texts")
+    return pivots.join(agreed, place).select(*place, filled.alias("wrapper"))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -433,8 +561,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     pages have it in the same place. A page without an article gives the blocks of its
     body that vary and are not lists of links.
 
-    Pages are read once for the wrappers' hashes and once for the text; only reference
-    pages are shuffled. Wrappers are joined by host, and broadcast if they are small.
+    Pages are parsed once for their layouts, once to count what agrees with the pivots and
+    once for the text; at hosts of several layouts, each of the latter two parses twice; only pivots, hashes and counts are shuffled. Wrappers
+    are joined by host and layout, and broadcast if they are small.
 
     A null or empty page has the empty text. Rows keep their number, also when page_ids
     repeat or are null; pages without a host share the host "". Only ``page_id, url`` and
@@ -442,22 +571,17 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     known = stored(wrappers(pages), "wrappers")
-    known = broadcast_if_small(known.withColumnRenamed("host", "of"))
-
-    def extract(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for html, wrapper in columns:
-            texts = []
-            for page, own in zip(html.to_pylist(), wrapper.to_pylist(), strict=True):
-                root = parse(page or "")
-                if own:
-                    unwrap(root, own)
-                texts.append(main_text(root))
-            yield pa.array(texts, pa.string())
-
-    extract.__annotations__ = {"columns": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
-    text = F.arrow_udf(extract, "string")
+
+    def extract(html: str, *own: str | None) -> str:
+        root = parse(html)
+        if any(own):
+            unwrap(root, *filter(None, own))
+        return main_text(root)
+
+    text = _function(extract, "string", pa.string(), 3)
+    keyed = pages.select("page_id", "url", host().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
     return (
-        pages.join(known, host() == F.col("of"), "left")
-        .select("page_id", "url", text("html", "wrapper").alias("text"))
+        _by_layout(keyed, known, "wrapper")
+        .select("page_id", "url", text("html", "own", "whole").alias("text"))
         .withColumn("n_chars", F.length("text").cast("long"))
     )

@@ -124,3 +124,22 @@ def test_query_forms_and_edges(spark):
     assert len(texts[203]) == 499_999
     assert all(r.n_chars == len(r.text) for r in found)
     assert extract_main_text(pages.limit(0)).count() == 0
+
+
+OTHER = "<section class=hello><div class=t>Shop of things</div></section><section class=b><p>Goods {k}.</p></section><section class=end>Call us.</section>"
+
+
+def test_empty_pages_and_second_layouts_leave_the_template(spark):
+    rows = [(k, f"http://a.example/{k}", BARE.format(k=k)) for k in range(6)]
+    rows += [(10, "http://a.example/e", ""), (11, "http://a.example/s", "<p>stub"), (12, "http://a.example/n", None)]
+    rows += [(100 + k, f"http://b.example/{k}", (BARE if k % 2 else OTHER).format(k=k)) for k in range(40)]
+    rows += [(200 + k, f"http://c.example/{k}", f"<div>{'Rare' if k % 5 == 0 else 'Common'} words</div><p>Page {k}.</p>") for k in range(60)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)
+    texts = {r.page_id: r.text for r in extract_main_text(pages).collect()}
+    assert len(texts) == len(rows)
+    assert all(texts[k] == f"T {k}\nBody text {k}." for k in range(6))
+    assert (texts[10], texts[11], texts[12]) == ("", "stub", "")
+    assert all(texts[100 + k] == (f"T {k}\nBody text {k}." if k % 2 else f"Goods {k}.") for k in range(40))
+    # Four fifths are not nearly all.
+    assert all(texts[200 + k].endswith(f"words\nPage {k}.") for k in range(60))
+    assert learn(["", *(BARE.format(k=k) for k in "abc")]) == learn([BARE.format(k=k) for k in "abc"])
