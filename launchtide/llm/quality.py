@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from launchtide.llm.shared import spare, stored
@@ -23,9 +23,9 @@ LAGS = 48
 GAP = 64
 #: Bytes of text that are worked on at a time.
 PIECE = 1 << 17
-#: Labelled rows that the network is fitted on, at most, and bytes of each.
+#: Labelled rows that the network is fitted on, at most, each whole. None follows once they hold so many bytes.
 FIT_ROWS = 4_000
-FIT_BYTES = 4_096
+FIT_BYTES = 64 << 20
 
 
 @dataclass
@@ -91,9 +91,26 @@ def convolve(net: Network, symbols: np.ndarray) -> np.ndarray:
     return out
 
 
-def pooled(net: Network, batch: Batch, out: np.ndarray):
+def spans(net: Network, batch: Batch) -> Iterator[tuple[slice, int, np.ndarray]]:
+    """What each filter says, some ``PIECE`` bytes of a batch at a time: bounds, begin, output."""
+    ends = np.append(batch.bounds[1:], len(batch.symbols) - WIDTH + 1)
+    at = 0
+    while at < len(batch.bounds):
+        begin = int(batch.bounds[at])
+        until = max(int(np.searchsorted(ends, begin + PIECE, "right")), at + 1)
+        yield slice(at, until), begin, convolve(net, batch.symbols[begin : int(ends[until - 1]) + WIDTH - 1])
+        at = until
+
+
+def peaks(batch: Batch, parts: Iterable[tuple[slice, int, np.ndarray]]) -> np.ndarray:
+    """The most each filter says in each cell."""
+    found = [np.maximum.reduceat(out, batch.bounds[own] - begin, axis=0) for own, begin, out in parts]
+    return np.concatenate(found)[batch.is_cell]
+
+
+def pooled(net: Network, batch: Batch, peak: np.ndarray):
     """Greatest activation by cell, by chunk; their mean and greatest by text."""
-    cell = np.maximum.reduceat(out, batch.bounds, axis=0)[batch.is_cell] + net.bias
+    cell = peak + net.bias
     np.maximum(cell, 0, out=cell)
     last = np.cumsum(batch.cells) - 1
     chunk = cell.copy()
@@ -116,7 +133,7 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def score_batch(net: Network, texts: list[np.ndarray]) -> np.ndarray:
     batch = lay_out(texts)
-    _, _, _, features = pooled(net, batch, convolve(net, batch.symbols))
+    _, _, _, features = pooled(net, batch, peaks(batch, spans(net, batch)))
     return sigmoid(features @ net.head + net.head_bias)
 
 
@@ -139,7 +156,7 @@ def score_long(net: Network, text: np.ndarray) -> float:
         batch = lay_out([line])
         own_begin = np.array([GAP + at * CELL - before])
         part = Batch(batch.symbols, *_bounds(own_begin, np.array([min(until * CELL, len(text)) - at * CELL])))
-        _, _, number, features = pooled(net, part, convolve(net, batch.symbols))
+        _, _, number, features = pooled(net, part, peaks(part, spans(net, part)))
         total += features[0, :FILTERS] * number[0]
         most = np.maximum(most, features[0, FILTERS:])
         count += int(number[0])
@@ -147,7 +164,11 @@ def score_long(net: Network, text: np.ndarray) -> float:
 
 
 def fit_network(texts: list[np.ndarray], labels: np.ndarray, *, epochs: int = 10, batch_size: int = 32, seed: int = 8) -> Network:
-    """Fit all weights by Adam on the mean logistic loss; gradients pass through the maxima."""
+    """Fit all weights by Adam on the mean logistic loss; gradients pass through the maxima.
+
+    Texts are read whole; what filters say is held for ``PIECE`` bytes at a time if a batch
+    is longer.
+    """
     draw = np.random.Generator(np.random.PCG64(seed))
     letters = draw.standard_normal((513, 8))
     tables = np.einsum("se,kef->ksf", letters, draw.standard_normal((WIDTH, 8, FILTERS))) * 0.05
@@ -165,8 +186,10 @@ def fit_network(texts: list[np.ndarray], labels: np.ndarray, *, epochs: int = 10
         for at in range(0, len(order), batch_size):
             rows = order[at : at + batch_size]
             batch = lay_out([texts[r] for r in rows])
-            out = convolve(net, batch.symbols)
-            cell, own, count, features = pooled(net, batch, out)
+            short = len(batch.symbols) <= 2 * PIECE
+            held_parts = list(spans(net, batch)) if short else None
+            peak = peaks(batch, held_parts or spans(net, batch))
+            cell, own, count, features = pooled(net, batch, peak)
             error = (sigmoid(features @ net.head + held[3][0]) - labels[rows]) / len(rows)
             grads = [np.zeros_like(net.tables), None, features.T @ error + 1e-4 * net.head, np.array([error.sum()])]
             back = np.outer(error, net.head)
@@ -185,18 +208,17 @@ def fit_network(texts: list[np.ndarray], labels: np.ndarray, *, epochs: int = 10
             to_cell[cell <= 0] = 0
             grads[1] = to_cell.sum(axis=0)
             # To the place in the cell where the filter said most.
-            part_of = np.zeros(len(out), np.int64)
-            part_of[batch.bounds] = 1
-            part_of = np.cumsum(part_of) - 1
             number = np.where(batch.is_cell, np.cumsum(batch.is_cell) - 1, -1)
-            cell_of = np.where(part_of >= 0, number[part_of], -1)
-            peak = np.maximum.reduceat(out, batch.bounds, axis=0)[batch.is_cell]
-            place, which = np.nonzero((out == peak[cell_of]) & (to_cell != 0)[cell_of] & (cell_of >= 0)[:, None])
-            first = np.unique(cell_of[place] * FILTERS + which, return_index=True)[1]
-            place, which = place[first], which[first]
-            amount = to_cell[cell_of[place], which]
-            for k in range(WIDTH):
-                np.add.at(grads[0][k], (batch.symbols[place + k], which), amount)
+            for bounds, begin, out in held_parts or spans(net, batch):
+                part_of = np.zeros(len(out), np.int64)
+                part_of[batch.bounds[bounds] - begin] = 1
+                cell_of = number[bounds][np.cumsum(part_of) - 1]
+                place, which = np.nonzero((out == peak[cell_of]) & (to_cell != 0)[cell_of] & (cell_of >= 0)[:, None])
+                first = np.unique(cell_of[place] * FILTERS + which, return_index=True)[1]
+                place, which = place[first], which[first]
+                amount = to_cell[cell_of[place], which]
+                for k in range(WIDTH):
+                    np.add.at(grads[0][k], (batch.symbols[begin + place + k], which), amount)
             step += 1
             rate = 0.01 * (1 - step / (total + 1)) + 1e-4
             for x, g, (m, v) in zip(held, grads, moments, strict=True):
@@ -212,22 +234,6 @@ def fit_network(texts: list[np.ndarray], labels: np.ndarray, *, epochs: int = 10
     return net
 
 
-def _slicer(most: int):
-    """Arrow function: up to ``most`` bytes of each text, from a place its length decides."""
-
-    def cut(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            data, offsets = texts_of(column)
-            parts = []
-            for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                at = a + (b - a) * 2654435761 % max(b - a - most, 1) if b - a > most else a
-                parts.append(data[at : min(at + most, b)].tobytes())
-            yield pa.array(parts, pa.binary())
-
-    cut.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(cut, "binary")
-
-
 def held_out(doc_id: str = "doc_id"):
     """Whether a row's label is kept from fitting: crc32 of the id as text, modulo 3, is 1."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -236,19 +242,21 @@ def held_out(doc_id: str = "doc_id"):
 def fit_quality(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS, fit_bytes: int = FIT_BYTES) -> Network:
     """Fit on at most ``fit_rows`` labelled documents that are not held out.
 
-    They are those of the least hashes of doc_id, with ``fit_bytes`` bytes of each at most;
-    nothing else reaches the driver. Rows that repeat a doc_id are one label, the lower.
+    They are those of the least hashes of doc_id, each with its whole text; the first of them
+    if together they hold more than ``fit_bytes``. Nothing else reaches the driver. Rows that repeat a doc_id are one label, the lower.
     """
     known = labels.filter("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.min("quality").alias("quality"))
     chosen = known.filter(~held_out("label_id")).orderBy(F.xxhash64("label_id"), "label_id").limit(fit_rows)
     sample = stored(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-        .select("doc_id", "quality", _slicer(fit_bytes)("text").alias("part")),
+        .select("doc_id", "quality", F.coalesce("text", F.lit("")).cast("binary").alias("part")),
         "sample",
     )
-    rows = sample.orderBy("doc_id", "part").toArrow()
-    texts = [np.frombuffer(part.as_py(), np.uint8) for part in rows.column("part")]
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "part").rowsBetween(Window.unboundedPreceding, -1)
+    sample = sample.withColumn("before", F.coalesce(F.sum(F.octet_length("part")).over(before), F.lit(0)))
+    rows = sample.filter(F.col("before") < fit_bytes).orderBy("doc_id", "part").select("quality", "part").toArrow()
+    texts = [np.frombuffer(part.as_buffer(), np.uint8) for part in rows.column("part")]
     return fit_network(texts, rows.column("quality").to_numpy().astype(float))
 
 

@@ -127,3 +127,30 @@ def test_scores_do_not_depend_on_neighbours_or_pieces():
     for n in (PIECE - 1, PIECE, PIECE + 1, 2 * PIECE + 5, 3 * PIECE + 129):
         long = np.frombuffer((prose(rng, n // 4) * 2).encode(), np.uint8)[:n]
         assert score_long(net, long) == pytest.approx(score_batch(net, [long])[0], abs=1e-4)
+
+
+def test_quality_is_fitted_on_whole_texts(spark):
+    # What makes a long text bad stands in one place, anywhere in it.
+    rng = random.Random(5)
+    docs, labels = [], []
+    for k in range(400):
+        words = prose(rng, 4000 if k % 2 else 60).split()
+        if bad := rng.random() < 0.5:
+            at = rng.randrange(len(words))
+            words[at:at] = ["#@#@ %&%& !!??"] * 3
+        docs.append((k, " ".join(words)))
+        labels.append((k, int(not bad)))
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    found = score_quality(docs, spark.createDataFrame(labels, "doc_id bigint, quality int")).collect()
+    truth = dict(labels)
+    assert np.mean([r.predicted == truth[r.doc_id] for r in found if r.held_out and r.doc_id % 2]) > 0.9
+
+
+def test_a_batch_in_pieces_fits_alike(monkeypatch):
+    rng = random.Random(9)
+    texts = [np.frombuffer(prose(rng, n).encode(), np.uint8) for n in (40, 3, 900, 200)]
+    labels = np.array([0, 1, 1, 0.0])
+    whole = fit_network(texts, labels, epochs=1)
+    monkeypatch.setattr("launchtide.llm.quality.PIECE", 300)
+    pieces = fit_network(texts, labels, epochs=1)
+    assert np.allclose(whole.tables, pieces.tables, atol=1e-4) and np.allclose(whole.head, pieces.head, atol=1e-4)
