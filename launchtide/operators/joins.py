@@ -46,6 +46,23 @@ def hot_keys(facts: DataFrame, on: str) -> DataFrame:
     return facts.sparkSession.createDataFrame(rows, schema)
 
 
+def dealt(facts: DataFrame, hot: DataFrame, on: str, distinct: bool = False) -> DataFrame:
+    """``facts`` that have a key, with ``salt``: rows of hot keys are spread over their salts.
+
+    A row's salt depends on its values and, among equal rows, on its number; never on the
+    order of rows, which may differ when a task runs again. Equal rows are counted first,
+    unless they are known to be ``distinct``.
+    """
+    columns = facts.columns
+    keyed = facts.filter(F.col(on).isNotNull()).withColumn("turn", F.lit(0))
+    if not distinct:
+        counted = keyed.groupBy(*columns).agg(F.count("*").cast("int").alias("copies"))
+        keyed = counted.select(*columns, F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("turn"))
+    start = F.pmod(F.xxhash64(*columns), F.col("salts"))
+    salt = F.pmod(start + F.col("turn"), F.col("salts")).cast("int")
+    return keyed.join(hot, on, "left").select(*columns, F.coalesce(salt, F.lit(0)).alias("salt"))
+
+
 def join_lookup(
     facts: DataFrame,
     lookup: DataFrame,
@@ -53,6 +70,7 @@ def join_lookup(
     how: str = "inner",
     broadcast_bytes: int = BROADCAST_BYTES,
     bound: DataFrame | None = None,
+    distinct: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on one column, ``inner`` or ``left``.
 
@@ -61,19 +79,18 @@ def join_lookup(
     smaller and is measured first; the lookup itself only if that is too large.
 
     A larger lookup is shuffled. Keys that hold much of ``facts`` are counted first: their
-    rows are dealt over salts in proportion to their number, in turn, so equal rows part
-    as well, and only their lookup rows are copied. Rows without a key match nothing; a
+    rows are dealt over salts in proportion to their number (:func:`dealt`), so equal rows part
+    as well, and only their lookup rows are copied. ``distinct`` tells that no two rows of
+    ``facts`` are equal, which saves counting them. Rows without a key match nothing; a
     left join adds them back without a shuffle.
     """
     if fits(broadcast_bytes, bound, lookup):
         return facts.join(F.broadcast(lookup), on, how)
     hot = F.broadcast(hot_keys(facts, on))
-    turn = F.pmod(F.monotonically_increasing_id(), F.col("salts")).cast("int")
-    keyed = facts.filter(F.col(on).isNotNull())
-    salted = keyed.join(hot, on, "left").withColumn("salt", F.coalesce(turn, F.lit(0)))
+    salted = dealt(facts, hot, on, distinct)
     last = F.coalesce(F.col("salts"), F.lit(1)) - 1
     copies = lookup.join(hot, on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), last)))
-    joined = salted.drop("salts").join(copies.drop("salts"), [on, "salt"], how).drop("salt")
+    joined = salted.join(copies.drop("salts"), [on, "salt"], how).drop("salt")
     if how != "left":
         return joined
     added = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name != on]

@@ -40,12 +40,13 @@ def user_deltas(
     no_smaller = of_brand(lookup, brand).select("model", "name", F.lit("yyyy-mm-dd").alias("launch"))
     seen = earliest_sightings(profiles, null_dates=null_dates, null_users=null_users)
     seen = seen.select(*by, "device_model", "first_seen")
-    if not fits(broadcast_bytes, no_smaller, models):
+    shuffled = not fits(broadcast_bytes, no_smaller, models)
+    if shuffled:
         # Only the first of a user's sightings of a model can count; null is before all.
         least = F.min(F.struct("first_seen")).alias("least")
         seen = seen.groupBy(*by, "device_model").agg(least).select(*by, "device_model", "least.*")
     launched = join_lookup(
-        seen, models, "device_model", "inner", broadcast_bytes, bound=no_smaller
+        seen, models, "device_model", "inner", broadcast_bytes, bound=no_smaller, distinct=shuffled
     ).withColumn("ifa", F.coalesce("ifa", F.lit(NOT_DETECTED)))
     return non_negative(launch_delta(first_rows(launched, by)))
 

@@ -19,7 +19,7 @@ from launchtide.operators import (
     sightings,
 )
 from launchtide.operators.devices import of_brand
-from launchtide.operators.joins import SALTS, hot_keys, join_lookup, measured_bytes
+from launchtide.operators.joins import SALTS, dealt, hot_keys, join_lookup, measured_bytes
 from launchtide.operators.uptake import MONTH_USER
 from launchtide.plans import batch_datamart, user_deltas
 from launchtide.schemas import BRAND, ID_AS_CODED, MY_BANDS
@@ -161,6 +161,19 @@ def test_only_hot_keys_are_salted_and_equal_rows_part(spark, shuffled):
     assert join_lookup(facts.limit(0), lookup, "k", broadcast_bytes=-1).count() == 0
 
 
+def test_salts_do_not_depend_on_the_order_of_rows(spark, inputs, shuffled):
+    facts = spark.range(0, 6_000, 1, 4).selectExpr("'hot' AS k", "id % 50 AS v")
+    hot = hot_keys(facts, "k")
+    orders = (facts, facts.orderBy(F.desc("v")), facts.repartition(7).sortWithinPartitions("v"))
+    found = [sorted(dealt(rows, hot, "k").collect()) for rows in orders]
+    assert found[0] == found[1] == found[2] and len(found[0]) == 6_000
+    assert len({row.salt for row in found[0]}) > SALTS / 2
+    alone = facts.distinct()
+    assert sorted(dealt(alone, hot, "k", True).collect()) == sorted(dealt(alone, hot, "k").collect())
+    assert "monotonically" not in plan(join_lookup(facts, facts.distinct(), "k", broadcast_bytes=-1))
+    assert "monotonically" not in plan(user_deltas(*inputs, broadcast_bytes=-1))
+
+
 def test_equal_sightings_are_one_row_before_a_shuffled_join(inputs, shuffled):
     facts = plan(user_deltas(*inputs, broadcast_bytes=-1))
     join = facts.index("SortMergeJoin [device_model")
