@@ -86,3 +86,11 @@ def test_patterns_hold_every_piece_with_little_padding():
             assert used / (sum(count for _, count in packs) * CAPACITY) > 0.98
     assert pack_lengths({}) == []
     assert pack_lengths({1: 10**12}) == [([1] * 1024, 10**12 // 1024)]
+
+
+def test_marks_of_special_tokens_are_those_of_the_library(spark):
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert plain.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    texts = [*ODD, "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x  <|endoftext|>\n\n y <|endoftext|", "é<|endoftext|>" * 1500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    check(pack(docs).collect(), list(enumerate(texts)), plain)
