@@ -29,7 +29,7 @@ from launchtide.llm.words import LOWER, mix, pieces, texts_of, words
 #: Bits of a filter at most: 16 MB. A filter never loses a key; a fuller one lets more through.
 FILTER_BITS = 27
 #: Bytes of counts a task holds before it adds them up, and gives them out if they stay many.
-HELD = 48 << 20
+HELD = 12 << 20
 
 _WORD = np.ones(256, bool)
 _WORD[[ord(c) for c in " \t.,;:!?\n\x0b\x0c\r"]] = False
