@@ -29,22 +29,30 @@ from launchtide.llm.words import LOWER, mix, pieces, texts_of, words
 #: Bits of a filter at most: 16 MB. A filter never loses a key; a fuller one lets more through.
 FILTER_BITS = 27
 #: Bytes of counts a task holds before it adds them up, and gives them out if they stay many.
-HELD = 12 << 20
+HELD = 8 << 20
 
 _WORD = np.ones(256, bool)
 _WORD[[ord(c) for c in " \t.,;:!?\n\x0b\x0c\r"]] = False
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
-_STEPS = mix(np.arange(1, 5, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+#: By how many bits the ids of a phrase's words are turned in its key.
+_TURNS = (0, 17, 34, 51)
 
 
 def _keys(ids: np.ndarray, size: int) -> np.ndarray:
     """The key of the run of ``size`` words that begins at each word."""
     n = max(len(ids) - size + 1, 0)
-    total = np.zeros(n, np.uint64)
-    for k in range(size):
-        total += ids[k : k + n] * _STEPS[k]
-    return mix(total)
+    total = ids[:n].copy()
+    for k in range(1, size):
+        own, turn = ids[k : k + n], _TURNS[k]
+        total ^= (own << np.uint64(turn)) | (own >> np.uint64(64 - turn))
+    return total
+
+
+def _key(*words: str) -> Column:
+    """The same key from columns."""
+    turned = (F.shiftleft(w, t).bitwiseOR(F.shiftrightunsigned(w, 64 - t)) if t else F.col(w) for w, t in zip(words, _TURNS))
+    return reduce(Column.bitwiseXOR, turned)
 
 
 def _sequences(batches: Iterator[pa.RecordBatch]):
@@ -104,8 +112,8 @@ class _Counts:
         return self.held > HELD // 2 and len(self.parts) == 1
 
     def out(self, names: list[str]) -> Iterator[pa.RecordBatch]:
-        for keys, columns, counts in self.parts:
-            arrays = [c if isinstance(c, pa.Array) else pa.array(c.view(np.int64)) for c in [keys, *columns]]
+        for _, columns, counts in self.parts:
+            arrays = [c if isinstance(c, pa.Array) else pa.array(c.view(np.int64)) for c in columns]
             arrays = [c.cast(pa.string()) if pa.types.is_large_string(c.type) else c for c in arrays]
             yield pa.RecordBatch.from_arrays([*arrays, pa.array(counts, pa.int64())], names)
         self.parts, self.held = [], 0
@@ -136,13 +144,13 @@ def word_counts(texts: DataFrame) -> DataFrame:
             member = _WORD[own]
             ends = np.concatenate(([0], np.cumsum(np.add.reduceat(member, begin, dtype=np.int64))))
             spelling = pa.LargeStringArray.from_buffers(len(ids), pa.py_buffer(ends), pa.py_buffer(LOWER[own[member]]))
-            counts.add(ids, [names.take(pa.array(row)).cast(pa.string()), spelling])
+            counts.add(ids, [ids, names.take(pa.array(row)).cast(pa.string()), spelling])
 
     return _summed(texts, count, "w bigint, lang string, word string, c bigint", "f")
 
 
 def pair_counts(texts: DataFrame, frequent) -> DataFrame:
-    """``k, w1, w2, a``: pairs of words that pass a filter."""
+    """``w1, w2, a``: pairs of words that pass a filter."""
 
     def count(counts, ids, goes_on, spelled):
         known = _has(frequent.value[0], ids)
@@ -150,11 +158,11 @@ def pair_counts(texts: DataFrame, frequent) -> DataFrame:
         if len(at):
             counts.add(_keys(ids, 2)[at], [ids[at], ids[at + 1]])
 
-    return _summed(texts, count, "k bigint, w1 bigint, w2 bigint, c bigint", "a")
+    return _summed(texts, count, "w1 bigint, w2 bigint, c bigint", "a")
 
 
 def triple_counts(texts: DataFrame, pairs) -> DataFrame:
-    """``k, w1, w2, w3, a``: what grows by a word from a prefix, or ends in a phrase held up
+    """``w1, w2, w3, a``: what grows by a word from a prefix, or ends in a phrase held up
     to the floor. ``pairs``: filters of all pairs that count, of prefixes, of phrases."""
 
     def count(counts, ids, goes_on, spelled):
@@ -168,11 +176,11 @@ def triple_counts(texts: DataFrame, pairs) -> DataFrame:
         if len(at):
             counts.add(_keys(ids, 3)[at], [ids[at + k] for k in range(3)])
 
-    return _summed(texts, count, "k bigint, w1 bigint, w2 bigint, w3 bigint, c bigint", "a")
+    return _summed(texts, count, "w1 bigint, w2 bigint, w3 bigint, c bigint", "a")
 
 
 def quadruple_counts(texts: DataFrame, pairs, triples) -> DataFrame:
-    """``k, w1, w2, w3, w4, a``: the same a word further, and triples that end such a phrase
+    """``w1, w2, w3, w4, a``: the same a word further, and triples that end such a phrase
     (``w4`` null), which its first cut leaves. ``pairs``: filters of all pairs that count and
     of those that end a prefix; ``triples``: filters of prefixes and phrases."""
 
@@ -193,7 +201,7 @@ def quadruple_counts(texts: DataFrame, pairs, triples) -> DataFrame:
                 last = pa.array(ids[at + 3].view(np.int64))
                 counts.add(_keys(ids, 4)[at], [*(ids[at + k] for k in range(3)), last])
 
-    return _summed(texts, count, "k bigint, w1 bigint, w2 bigint, w3 bigint, w4 bigint, c bigint", "a")
+    return _summed(texts, count, "w1 bigint, w2 bigint, w3 bigint, w4 bigint, c bigint", "a")
 
 
 def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -202,13 +210,13 @@ def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return ((bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
-def _filters(rows: DataFrame, key: str, n: int, *conditions: Column):
+def _filters(rows: DataFrame, key: Column, n: int, *conditions: Column):
     """A broadcast tuple of filters, one for the keys of the rows under each condition.
 
     Their size depends on ``n``, the number of keys, and has an upper bound.
     """
     bits = min(max(ceil(log2(n + 1)) + 4, 15), FILTER_BITS)
-    place = F.col(key).bitwiseAND((1 << bits) - 1)
+    place = key.bitwiseAND((1 << bits) - 1)
     parts = (
         rows.select(F.shiftright(place, 15).alias("part"), *(F.when(c, place.bitwiseAND(32767)).alias(f"p{i}") for i, c in enumerate(conditions)))
         .groupBy("part")
@@ -245,9 +253,9 @@ def _with(rows: DataFrame, table: DataFrame, count: str, name: str, *pairs: tupl
 
 
 def _best(rows: DataFrame, cut: Column, *words: str) -> DataFrame:
-    """``lang, k, <words>, a, l, r, score, bound``."""
+    """``lang, <words>, a, l, r, score, bound``."""
     return rows.withColumn("cut", cut).select(
-        "lang", "k", *words, "a", "cut.l", "cut.r", "cut.score", _ratio("a", "f1", "a").alias("bound")
+        "lang", *words, "a", "cut.l", "cut.r", "cut.score", _ratio("a", "f1", "a").alias("bound")
     )
 
 
@@ -272,7 +280,7 @@ def _grown(texts: DataFrame, ones: DataFrame, two: DataFrame, n_two: int, floors
     at_floor = F.col("score") >= F.col("floor")
     ahead = F.col("bound") >= F.col("floor")
     pairs = two.join(floors, "lang")
-    filters = _filters(pairs, "k", n_two, F.lit(True), ahead, at_floor)
+    filters = _filters(pairs, _key("w1", "w2"), n_two, F.lit(True), ahead, at_floor)
     counted = triple_counts(texts, filters).filter(F.col("a") >= least)
     small = broadcast_if_small(two)
 
@@ -294,8 +302,8 @@ def _grown(texts: DataFrame, ones: DataFrame, two: DataFrame, n_two: int, floors
     longer = stored(
         quadruple_counts(
             texts,
-            _filters(ending, "k", n_two, F.lit(True), F.col("end")),
-            _filters(prefixes, "k", n_three, ahead, at_floor),
+            _filters(ending, _key("w1", "w2"), n_two, F.lit(True), F.col("end")),
+            _filters(prefixes, _key("w1", "w2", "w3"), n_three, ahead, at_floor),
         ).filter(F.col("a") >= least),
         "quadruples",
     )
@@ -347,7 +355,7 @@ def mine_phrases(docs: DataFrame, *, most: int = 2000, least: int = 30, covered:
     sizes = broadcast_if_small(stored(counted.groupBy("lang").agg(F.sum("f").alias("n")), "sizes"))
     frequent = stored(counted.filter(F.col("f") >= least), "frequent")
     ones = broadcast_if_small(frequent)
-    pairs = pair_counts(texts, _filters(frequent, "w", frequent.count(), F.lit(True))).filter(F.col("a") >= least)
+    pairs = pair_counts(texts, _filters(frequent, F.col("w"), frequent.count(), F.lit(True))).filter(F.col("a") >= least)
     pairs = _with(pairs, ones, "f", "f1", ("w", "w1"), more=["lang"])
     pairs = _with(pairs, ones, "f", "f2", ("w", "w2"))
     two = stored(_best(pairs, _cut(("f1", "f2")), "w1", "w2"), "pairs")

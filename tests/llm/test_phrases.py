@@ -8,9 +8,10 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from launchtide.llm import phrases
-from launchtide.llm.phrases import _filters, _has, mine_phrases
+from launchtide.llm.phrases import _filters, _has, _key, _keys, mine_phrases
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -109,10 +110,17 @@ def test_nothing_to_find(spark, no_docs):
 def test_filters_lose_no_key(spark):
     keys = np.random.default_rng(1).integers(-(2**63), 2**63, 5000)
     df = spark.createDataFrame([(int(k),) for k in keys], "k bigint")
-    from pyspark.sql import functions as F
-
-    every, some = _filters(df, "k", 5000, F.lit(True), F.col("k") > 0).value
+    every, some = _filters(df, F.col("k"), 5000, F.lit(True), F.col("k") > 0).value
     assert _has(every, keys.view(np.uint64)).all()
     assert _has(some, keys[keys > 0].view(np.uint64)).all()
     others = np.random.default_rng(2).integers(-(2**63), 2**63, 5000).view(np.uint64)
     assert _has(every, others).mean() < 0.1
+
+
+def test_keys_are_the_same_in_columns(spark):
+    ids = np.random.default_rng(3).integers(-(2**63), 2**63, 50)
+    rows = [tuple(map(int, ids[k : k + 3])) for k in range(48)]
+    df = spark.createDataFrame(rows, "w1 bigint, w2 bigint, w3 bigint")
+    found = [tuple(r) for r in df.select(_key("w1", "w2"), _key("w1", "w2", "w3")).collect()]
+    two, three = (_keys(ids.view(np.uint64), size).view(np.int64).tolist() for size in (2, 3))
+    assert found == list(zip(two, three))
