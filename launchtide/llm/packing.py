@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from base64 import b64decode
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -18,12 +19,16 @@ CAPACITY = 1024
 END_ID = 0
 #: The added token of ``byte_bpe_50k.json``, which no rank file holds.
 SPECIAL = {"<|endoftext|>": 50256}
-#: Groups into which the pieces of one length are split while they are numbered.
-SALTS = 256
+#: Pieces of one length that are numbered together, about.
+GROUP = 1 << 16
+#: White space characters in a row from which on a run is encoded apart from what is around it.
+LONG = 100_000
+# The characters of Unicode's property White_Space.
+SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
-def vocabulary(path: str | None = None):
+class Encoder:
     """The byte-level encoder of a rank file, by default the 50k one of ``public_tokenizers``.
 
     Its ids are those of the same vocabulary's ``byte_bpe_50k.json`` in the library
@@ -31,14 +36,34 @@ def vocabulary(path: str | None = None):
     ``SPECIAL``, is that token wherever it stands in a text, as there. Other rank files
     have none.
     """
-    import public_tokenizers
-    import tiktoken
 
-    with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
-        ranks = {b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
-    return tiktoken.Encoding(
-        "pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={} if path else SPECIAL
-    )
+    def __init__(self, path: str | None = None):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as file:
+            ranks = {b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        self.special = {} if path else SPECIAL
+        self.usual = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
+        self.whole = tiktoken.Encoding("whole", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+        self.run = re.compile(f"[{SPACE}]{{{LONG},}}")
+
+    def encode(self, text: str) -> np.ndarray:
+        """The ids of a text.
+
+        The pattern's engine gives up on a very long run of white space. The pattern makes such
+        a run one piece, but for its last character where something else than a special token
+        follows; so it may be encoded as that piece, and the text before and after for itself.
+        """
+        parts, at = [], 0
+        for run in self.run.finditer(text) if len(text) >= LONG else ():
+            end = run.end()
+            if end < len(text) and not any(text.startswith(mark, end) for mark in self.special):
+                end -= 1
+            parts += [self.usual.encode_to_numpy(text[at : run.start()], allowed_special="all"), self.whole.encode_to_numpy(text[run.start() : end])]
+            at = end
+        parts.append(self.usual.encode_to_numpy(text[at:], allowed_special="all"))
+        return np.concatenate(parts).astype("<u4")
 
 
 def token_pieces(
@@ -47,12 +72,11 @@ def token_pieces(
     """Each document's ids, ``end_id`` last, cut into pieces of ``capacity`` and a rest."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = vocabulary(path)
+        encoder = Encoder(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.asarray(encoder.encode_to_numpy(text.as_py() or "", allowed_special="all"), "<u4")
-                ids = np.append(ids, np.array(end_id, "<u4"))
+                ids = np.append(encoder.encode(text.as_py() or ""), np.array(end_id, "<u4"))
                 for start in range(0, len(ids), capacity):
                     own = ids[start : start + capacity]
                     rows.append((doc_id, start, len(own), crc32(own.tobytes()), len(ids)))
@@ -120,22 +144,27 @@ def _slots(packs: list[tuple[list[int], int]], capacity: int) -> tuple[np.ndarra
     return tuple(np.array(flat, np.int64).reshape(-1, 4).T.copy())
 
 
-def _ranked(pieces: DataFrame) -> DataFrame:
-    """``rank``: pieces of one length numbered from 0, some hundred groups a length.
+def _ranked(pieces: DataFrame, counts: dict[int, int]) -> DataFrame:
+    """``rank``: pieces of one length numbered from 0, in groups of about ``GROUP``.
 
-    Groups of a length are counted first; each piece's rank is its place in its group and
-    the pieces in the groups before. So no length needs a task of its own.
+    ``counts`` tells how many pieces of each length there are, and so how many groups it
+    is split into. A piece's rank is its place in its group and the pieces in the groups
+    before. Pieces that are alike are dealt out by their place in the stored table.
     """
-    salted = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)))
+    spark = pieces.sparkSession
+    groups = [(length, -(-k // GROUP)) for length, k in counts.items()]
+    groups = F.broadcast(spark.createDataFrame(groups, "length bigint, salts bigint"))
+    salt = F.pmod(F.xxhash64("doc_id", "start", F.monotonically_increasing_id()), F.col("salts"))
+    salted = pieces.join(groups, "length").withColumn("salt", salt).drop("salts")
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
-    groups = (
+    earlier = (
         salted.groupBy("length", "salt")
         .agg(F.count("*").alias("k"))
         .select("length", "salt", F.coalesce(F.sum("k").over(before), F.lit(0)).alias("before"))
     )
     place = Window.partitionBy("length", "salt").orderBy("doc_id", "start", "ids_crc32")
     return (
-        salted.join(groups, ["length", "salt"])
+        salted.join(earlier, ["length", "salt"])
         .withColumn("rank", F.col("before") + F.row_number().over(place) - 1)
         .drop("salt", "before")
     )
@@ -157,8 +186,9 @@ def pack(
     """
     spark = docs.sparkSession
     pieces = stored(token_pieces(docs, capacity=capacity, end_id=end_id, path=path), "pieces")
-    counts = pieces.groupBy("length").agg(F.count("*").alias("k")).collect()
-    packs = pack_lengths({row["length"]: row["k"] for row in counts}, capacity)
+    rows = pieces.groupBy("length").agg(F.count("*").alias("k")).collect()
+    counts = {row["length"]: row["k"] for row in rows}
+    packs = pack_lengths(counts, capacity)
     known = spark.sparkContext.broadcast(_slots(packs, capacity))
 
     def place(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -177,7 +207,7 @@ def pack(
     place.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
     placed = F.arrow_udf(place, "struct<sequence_id:bigint,offset:bigint>")
     return (
-        _ranked(pieces)
+        _ranked(pieces, counts)
         .withColumn("place", placed("length", "rank"))
         .select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "place.*")
     )

@@ -10,12 +10,13 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from launchtide.llm import packing
 from launchtide.llm.packing import CAPACITY, END_ID, pack, pack_lengths
 
 ODD = [
     "don't  stop\n\n we'll\tsee '  s 12.5% of 3,000",
     "é̀ ü日本語 한국어 русский ١٢٣ ½ ① 𝒳 \U0001f600\U0001f1e9\U0001f1ea",
-    "<|endoftext|> is ordinary text <|endoftext|>",
+    "<|endoftext|> stands in a text <|endoftext|>",
     "\x00\x01\x7f   　﻿​ x\r\n\r\n  ",
     "   leading and trailing   ",
     "ǅ ʰ ⁿ ª ͅ ᛮ ꧏ",
@@ -24,9 +25,7 @@ ODD = [
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def check(rows, texts, tokenizer):
@@ -88,9 +87,54 @@ def test_patterns_hold_every_piece_with_little_padding():
     assert pack_lengths({1: 10**12}) == [([1] * 1024, 10**12 // 1024)]
 
 
-def test_marks_of_special_tokens_are_those_of_the_library(spark):
-    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    assert plain.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+def test_marks_of_special_tokens_are_those_of_the_library(spark, tokenizer):
+    assert tokenizer.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
     texts = [*ODD, "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x  <|endoftext|>\n\n y <|endoftext|", "é<|endoftext|>" * 1500]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    check(pack(docs).collect(), list(enumerate(texts)), plain)
+    check(pack(docs).collect(), list(enumerate(texts)), tokenizer)
+
+
+SPACES = list("\t\n\v\f\r \x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
+@pytest.mark.parametrize("run", ["{0}", "a{0}", "{0}b", "a{0}b", "a{0}!{0}1", "a{0}<|endoftext|>{0}c", " {0}\n{0}é"])
+def test_long_runs_of_white_space(tokenizer, monkeypatch, run):
+    """Each kind of white space, alone and beside others, cut where the pattern parts it."""
+    monkeypatch.setattr(packing, "LONG", 5)
+    encoder = packing.Encoder()
+    for a in SPACES:
+        for spaces in (a * 4, a * 5, a * 40, (a + " ") * 10, (" " + a) * 10, "\n" + a * 9 + "\t"):
+            text = run.format(spaces)
+            assert encoder.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_two_million_spaces(spark, tokenizer):
+    texts = [pattern.format(kind * 2_000_000) for kind in " \n" for pattern in ("{0}", "a{0}b")] + ["\xa0" * 2_000_000 + "!", "\u3000" * 400_000 + "x"]
+    encoder = packing.Encoder()
+    for text in texts:
+        assert encoder.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    docs = spark.createDataFrame([(1, texts[1]), (2, "short")], "doc_id bigint, text string")
+    check(pack(docs).collect(), [(1, texts[1]), (2, "short")], tokenizer)
+
+
+def test_half_of_all_pieces_on_one_key(spark, tokenizer, monkeypatch):
+    """Equal texts without doc_id, numbered in groups, with adaptive execution off."""
+    monkeypatch.setattr(packing, "GROUP", 50)
+    texts = [(None, "the same")] * 600 + [(k, f"other {k}") for k in range(600)]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = pack(df).collect()
+        pieces = packing.stored(packing.token_pieces(df), "pieces")
+        counts = {r.length: r.k for r in pieces.groupBy("length").agg(packing.F.count("*").alias("k")).collect()}
+        ranked = packing._ranked(pieces, counts)
+        # The window's input: no partition has more than a few groups.
+        sizes = [r.n for r in ranked.groupBy(packing.F.spark_partition_id()).agg(packing.F.count("*").alias("n")).collect()]
+        ranks = [(r.length, r.rank) for r in ranked.collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    check(rows, texts, tokenizer)
+    assert sorted(ranks) == sorted((length, k) for length, n in counts.items() for k in range(n))
+    assert len(rows) == 1200 and max(sizes) < 900
+    places = [(r.sequence_id, r.offset) for r in rows]
+    assert len(set(places)) == 1200
