@@ -41,6 +41,7 @@ DROPPED = frozenset(
     "nav aside form button select option noscript template iframe svg math canvas object audio "
     "video dialog menu fieldset".split()
 )
+FOREIGN = frozenset(("svg", "math"))
 CONTAINERS = frozenset("div section main article header center table tbody tr td".split())
 ENDED_BY = {"p": None, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar toolbar".split())
@@ -84,14 +85,16 @@ def _element(tag: str, raw: str, inside: bool) -> Node:
     found = {}
     for name, a, b, c in _ATTRIBUTE.findall(raw):
         found.setdefault(name.lower(), a or b or c)
-    named = f"{found.get('class', '')} {found.get('id', '')}".lower()
+    # Inside an article an id is a place to link to, and names no kind of part.
+    named = f"{found.get('class', '')} {'' if inside else found.get('id', '')}".lower()
     drop = tag in DROPPED or tag == "footer" or (tag == "header" and not inside)
     drop |= "hidden" in found or found.get("aria-hidden") == "true" or found.get("role", "").lower() in ROLES
     drop |= "display:none" in found.get("style", "").replace(" ", "").lower()
     for name in named.split():
         tokens = _WORD.findall(name)
         if not QUALIFIED.intersection(tokens):
-            drop |= bool(NAMED.intersection(tokens)) and not (inside and tag == "header")
+            # Half of a name's words have to be such words: menu-left, but not menu-of-the-day.
+            drop |= 2 * sum(x in NAMED for x in tokens) >= max(len(tokens), 1) and not (inside and tag == "header")
     label = f"{tag}.{found.get('class', '').lower()}"
     return Node(tag, label, inline, drop and tag not in ("html", "body", "main", "article"))
 
@@ -152,8 +155,9 @@ def parse(html: str) -> Node:
             close = re.compile(rf"</{tag}", re.I).search(html, at)
             at = close.start() if close else len(html)
             continue
-        if tag in VOID or raw.endswith("/") and tag not in INLINE and tag != "p":
-            last(len(stack) - 1).parts.append(" " if tag in INLINE or tag in ("br", "img", "wbr") else Node(tag))
+        if tag in VOID or raw.endswith("/") and tag in FOREIGN:
+            if tag in ("br", "hr"):
+                last(len(stack) - 1).parts.append(" " if tag == "br" else Node(tag))
             continue
         if tag in ("html", "head", "body"):
             continue
@@ -168,6 +172,8 @@ def parse(html: str) -> Node:
                 elif open_tag not in INLINE and not (ends and open_tag not in ("ul", "ol", "dl", "table", "tbody")):
                     break
         node = _element(tag, raw, articles > 0)
+        # An article in an article is a reader's comment.
+        node.dropped |= tag == "article" and opened["article"] > 0
         place = box(node.inline)
         node.dropped |= len(stack) > DEPTH and stack[-1].dropped
         last(place).parts.append(node)
@@ -476,15 +482,19 @@ def _function(each, returns: str, kind: pa.DataType, columns: int = 1):
     return F.arrow_udf(rows, returns)
 
 
-def _laid_out(html):
-    """Layout and skeleton of a page's html, null without text."""
-    kind = pa.struct([("layout", pa.int64()), ("skeleton", pa.int64())])
+def _laid_out(html, with_text: bool = False):
+    """Layout and skeleton of a page's html, null without text; and its text by no wrapper."""
+    kind = pa.struct([("layout", pa.int64()), ("skeleton", pa.int64()), ("text", pa.string())])
 
     def each(html: str | None) -> dict | None:
-        found = html and layout(parse(html))
-        return dict(zip(("layout", "skeleton"), found, strict=True)) if found else None
+        if not html:
+            return None
+        root = parse(html)
+        found = layout(root) or (None, None)
+        text = main_text(root) if with_text else None
+        return dict(zip(("layout", "skeleton", "text"), (*found, text), strict=True))
 
-    return _function(each, "struct<layout:bigint,skeleton:bigint>", kind)(html)
+    return _function(each, "struct<layout:bigint,skeleton:bigint,text:string>", kind)(html)
 
 
 def _by_layout(pages: DataFrame, known: DataFrame, name: str) -> DataFrame:
@@ -500,7 +510,17 @@ def _by_layout(pages: DataFrame, known: DataFrame, name: str) -> DataFrame:
     return pages.join(own, (F.col("host") == own["of"]) & (F.col("layout") == F.col("laid")), "left").drop("of", "laid")
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
+def parsed(pages: DataFrame) -> DataFrame:
+    """``page_id, url, host, hash, layout, skeleton, text``: each page parsed once, stored.
+
+    ``text`` is what the page gives where its host has no wrapper.
+    """
+    html = F.coalesce("html", F.lit(""))
+    first = pages.select("page_id", "url", host().alias("host"), F.xxhash64(html).alias("hash"), _laid_out("html", True).alias("found"))
+    return stored(first.select("page_id", "url", "host", "hash", "found.*"), "parsed")
+
+
+def wrappers(pages: DataFrame, first: DataFrame | None = None) -> DataFrame:
     """``(host, layout, wrapper)`` for layouts with a template; layout -1 is a host's pages together.
 
     A host of one layout has only the latter.
@@ -508,10 +528,13 @@ def wrappers(pages: DataFrame) -> DataFrame:
     Every distinct page with text has a say. A layout's pivot is a page of its commonest
     skeleton, a host's that of its commonest layout. Each page is matched with both, and
     its texts are counted by pivot node; only these counts are shuffled, combined before.
+    ``first`` are the pages as :func:`parsed`, if they are at hand.
     """
     keyed = pages.select(host().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
     keyed = keyed.withColumn("hash", F.xxhash64("html"))
-    distinct = keyed.withColumn("found", _laid_out("html")).filter("found is not null").groupBy("host", "hash").agg(F.first("found").alias("found"))
+    first = parsed(pages) if first is None else first
+    laid = F.first(F.struct("layout", "skeleton")).alias("found")
+    distinct = first.filter("layout is not null").groupBy("host", "hash").agg(laid)
     skeletons = distinct.groupBy("host", "found.layout", "found.skeleton").agg(F.count("*").alias("n"), F.min("hash").alias("hash"))
     most = F.max(F.struct("n", "hash"))
     layouts = stored(skeletons.groupBy("host", "layout").agg(F.sum("n").alias("n"), most["hash"].alias("hash")), "layouts")
@@ -561,16 +584,19 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     pages have it in the same place. A page without an article gives the blocks of its
     body that vary and are not lists of links.
 
-    Pages are parsed once for their layouts, once to count what agrees with the pivots and
-    once for the text; at hosts of several layouts, each of the latter two parses twice; only pivots, hashes and counts are shuffled. Wrappers
-    are joined by host and layout, and broadcast if they are small.
+    Pages are parsed once for their layouts and for the text that they have without a wrapper,
+    and once to count what agrees with the pivots; a third time only at hosts with a wrapper. At
+    hosts of several layouts each of the latter two parses twice. Only pivots, hashes and
+    counts are shuffled. Wrappers are joined by host and layout, and broadcast if they are small.
 
     A null or empty page has the empty text. Rows keep their number, also when page_ids
     repeat or are null; pages without a host share the host "". Only ``page_id, url`` and
     ``html`` are read.
     """
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    known = stored(wrappers(pages), "wrappers")
+    first = parsed(pages)
+    known = stored(wrappers(pages, first), "wrappers")
+    wrapped = broadcast_if_small(known.select("host").distinct())
 
     def extract(html: str, *own: str | None) -> str:
         root = parse(html)
@@ -580,8 +606,10 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
 
     text = _function(extract, "string", pa.string(), 3)
     keyed = pages.select("page_id", "url", host().alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+    again = _by_layout(keyed.join(wrapped, "host", "left_semi"), known, "wrapper")
     return (
-        _by_layout(keyed, known, "wrapper")
-        .select("page_id", "url", text("html", "own", "whole").alias("text"))
+        first.join(wrapped, "host", "left_anti")
+        .select("page_id", "url", F.coalesce("text", F.lit("")).alias("text"))
+        .unionByName(again.select("page_id", "url", text("html", "own", "whole").alias("text")))
         .withColumn("n_chars", F.length("text").cast("long"))
     )
