@@ -26,6 +26,16 @@ def yyyymm(time: Column) -> Column:
     return (F.year(time) * 100 + F.month(time)).cast("int")
 
 
+def month_pattern(directory: str = "{country}/{month}", country: str = "*") -> str:
+    """A pattern for the paths of files in ``directory`` below any base; its group is the month."""
+    if directory.count("{month}") != 1:
+        raise ValueError(f"the directory {directory!r} has to hold {{month}} once")
+    named = "[^/]*" if re.search(r"[*?\[{]", country) else re.escape(country)
+    parts = re.split(r"(\{month\}|\{country\})", directory.strip("/"))
+    known = {"{month}": r"(\d{6})", "{country}": named}
+    return "^.*/" + "".join(known.get(part, re.escape(part)) for part in parts) + "/"
+
+
 def month_of_path(path: Column, directory: str = "{country}/{month}", country: str = "*") -> Column:
     """The month in a file's path, found where ``directory`` has ``{month}``.
 
@@ -33,13 +43,7 @@ def month_of_path(path: Column, directory: str = "{country}/{month}", country: s
     ``{month}/{country}`` or ``{country}/month={month}``; folders below it don't matter. A
     path without a month there is an error that names it.
     """
-    if directory.count("{month}") != 1:
-        raise ValueError(f"the directory {directory!r} has to hold {{month}} once")
-    named = "[^/]*" if re.search(r"[*?\[{]", country) else re.escape(country)
-    parts = re.split(r"(\{month\}|\{country\})", directory.strip("/"))
-    known = {"{month}": r"(\d{6})", "{country}": named}
-    pattern = "^.*/" + "".join(known.get(part, re.escape(part)) for part in parts) + "/"
-    found = F.regexp_extract(path, pattern, 1)
+    found = F.regexp_extract(path, month_pattern(directory, country), 1)
     missing = F.raise_error(F.concat(F.lit(f"no month where {directory} has it: "), path))
     return F.when(found != "", found).otherwise(missing.cast("string")).cast("int")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,10 @@ CELL_BYTES = 16
 HOT_SHARE = 1 / 64
 #: Salts for a key that has all rows; others get their share of them.
 SALTS = 256
+#: Bits of a key filter for each key, at most (16 MiB), and in one row of its table.
+KEY_BITS = 16
+MOST_BITS = 1 << 27
+ROW_BITS = 1 << 15
 
 
 def measured_bytes(table: DataFrame) -> int:
@@ -31,17 +35,68 @@ def fits(broadcast_bytes: int, *tables: DataFrame | None) -> bool:
     return any(measured_bytes(t) <= broadcast_bytes for t in tables if t is not None)
 
 
+def filter_bits(n: int) -> int:
+    """Bits of a filter of ``n`` keys, a power of two; 0 if most other keys would pass it too."""
+    bits = ROW_BITS
+    while bits < min(KEY_BITS * n, MOST_BITS):
+        bits *= 2
+    return bits if n <= bits else 0
+
+
+def key_filter(keys: DataFrame, on: str, bits: int) -> DataFrame:
+    """``part, words``: a bitmap with the bit of each key's hash set, ``ROW_BITS`` to a row.
+
+    It has at most ``bits`` / 8 bytes, however many keys there are and however long.
+    """
+    place = F.xxhash64(on).bitwiseAND(F.lit(bits - 1))
+    placed = keys.filter(F.col(on).isNotNull()).select(place.alias("place"))
+    words = placed.groupBy(
+        F.expr(f"place div {ROW_BITS}").alias("part"), F.expr(f"cast(place % {ROW_BITS} div 64 as int)").alias("at")
+    ).agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 as int)))").alias("word"))
+    filled = F.map_from_entries(F.collect_list(F.struct("at", "word")))
+    every = F.sequence(F.lit(0), F.lit(ROW_BITS // 64 - 1))
+    return (
+        words.groupBy("part")
+        .agg(filled.alias("filled"))
+        .select("part", F.transform(every, lambda k: F.coalesce(F.try_element_at("filled", k), F.lit(0).cast("long"))).alias("words"))
+    )
+
+
+def having_keys(facts: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows of ``facts`` whose key is among ``keys``, and a few others; none without a key.
+
+    A bitmap of hashes of bounded size is broadcast, whatever the size of ``keys``, so the
+    rows that a later join would drop are not shuffled for it. With so many keys that
+    the largest bitmap would let most rows pass, ``facts`` is returned as it is.
+    """
+    keyed = facts.filter(F.col(on).isNotNull())
+    bits = filter_bits(keys.count())
+    if not bits:
+        return keyed
+    known = key_filter(keys, on, bits).withColumnsRenamed({"part": "_part", "words": "_words"})
+    place = F.xxhash64(on).bitwiseAND(F.lit(bits - 1))
+    placed = keyed.withColumn("_place", place)
+    set_ = F.expr(f"getbit(_words[cast(_place % {ROW_BITS} div 64 as int)], cast(_place % 64 as int)) = 1")
+    found = placed.join(F.broadcast(known), F.expr(f"_place div {ROW_BITS} = _part"))
+    return found.filter(set_).select(*facts.columns)
+
+
 def hot_keys(facts: DataFrame, on: str) -> DataFrame:
     """``<on>, salts``: keys that hold much of ``facts``, at most ``1 / HOT_SHARE`` of them.
 
-    Rows are counted by key, which is combined before its shuffle.
+    One job: rows are counted by key, which is combined before its shuffle, and altogether
+    on the way.
     """
-    counts = facts.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("n"))
-    total = facts.count()
-    hot = counts.filter(F.col("n") >= max(1, total * HOT_SHARE)).withColumn(
-        "salts", F.ceil(F.col("n") * SALTS / max(total, 1)).cast("int")
+    every = Observation()
+    counts = (
+        facts.observe(every, F.count(F.lit(1)).alias("n"))
+        .filter(F.col(on).isNotNull())
+        .groupBy(on)
+        .agg(F.count("*").alias("n"))
     )
-    rows = [tuple(row) for row in hot.select(on, "salts").collect()]
+    most = counts.orderBy(F.col("n").desc(), on).limit(int(1 / HOT_SHARE)).collect()
+    total = every.get["n"]
+    rows = [(row[on], -(-row["n"] * SALTS // max(total, 1))) for row in most if row["n"] >= max(1, total * HOT_SHARE)]
     schema = T.StructType([facts.schema[on], T.StructField("salts", T.IntegerType())])
     return facts.sparkSession.createDataFrame(rows, schema)
 
@@ -71,6 +126,7 @@ def join_lookup(
     broadcast_bytes: int = BROADCAST_BYTES,
     bound: DataFrame | None = None,
     distinct: bool = False,
+    filtered: bool = False,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` on one column, ``inner`` or ``left``.
 
@@ -78,14 +134,17 @@ def join_lookup(
     shuffled. Where a lookup takes work to make, ``bound`` names a table that is no
     smaller and is measured first; the lookup itself only if that is too large.
 
-    A larger lookup is shuffled. Keys that hold much of ``facts`` are counted first: their
-    rows are dealt over salts in proportion to their number (:func:`dealt`), so equal rows part
+    A larger lookup is shuffled. An inner join first drops the rows whose key it lacks, as far
+    as a filter of bounded size tells them (:func:`having_keys`; ``filtered`` tells that this has
+    been done). Keys that hold much of ``facts`` are counted: their rows are dealt over salts in proportion to their number (:func:`dealt`), so equal rows part
     as well, and only their lookup rows are copied. ``distinct`` tells that no two rows of
     ``facts`` are equal, which saves counting them. Rows without a key match nothing; a
     left join adds them back without a shuffle.
     """
     if fits(broadcast_bytes, bound, lookup):
         return facts.join(F.broadcast(lookup), on, how)
+    if how == "inner" and not filtered:
+        facts = having_keys(facts, lookup.select(on), on)
     hot = F.broadcast(hot_keys(facts, on))
     salted = dealt(facts, hot, on, distinct)
     last = F.coalesce(F.col("salts"), F.lit(1)) - 1

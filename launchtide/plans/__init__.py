@@ -1,12 +1,35 @@
-from launchtide.plans.jobs import audit_path, run_batch, run_monthly, run_monthly_segments
-from launchtide.plans.uptake import batch_datamart, monthly_datamart, user_deltas
+from launchtide.plans.jobs import (
+    audit_path,
+    publish,
+    read_datamart,
+    run_batch,
+    run_monthly,
+    run_monthly_segments,
+)
+from launchtide.plans.state import merge_first, read_state, run_incremental, state_months, update_state
+from launchtide.plans.uptake import (
+    batch_datamart,
+    derived_datamart,
+    first_devices,
+    monthly_datamart,
+    user_deltas,
+)
 
 __all__ = [
     "audit_path",
     "batch_datamart",
+    "derived_datamart",
+    "first_devices",
     "monthly_datamart",
+    "merge_first",
+    "publish",
+    "read_datamart",
+    "read_state",
     "run_batch",
+    "run_incremental",
     "run_monthly",
     "run_monthly_segments",
+    "state_months",
+    "update_state",
     "user_deltas",
 ]

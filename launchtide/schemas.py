@@ -102,6 +102,15 @@ DELTAS = T.StructType(
     ]
 )
 
+STATE = T.StructType(
+    [
+        T.StructField("ifa", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("launch", T.DateType()),
+        T.StructField("first_seen", T.TimestampType()),
+    ]
+)
+
 HISTOGRAM = T.StructType(
     [
         T.StructField("delta", T.IntegerType()),

@@ -1,4 +1,4 @@
-from launchtide.sinks.shared import shared_path
+from launchtide.sinks.shared import kept, shared_path
 from launchtide.sinks.writers import write_datamart, write_deltas, write_histograms, write_report
 
-__all__ = ["shared_path", "write_datamart", "write_deltas", "write_histograms", "write_report"]
+__all__ = ["kept", "shared_path", "write_datamart", "write_deltas", "write_histograms", "write_report"]

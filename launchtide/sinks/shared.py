@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -21,3 +21,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
         folder = tempfile.mkdtemp(prefix="launchtide-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(table: DataFrame, name: str) -> DataFrame:
+    """A table written to that folder and read back, so that what follows doesn't compute it again."""
+    path = shared_path(table.sparkSession, name)
+    table.write.option("compression", "zstd").parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

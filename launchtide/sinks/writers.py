@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def write_datamart(datamart: DataFrame, path: str) -> None:
-    """Write the segment table; fails when something is there already."""
-    datamart.write.mode("errorifexists").parquet(path)
+def write_datamart(datamart: DataFrame, path: str, mode: str = "errorifexists") -> int:
+    """Write the segment table and return its rows; fails when something is there already."""
+    written = Observation()
+    datamart.observe(written, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
+    return written.get["n"]
 
 
 def _overwrite_months(table: DataFrame, path: str, months: Iterable[int] | None) -> None:

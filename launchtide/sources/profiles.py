@@ -7,37 +7,40 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from launchtide.functions import month_of_path
-from launchtide.schemas import PROFILE, require
+from launchtide.functions.columns import month_pattern
+from launchtide.schemas import PROFILE
+from launchtide.sources.months import by_schema, distinct_names, found_directories
 
+_FILES = {"pathGlobFilter": "*.parquet", "recursiveFileLookup": "true"}
 
-_GLOB = re.compile(r"[*?\[\]{}]")
-
-
-def _matches(glob: str) -> re.Pattern[str]:
-    """A directory glob with ``* ? [..] {a,b}`` as a pattern."""
-    known = {"*": "[^/]*", "?": "[^/]", "{": "(?:", "}": ")", ",": "|"}
-    depth, out = 0, []
-    for part in re.split(r"(\[[^\]]*\]|[*?{},])", glob):
-        depth += (part == "{") - (part == "}")
-        if part.startswith("["):
-            out.append(part.replace("[!", "[^"))
-        else:
-            out.append(known[part] if part in known and (part != "," or depth) else re.escape(part))
-    return re.compile("".join(out))
 
+def profile_directories(
+    spark: SparkSession,
+    base: str,
+    country: str,
+    months: str | Iterable[str | int],
+    directory: str = "{country}/{month}",
+) -> list[str]:
+    """The directories that hold the profiles of ``months``, each once."""
+    names = distinct_names([months] if isinstance(months, str) else months)
+    paths = [f"{base}/{directory.format(country=country, month=name)}" for name in names]
+    return list(dict.fromkeys(found_directories(spark, paths)))
 
-def distinct_names(names: Iterable[str | int]) -> list[str]:
-    """Month names and globs of which no two name the same directory.
 
-    Globs become one, which finds each directory once; a name that it matches goes.
-    """
-    names = list(dict.fromkeys(str(name) for name in names))
-    globs = [name for name in names if _GLOB.search(name)]
-    known = [_matches(glob) for glob in globs]
-    plain = [n for n in names if n not in globs and not any(k.fullmatch(n) for k in known)]
-    return plain + ([globs[0] if len(globs) == 1 else "{" + ",".join(globs) + "}"] if globs else [])
+def profile_months(
+    spark: SparkSession,
+    base: str,
+    country: str,
+    months: str | Iterable[str | int],
+    directory: str = "{country}/{month}",
+) -> list[int]:
+    """The months that a list or glob finds, rising, from the names of directories alone."""
+    pattern = re.compile(month_pattern(directory, country))
+    found = [pattern.match(f"{path}/") for path in profile_directories(spark, base, country, months, directory)]
+    return sorted({int(match[1]) for match in found if match})
 
 
 def read_profiles(
@@ -56,12 +59,28 @@ def read_profiles(
     directories rather than a glob over files spares the driver one path per file.
     Without need for the month leave it out: Spark numbers the rows of a scan whose
     file path is selected and then not used.
+
+    Each month's schema is looked up in one of its files. A month that lacks a member, or has
+    it with another type, is an error that names its directory. Where months differ in other
+    members, only those needed are read. Months with zoned and with unzoned times are read apart
+    and united; unzoned ones then stand for times of the session's zone.
     """
-    names = distinct_names([months] if isinstance(months, str) else months)
-    paths = [f"{base}/{directory.format(country=country, month=name)}" for name in names]
-    files = {"pathGlobFilter": "*.parquet", "recursiveFileLookup": "true"}
-    stored = spark.read.options(**files).parquet(*paths)
-    require(stored.schema, PROFILE, "profile table")
+    directories = profile_directories(spark, base, country, months, directory)
+    groups = by_schema(spark, directories, PROFILE, "profile table", _FILES)
+    if not groups:
+        # No file anywhere: Spark says so.
+        return spark.read.options(**_FILES).parquet(*directories)
     path = F.col("_metadata.file_path")
     month = [month_of_path(path, directory, country).alias("month")] if with_month else []
-    return stored.select(*month, "ifa", "device", "app")
+    scans = [
+        spark.read.options(**_FILES).schema(schema).parquet(*paths).select(*month, "ifa", "device", "app")
+        for schema, paths in groups
+    ]
+    if len(scans) == 1:
+        return scans[0]
+    zoned: T.DataType = PROFILE["app"].dataType
+    united = None
+    for scan in scans:
+        scan = scan.withColumn("app", F.col("app").cast(zoned))
+        united = scan if united is None else united.unionByName(scan)
+    return united

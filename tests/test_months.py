@@ -1,0 +1,112 @@
+"""Months whose files have unequal schemas."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from launchtide.operators import earliest_sightings
+from launchtide.schemas import PROFILE
+from launchtide.sources import read_profiles
+from launchtide.sources.months import by_schema, found_directories
+from launchtide.sources.profiles import profile_months
+from tests import edge_table
+from tests.test_files import rows
+
+PLAIN = "ifa string, device struct<platform:string,device_model:string>, app array<struct<first_seen:timestamp>>"
+#: Other members, another order, times without zone, and both.
+MONTHS = {
+    202001: PLAIN,
+    202002: "extra int, app array<struct<bundle:string,first_seen:timestamp>>, device struct<carrier:string,device_model:string,platform:string>, ifa string",
+    202003: PLAIN.replace("timestamp", "timestamp_ntz"),
+    202004: "ifa string, device struct<platform:string,device_model:string,os:int>, app array<struct<first_seen:timestamp_ntz,n:int>>",
+}
+
+
+def shaped(spark, profiles, schema):
+    """The profiles with the members of a schema, in its order; what they lack is null."""
+    kinds = T._parse_datatype_string(schema)
+
+    def column(name, kind, at):
+        if isinstance(kind, T.StructType):
+            return F.when(at.isNotNull(), F.struct(*(column(f.name, f.dataType, at[f.name] if f.name in known else None).alias(f.name) for f in kind))) if name == "device" else None
+        return (F.lit(None) if at is None else at).cast(kind)
+
+    known = ("platform", "device_model", "first_seen")
+    out = []
+    for field in kinds:
+        if field.name == "device":
+            out.append(column("device", field.dataType, F.col("device")).alias("device"))
+        elif field.name == "app":
+            members = field.dataType.elementType
+            out.append(F.transform("app", lambda a: F.struct(*((a["first_seen"] if f.name == "first_seen" else F.lit(None)).cast(f.dataType).alias(f.name) for f in members))).alias("app"))
+        else:
+            out.append((F.col("ifa") if field.name == "ifa" else F.lit(1)).cast(field.dataType).alias(field.name))
+    return profiles.select(*out)
+
+
+@pytest.fixture(scope="module")
+def base(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("unequal"))
+    for month, schema in MONTHS.items():
+        shaped(spark, edge_table.profiles(spark), schema).write.parquet(f"{path}/MY/{month}")
+    return path
+
+
+@pytest.mark.parametrize("months", [[202001], [202001, 202002], [202003, 202004], [202001, 202003], "2020*"])
+def test_unequal_months_read_right(spark, base, months):
+    scan = read_profiles(spark, base, "MY", months)
+    seen = earliest_sightings(scan).withColumn("first_seen", F.col("first_seen").cast("timestamp"))
+    wanted = earliest_sightings(edge_table.profiles(spark)).collect()
+    named = list(MONTHS) if months == "2020*" else months
+    assert rows(seen) == sorted(((m, *row) for m in named for row in wanted), key=str)
+    assert not scan.filter("device.device_model is not null").isEmpty()
+
+
+def test_one_scan_for_each_kind_of_time(spark, base):
+    def scans(months):
+        df = earliest_sightings(read_profiles(spark, base, "MY", months))
+        return df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+
+    assert [scans([202001, 202002]), scans([202003, 202004]), scans("2020*")] == [1, 1, 2]
+
+
+@pytest.mark.parametrize(
+    "schema, lacks",
+    [
+        (PLAIN.replace("device_model", "model"), "device struct"),
+        (PLAIN.replace("first_seen", "seen"), "app array"),
+        (PLAIN.replace("ifa", "user"), "ifa string"),
+        (PLAIN.replace("first_seen:timestamp", "first_seen:string"), "app array"),
+    ],
+)
+def test_a_month_that_lacks_a_member_is_named(spark, base, tmp_path, schema, lacks):
+    bad = "SELECT CAST(NULL AS STRING) AS x"
+    kinds = T._parse_datatype_string(schema)
+    spark.sql(bad).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in kinds)).write.parquet(f"{tmp_path}/MY/202005")
+    spark.read.parquet(f"{base}/MY/202001").write.parquet(f"{tmp_path}/MY/202001")
+    for months in ("2020*", [202001, 202005], [202005]):
+        with pytest.raises(ValueError, match=f"202005 lacks: {lacks}"):
+            read_profiles(spark, str(tmp_path), "MY", months)
+    assert read_profiles(spark, str(tmp_path), "MY", [202001]).count() == len(edge_table.ROWS)
+
+
+def test_months_without_files(spark, base, tmp_path):
+    spark.read.parquet(f"{base}/MY/202001").write.parquet(f"{tmp_path}/MY/202001")
+    (tmp_path / "MY/202002").mkdir()
+    assert read_profiles(spark, str(tmp_path), "MY", "2020*").count() == len(edge_table.ROWS)
+    assert profile_months(spark, str(tmp_path), "MY", "2020*") == [202001, 202002]
+    with pytest.raises(AnalysisException):
+        read_profiles(spark, str(tmp_path), "MY", [202002])
+    with pytest.raises(AnalysisException):
+        read_profiles(spark, str(tmp_path), "MY", [202001, 202009])
+
+
+def test_directories_and_groups(spark, base):
+    found = found_directories(spark, [f"{base}/MY/2020*", f"{base}/none"])
+    assert [path.rpartition("/")[2] for path in found] == [*map(str, MONTHS), "none"]
+    groups = by_schema(spark, found[:4], PROFILE, "x", {})
+    assert sorted(len(paths) for _, paths in groups) == [2, 2]
+    assert profile_months(spark, base, "*", [202001, 202003], "{country}/{month}") == [202001, 202003]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from launchtide.operators import (
     assign_segments,
     delta_histogram,
+    derive_bands,
     device_lookup,
     earliest_sightings,
     enrich,
@@ -19,11 +20,21 @@ from launchtide.operators import (
     sightings,
 )
 from launchtide.operators.devices import of_brand
-from launchtide.operators.joins import SALTS, dealt, hot_keys, join_lookup, measured_bytes
+from launchtide.operators import joins
+from launchtide.operators.joins import (
+    SALTS,
+    dealt,
+    filter_bits,
+    having_keys,
+    hot_keys,
+    join_lookup,
+    key_filter,
+    measured_bytes,
+)
 from launchtide.operators.uptake import MONTH_USER
-from launchtide.plans import batch_datamart, user_deltas
+from launchtide.plans import batch_datamart, derived_datamart, uptake, user_deltas
 from launchtide.schemas import BRAND, ID_AS_CODED, MY_BANDS
-from launchtide.sinks import write_deltas
+from launchtide.sinks import kept, write_deltas
 from launchtide.sources import read_deltas, read_profiles
 from tests import edge_table
 
@@ -174,10 +185,58 @@ def test_salts_do_not_depend_on_the_order_of_rows(spark, inputs, shuffled):
     assert "monotonically" not in plan(user_deltas(*inputs, broadcast_bytes=-1))
 
 
-def test_equal_sightings_are_one_row_before_a_shuffled_join(inputs, shuffled):
-    facts = plan(user_deltas(*inputs, broadcast_bytes=-1))
-    join = facts.index("SortMergeJoin [device_model")
-    assert "partial_min(struct(first_seen" in facts[join:]
+def test_only_sightings_of_launched_models_are_shuffled_and_stored(spark, inputs, shuffled, monkeypatch):
+    """A lookup too large to broadcast: a filter of its keys stands before the first shuffle."""
+    stored = {}
+
+    def kept_too(table, name):
+        stored[name] = (plan(table), kept(table, name))
+        return stored[name][1]
+
+    monkeypatch.setattr(uptake, "kept", kept_too)
+    profiles, lookup, launch = inputs
+    deltas = user_deltas(*inputs, broadcast_bytes=-1)
+    text, rows = stored["sightings"]
+    assert "partial_min(struct(first_seen" in text
+    fact = fact_side(text)
+    shuffle = fact.index("Exchange hashpartitioning(ifa")
+    assert "BroadcastHashJoin [(_place" in fact[shuffle:] and "getbit" in fact[shuffle:]
+    models = {r.model for r in launched_models(lookup, launch, BRAND).collect()}
+    assert {r.device_model for r in rows.collect()} == models & {r.device_model for r in sightings(profiles).collect()}
+    assert rows.count() == rows.select("ifa", "device_model").distinct().count() < earliest_sightings(profiles).count()
+    # The profiles are read for that table only.
+    assert "app" not in plan(deltas)
+    assert sorted(map(str, deltas.collect())) == sorted(map(str, user_deltas(*inputs).collect()))
+
+
+@pytest.mark.parametrize("n, bits", [(0, 1 << 15), (1, 1 << 15), (2048, 1 << 15), (2049, 1 << 16), (1 << 23, 1 << 27), (1 << 27, 1 << 27), ((1 << 27) + 1, 0)])
+def test_a_key_filter_is_bounded(n, bits):
+    assert filter_bits(n) == bits
+
+
+def test_a_key_filter_loses_no_row(spark, monkeypatch):
+    keys = spark.range(20_000).selectExpr("CASE WHEN id % 1000 > 0 THEN concat('k', id * 3) END AS k")
+    facts = spark.range(60_000).selectExpr("CASE WHEN id % 500 > 0 THEN concat('k', id) END AS k", "id AS part", "id % 2 AS words")
+    found = having_keys(facts, keys, "k")
+    assert found.columns == facts.columns
+    wanted = facts.join(keys, "k", "left_semi")
+    assert wanted.exceptAll(found.select(*wanted.columns)).isEmpty()
+    assert wanted.count() <= found.count() < 1.1 * wanted.count()
+    assert key_filter(keys, "k", filter_bits(20_000)).count() <= filter_bits(20_000) // joins.ROW_BITS
+    assert having_keys(facts, keys.limit(0), "k").isEmpty() and having_keys(facts.limit(0), keys, "k").isEmpty()
+    # Too many keys for the largest filter: rows stay as they are.
+    monkeypatch.setattr(joins, "MOST_BITS", 1 << 10)
+    assert having_keys(facts, spark.range(40_000).selectExpr("concat('k', id) AS k"), "k").count() == facts.filter("k is not null").count()
+
+
+def test_the_deltas_behind_derived_bands_are_computed_once(spark, inputs, monkeypatch):
+    stored = []
+    monkeypatch.setattr(uptake, "kept", lambda table, name: stored.append(name) or kept(table, name))
+    derived = derived_datamart(*inputs)
+    assert stored == ["deltas"] and "app" not in plan(derived)
+    bands = derive_bands(delta_histogram(user_deltas(*inputs), one_row_per_user=True))
+    wanted = assign_segments(user_deltas(*inputs), bands)
+    assert sorted(map(str, derived.collect())) == sorted(map(str, wanted.collect()))
 
 
 def test_a_lookup_is_broadcast_by_its_bound_or_else_by_its_own_size(inputs, spark):
