@@ -162,6 +162,8 @@ _SELECTS = {
          l_linenumber AS n_apps FROM profiles WHERE month = 199806""",
     "scan_profiles_months": """SELECT month, ifa, platform, device_model,
          l_linenumber AS n_apps FROM profiles""",
+    "scan_profiles_unequal": """SELECT month, ifa, platform, device_model,
+         l_linenumber AS n_apps FROM profiles""",
     "scan_device_lookup_csv": "SELECT model, brand, name FROM lookup",
     "scan_launch_csv": "SELECT name, launch FROM launches",
     "scan_histograms": "SELECT month, delta, count FROM histograms",
@@ -192,10 +194,16 @@ _SELECTS = {
     "join_launch_inner": """SELECT ifa, first_seen, filled.name AS name, launch
          FROM filled JOIN launches ON filled.name = launches.name WHERE brand = 'Brand#1'""",
     "first_launched_device": "SELECT ifa, name, launch, first_seen, date FROM first_user",
+    "first_device_stepwise": "SELECT ifa, name, launch, first_seen, date FROM first_user",
+    "merge_first_device": "SELECT ifa, name, launch, first_seen, date FROM first_user",
     "first_launched_device_monthly": """SELECT month, ifa, name, launch, first_seen, date
          FROM first_month""",
     "launch_delta": "SELECT ifa, name, launch, first_seen, date, delta FROM deltas_all",
     "filter_nonnegative_delta": "SELECT ifa, name, launch, first_seen, date, delta FROM deltas",
+    "deltas_large_lookup": "SELECT ifa, name, launch, first_seen, date, delta FROM deltas",
+    "enrich_large_lookup": "SELECT ifa, first_seen, brand, name FROM filled WHERE brand = 'Brand#1'",
+    "join_launch_large_lookup": """SELECT ifa, first_seen, filled.name AS name, launch
+         FROM filled JOIN launches ON filled.name = launches.name WHERE brand = 'Brand#1'""",
     "delta_histogram": """SELECT delta, count(DISTINCT ifa) AS count FROM monthly
          GROUP BY delta ORDER BY delta""",
     "delta_row_histogram": "SELECT delta, count(ifa) AS count FROM monthly GROUP BY delta",
@@ -220,6 +228,8 @@ _SELECTS = {
          FROM ({_CODED})""",
     "distinct_users": f"SELECT DISTINCT ifa FROM ({_CODED})",
     "job_batch": _DATAMART,
+    "job_rerun": _DATAMART,
+    "job_incremental": _DATAMART,
     "job_monthly_report": """SELECT delta, CAST(sum(count) AS BIGINT) AS sum_count
          FROM histograms GROUP BY delta ORDER BY delta""",
     "job_monthly_segments": _CODED,

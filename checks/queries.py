@@ -28,11 +28,17 @@ from launchtide.operators import (
 )
 from launchtide.operators.uptake import MONTH_USER, USER
 from launchtide.operators.sightings import on_platform
+from launchtide.journal import begin
 from launchtide.plans import (
     audit_path,
     batch_datamart,
+    derived_datamart,
+    first_devices,
+    merge_first,
     monthly_datamart,
+    read_datamart,
     run_batch,
+    run_incremental,
     run_monthly,
     run_monthly_segments,
     user_deltas,
@@ -113,6 +119,24 @@ def scan_profiles_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scanned(spark, sf_dir, ALL_MONTHS)
 
 
+def scan_profiles_unequal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All months, of which every other has another member and times with a zone."""
+    base = scratch(spark, "profiles")
+    profiles = testmap.profiles(spark, sf_dir)
+    other = profiles.withColumns(
+        {
+            "device": F.struct(F.lit("x").alias("carrier"), "device.device_model", "device.platform"),
+            "app": F.col("app").cast("array<struct<first_seen:timestamp>>"),
+        }
+    )
+    for table, rest in ((profiles, 0), (other, 1)):
+        rows = table.filter(F.col("month") % 2 == rest).hint("rebalance", "month")
+        rows.write.partitionBy("month").mode("append").parquet(f"{base}/{COUNTRY}")
+    return read_profiles(spark, base, COUNTRY, ALL_MONTHS, DIRECTORY).select(
+        "month", "ifa", "device.platform", "device.device_model", F.size("app.first_seen").alias("n_apps")
+    )
+
+
 def scan_device_lookup_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "device_lookup")
     testmap.raw_device_lookup(spark, sf_dir).write.csv(path, header=True)
@@ -242,9 +266,21 @@ def join_launch_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_launched_device(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return first_devices(*_inputs(spark, sf_dir), BRAND)
+
+
+def first_device_stepwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from exploded and enriched sightings."""
     return _first(spark, sf_dir)
 
 
+def merge_first_device(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the first devices of three spans of months."""
+    profiles, *lookups = _inputs(spark, sf_dir)
+    spans = (F.col("month") < 199603, F.col("month").between(199603, 199809), F.col("month") > 199809)
+    return merge_first(*(first_devices(profiles.filter(span), *lookups, BRAND) for span in spans))
+
+
 def first_launched_device_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _first(spark, sf_dir, MONTH_USER)
 
@@ -257,6 +293,24 @@ def filter_nonnegative_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     return non_negative(launch_deltas(spark, sf_dir))
 
 
+# The same beyond the size of a broadcast
+
+
+def deltas_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return user_deltas(*_inputs(spark, sf_dir), BRAND, broadcast_bytes=-1)
+
+
+def enrich_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lookup = testmap.lookup(spark, sf_dir)
+    return enrich(_flat(spark, sf_dir), lookup, BRAND, broadcast_bytes=-1).drop("month")
+
+
+def join_launch_large_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    launches = testmap.launch_table(spark, sf_dir)
+    joined = join_launches(_enriched(spark, sf_dir), launches, broadcast_bytes=-1)
+    return joined.select("ifa", "first_seen", "name", "launch")
+
+
 # Histograms
 
 
@@ -322,8 +376,7 @@ def segment_datamart_monthly_coded(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def segment_datamart_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deltas = _deltas(spark, sf_dir)
-    return assign_segments(deltas, derive_bands(delta_histogram(deltas, one_row_per_user=True)), LABELS)
+    return derived_datamart(*_inputs(spark, sf_dir), labels=LABELS)
 
 
 def audit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,6 +408,24 @@ def job_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job where a run died after writing some of its table."""
+    out = scratch(spark, "datamart")
+    begin(spark, out)
+    _datamart(spark, sf_dir).limit(5).write.parquet(out)
+    run_batch(spark, **_files(spark, sf_dir), out=out, bands=MY_BANDS, labels=LABELS)
+    return read_datamart(spark, out)
+
+
+def job_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job with months added to a state, some named again."""
+    state, files = scratch(spark, "state"), _files(spark, sf_dir)
+    for months in ("199[5-6]*", ["1997*", "199612"], ALL_MONTHS):
+        out = scratch(spark, "datamart")
+        run_incremental(spark, **files | {"months": months}, state=state, out=out, bands=MY_BANDS, labels=LABELS)
+    return read_datamart(spark, out)
+
+
 def job_monthly_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch(spark, "monthly")
     run_monthly(spark, **_files(spark, sf_dir), out=out, brand=BRAND)
@@ -387,6 +458,7 @@ def preview_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "scan_profiles_month": scan_profiles_month,
     "scan_profiles_months": scan_profiles_months,
+    "scan_profiles_unequal": scan_profiles_unequal,
     "scan_device_lookup_csv": scan_device_lookup_csv,
     "scan_launch_csv": scan_launch_csv,
     "scan_histograms": scan_histograms,
@@ -410,9 +482,14 @@ QUERIES: dict[str, Query] = {
     "launch_dimension": launch_dimension,
     "join_launch_inner": join_launch_inner,
     "first_launched_device": first_launched_device,
+    "first_device_stepwise": first_device_stepwise,
+    "merge_first_device": merge_first_device,
     "first_launched_device_monthly": first_launched_device_monthly,
     "launch_delta": launch_deltas,
     "filter_nonnegative_delta": filter_nonnegative_delta,
+    "deltas_large_lookup": deltas_large_lookup,
+    "enrich_large_lookup": enrich_large_lookup,
+    "join_launch_large_lookup": join_launch_large_lookup,
     "delta_histogram": users_per_delta,
     "delta_row_histogram": rows_per_delta,
     "delta_histogram_monthly": delta_histogram_monthly,
@@ -434,6 +511,8 @@ QUERIES: dict[str, Query] = {
     "datamart_totals": totals,
     "distinct_users": users,
     "job_batch": job_batch,
+    "job_rerun": job_rerun,
+    "job_incremental": job_incremental,
     "job_monthly_report": job_monthly_report,
     "job_monthly_segments": job_monthly_segments,
     "job_monthly_segments_derived": job_monthly_segments_derived,
