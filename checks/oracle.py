@@ -222,6 +222,10 @@ _SELECTS = {
     "segment_datamart_monthly": _union("monthly", _ID_DOCUMENTED),
     "segment_datamart_monthly_coded": _CODED,
     "segment_datamart_derived": _inside("deltas", "derived"),
+    "segment_many_bands": """SELECT 'b' || p_partkey AS segment, count(*) AS n,
+         min(delta) AS least, max(delta) AS most
+       FROM part JOIN deltas ON delta BETWEEN p_partkey % 1000 AND p_partkey % 1000 + 30
+       GROUP BY p_partkey""",
     "segment_audit": f"""SELECT segment, count(ifa) AS n_rows, count(DISTINCT ifa) AS n_users
          FROM ({_CODED}) GROUP BY segment""",
     "datamart_totals": f"""SELECT count(ifa) AS n_rows, count(DISTINCT ifa) AS n_users
@@ -229,6 +233,21 @@ _SELECTS = {
     "distinct_users": f"SELECT DISTINCT ifa FROM ({_CODED})",
     "job_batch": _DATAMART,
     "job_rerun": _DATAMART,
+    "job_losses": """, counted AS (
+         SELECT lower(platform) <> 'android' AS other, device_model IN (
+           SELECT model FROM lookup JOIN launches ON lookup.name = launches.name WHERE brand = 'Brand#1') AS ours
+         FROM profiles
+       )
+       SELECT 'profiles' AS step, count(*) AS n FROM counted
+       UNION ALL SELECT 'other_platform', count(*) FROM counted WHERE other
+       UNION ALL SELECT 'no_app', 0
+       UNION ALL SELECT 'unlaunched', count(*) FROM counted WHERE NOT other AND NOT ours
+       UNION ALL SELECT 'launched', count(*) FROM counted WHERE NOT other AND ours
+       UNION ALL SELECT 'users', count(*) FROM deltas_all
+       UNION ALL SELECT 'undated', count(*) FROM deltas_all WHERE first_seen IS NULL
+       UNION ALL SELECT 'unreadable', count(*) FROM deltas_all WHERE first_seen IS NOT NULL AND launch IS NULL
+       UNION ALL SELECT 'negative', count(*) FROM deltas_all WHERE delta < 0
+       UNION ALL SELECT 'kept', count(*) FROM deltas""",
     "job_incremental": _DATAMART,
     "job_monthly_report": """SELECT delta, CAST(sum(count) AS BIGINT) AS sum_count
          FROM histograms GROUP BY delta ORDER BY delta""",

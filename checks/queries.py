@@ -34,6 +34,7 @@ from launchtide.plans import (
     batch_datamart,
     derived_datamart,
     first_devices,
+    losses_path,
     merge_first,
     monthly_datamart,
     read_datamart,
@@ -408,6 +409,24 @@ def job_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def job_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = scratch(spark, "datamart")
+    run_batch(spark, **_files(spark, sf_dir), out=out, bands=MY_BANDS, labels=LABELS)
+    return spark.read.parquet(losses_path(out))
+
+
+def segment_many_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A band for each part, 30 days from its key's remainder by 1000: beyond what stands as literals."""
+    key = F.col("p_partkey")
+    low = (key % 1000).cast("int")
+    bands = testmap.table(spark, sf_dir, "part").select(
+        F.concat(F.lit("b"), key).alias("segment"), F.lit("SEG").alias("segment_id"), low.alias("lo"), (low + 30).alias("hi")
+    )
+    return assign_segments(_deltas(spark, sf_dir), bands, LABELS).groupBy("segment").agg(
+        F.count("*").alias("n"), F.min("delta").alias("least"), F.max("delta").alias("most")
+    )
+
+
 def job_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job where a run died after writing some of its table."""
     out = scratch(spark, "datamart")
@@ -507,11 +526,13 @@ QUERIES: dict[str, Query] = {
     "segment_datamart_monthly": segment_datamart_monthly,
     "segment_datamart_monthly_coded": segment_datamart_monthly_coded,
     "segment_datamart_derived": segment_datamart_derived,
+    "segment_many_bands": segment_many_bands,
     "segment_audit": audit,
     "datamart_totals": totals,
     "distinct_users": users,
     "job_batch": job_batch,
     "job_rerun": job_rerun,
+    "job_losses": job_losses,
     "job_incremental": job_incremental,
     "job_monthly_report": job_monthly_report,
     "job_monthly_segments": job_monthly_segments,

@@ -8,9 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from launchtide.functions import within
+from launchtide.operators.joins import BROADCAST_BYTES, join_lookup
 from launchtide.schemas import Band, Labels
+from launchtide.sinks.shared import kept
 
-MOST_BANDS = 1000
+#: Bands that may stand as literals beside each delta.
+MOST_BANDS = 64
+#: Deltas lie within this many days of 0, as Spark's dates run from year 1 to 9999.
+FARTHEST = 1 << 22
+LEVELS = 23
 
 
 def _inside() -> Column:
@@ -40,12 +46,53 @@ def _matched(deltas: DataFrame, bands: Sequence[Band]) -> DataFrame:
     return deltas.select("*", F.inline(F.array(*map(_row, bands)))).filter(_inside())
 
 
-def _listed(bands: DataFrame) -> list[Band]:
-    """A band table as a list. Limits are few; a table of more is another kind of join."""
+def _listed(bands: DataFrame) -> list[Band] | None:
+    """A short band table as a list."""
     rows = bands.select("segment", "segment_id", "lo", "hi").limit(MOST_BANDS + 1).collect()
-    if len(rows) > MOST_BANDS:
-        raise ValueError(f"a band table has at most {MOST_BANDS} rows; give a list of Band")
-    return [Band(*row) for row in rows]
+    return [Band(*row) for row in rows] if len(rows) <= MOST_BANDS else None
+
+
+def band_nodes(bands: DataFrame) -> DataFrame:
+    """Each band as few nodes of a binary tree over the days: its columns with ``level, node``.
+
+    A node of level k stands for 2 ** k days. A band takes at most two nodes of a level, and each of its
+    days lies in exactly one of its nodes. Open limits reach to the end of the tree.
+    """
+    limits = bands.select("segment", "segment_id", "lo", "hi").filter("lo is null or hi is null or lo <= hi")
+    low = F.greatest(F.coalesce("lo", F.lit(-FARTHEST)), F.lit(-FARTHEST)).cast("long") + FARTHEST
+    high = F.least(F.coalesce("hi", F.lit(FARTHEST - 1)), F.lit(FARTHEST - 1)).cast("long") + FARTHEST + 1
+    nodes = []
+    for level in range(LEVELS + 1):
+        # The band less what finer nodes hold, from the first to before the last node.
+        first, last = F.expr(f"(low + {(1 << level) - 1}) div {1 << level}"), F.expr(f"high div {1 << level}")
+        for odd, node in ((first, first), (last, last - 1)):
+            taken = (first < last) & (odd % 2 == 1)
+            nodes.append(F.when(taken, F.struct(F.lit(level).alias("level"), node.alias("node"))))
+    found = F.filter(F.array(*nodes), lambda x: x.isNotNull())
+    return (
+        limits.withColumns({"low": low, "high": high})
+        .withColumn("at", F.explode(found))
+        .select("segment", "segment_id", "at.level", "at.node")
+    )
+
+
+def matched_by_days(deltas: DataFrame, bands: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``deltas`` with ``segment, segment_id``, a row for each band of a table of any size.
+
+    The days that occur, some thousands, look up the nodes above them; bands and days then join
+    on equal nodes, and deltas with the outcome on equal days. No pair of day and band is made
+    that does not match, and hot days are dealt over salts where the outcome is not broadcast.
+    ``deltas`` is stored, as it is read twice.
+    """
+    deltas = kept(deltas.filter(F.col("delta").isNotNull()), "deltas")
+    days = deltas.select("delta").distinct()
+    day = F.col("delta").cast("long") + FARTHEST
+    above = F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright(day, k).alias("node")) for k in range(LEVELS + 1)))
+    lines = days.select("delta", F.inline(above))
+    matches = kept(
+        lines.join(band_nodes(bands), ["level", "node"]).select("delta", "segment", "segment_id"), "matches"
+    )
+    return join_lookup(deltas, matches, "delta", "inner", broadcast_bytes)
 
 
 def assign_segments(
@@ -55,10 +102,18 @@ def assign_segments(
 
     ``deltas`` is read once, whatever the number of bands. ``bands`` may be the table
     made by :func:`launchtide.operators.histogram.derive_bands`: its few rows are fetched,
-    which computes them, and stand as literals beside each delta like those of a list.
+    which computes them, and stand as literals beside each delta like those of a list. More
+    than ``MOST_BANDS`` bands are joined by days (:func:`matched_by_days`).
     """
-    bands = _listed(bands) if isinstance(bands, DataFrame) else bands
-    return _matched(deltas, bands).select(
+    if isinstance(bands, DataFrame):
+        listed = _listed(bands)
+    else:
+        listed = bands if len(bands) <= MOST_BANDS else None
+    if listed is None and not isinstance(bands, DataFrame):
+        rows = [(band.segment, band.segment_id, band.lo, band.hi) for band in bands]
+        bands = deltas.sparkSession.createDataFrame(rows, "segment string, segment_id string, lo int, hi int")
+    matched = matched_by_days(deltas, bands) if listed is None else _matched(deltas, listed)
+    return matched.select(
         F.lit(labels.quarter).alias("quarter"),
         F.lit(labels.adoption_type).alias("adoption_type"),
         "ifa",

@@ -1,5 +1,6 @@
 from launchtide.plans.jobs import (
     audit_path,
+    losses_path,
     publish,
     read_datamart,
     run_batch,
@@ -21,6 +22,7 @@ __all__ = [
     "derived_datamart",
     "first_devices",
     "monthly_datamart",
+    "losses_path",
     "merge_first",
     "publish",
     "read_datamart",

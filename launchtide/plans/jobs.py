@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from launchtide.journal import begin, commit, exists, last_run, require_committed, require_counts
 from launchtide.operators.histogram import SHARES, combine_histograms, delta_histogram, derive_bands
+from launchtide.operators.losses import Losses
 from launchtide.operators.segments import assign_segments, segment_audit
 from launchtide.operators.uptake import MONTH_USER
 from launchtide.plans.uptake import batch_datamart, user_deltas
@@ -31,9 +32,16 @@ def audit_path(datamart: str) -> str:
     return f"{datamart.rstrip('/')}-audit"
 
 
-def publish(spark: SparkSession, datamart: DataFrame, path: str) -> DataFrame:
+def losses_path(datamart: str) -> str:
+    """Where the losses of a stored segment table lie: ``step, n``."""
+    return f"{datamart.rstrip('/')}-losses"
+
+
+def publish(spark: SparkSession, datamart: DataFrame, path: str, losses: Losses | None = None) -> DataFrame:
     """Write a segment table and its audit as one, and return the table as stored.
 
+    With ``losses`` that counted along ``datamart``, they are stored too (:func:`losses_path`).
+
     The run is entered in the journal beside ``path`` (:mod:`launchtide.journal`), the table is
     written, the audit counts what is stored, and if both agree the run is committed with the
     rows of each segment. If the job dies on the way, :func:`read_datamart` refuses the table, and
@@ -49,6 +57,8 @@ def publish(spark: SparkSession, datamart: DataFrame, path: str) -> DataFrame:
     segment_audit(stored).write.mode("overwrite").parquet(audit_path(path))
     counts = {row["segment"]: row["n_rows"] for row in spark.read.parquet(audit_path(path)).collect()}
     require_counts(f"the audit of {path}", {"the table": n}, {"the table": sum(counts.values())})
+    if losses:
+        losses.table(stored).coalesce(1).write.mode("overwrite").parquet(losses_path(path))
     commit(spark, path, run, counts)
     return stored
 
@@ -74,17 +84,20 @@ def run_batch(
     """Segment the users of all ``months`` together, write the table to ``out``, return it.
 
     The months form a list or a glob of directory names. Rows and distinct users of each
-    segment are written beside the table (:func:`audit_path`), and both are committed
-    together (:func:`publish`).
+    segment are written beside the table (:func:`audit_path`), and so are the numbers of profiles
+    and users that each step left out (:func:`losses_path`); all are committed together
+    (:func:`publish`).
     """
+    losses = Losses()
     datamart = batch_datamart(
         read_profiles(spark, profiles, country, months, directory, with_month=False),
         read_device_lookup(spark, lookup),
         read_launches(spark, launches),
         bands,
         labels,
+        losses,
     )
-    return publish(spark, datamart, out)
+    return publish(spark, datamart, out, losses)
 
 
 def run_monthly(

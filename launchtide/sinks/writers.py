@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from launchtide.sinks.shared import kept
+
+#: Rows of a file of a month, about; some 100 MB of deltas.
+ROWS = 4_000_000
+
 
 def write_datamart(datamart: DataFrame, path: str, mode: str = "errorifexists") -> int:
     """Write the segment table and return its rows; fails when something is there already."""
@@ -15,38 +20,57 @@ def write_datamart(datamart: DataFrame, path: str, mode: str = "errorifexists")
     return written.get["n"]
 
 
-def _overwrite_months(table: DataFrame, path: str, months: Iterable[int] | None) -> None:
+def month_parts(counts: Mapping[int, int], rows: int) -> dict[int, int]:
+    """In how many parts each month is written, of about ``rows`` rows each."""
+    return {month: max(1, -(-n // rows)) for month, n in counts.items()}
+
+
+def _overwrite_months(table: DataFrame, path: str, months: Iterable[int] | None, rows: int) -> None:
     """Replace the months ``table`` holds, and empty those of ``months`` it has no rows for.
 
-    Other months at ``path`` stay. The rebalance keeps files few, and adaptive
-    execution splits a month that is much larger than the rest over several tasks.
+    Other months at ``path`` stay. The table is stored and its months are counted first. Each
+    month is then dealt over as many tasks as its rows fill, by a hash of the row, so a hot
+    month is split, a small one is one file, and neither depends on adaptive execution.
     """
-    written = Observation()
-    (
-        table.observe(written, F.collect_set("month").alias("months"))
-        .hint("rebalance", "month")
-        .write.option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    spark = table.sparkSession
+    table = kept(table, "months")
+    counts = {row["month"]: row["n"] for row in table.groupBy("month").agg(F.count("*").alias("n")).collect()}
+    if counts:
+        parts, start, places = month_parts(counts, rows), 0, []
+        for month in sorted(parts):
+            places.append((month, start, parts[month]))
+            start += parts[month]
+        plan = F.broadcast(spark.createDataFrame(places, "month int, first int, parts int"))
+        own = F.pmod(F.xxhash64(*table.columns), F.col("parts")).cast("int")
+        (
+            table.join(plan, "month")
+            .withColumn("task", F.col("first") + own)
+            .repartitionById(start, F.col("task"))
+            .select(*table.columns)
+            .write.option("partitionOverwriteMode", "dynamic")
+            .partitionBy("month")
+            .mode("overwrite")
+            .parquet(path)
+        )
     if months is not None:
-        for month in sorted({int(m) for m in months} - set(written.get["months"])):
+        for month in sorted({int(m) for m in months} - set(counts)):
             nothing = table.drop("month").limit(0)
             nothing.write.mode("overwrite").parquet(f"{path}/month={month}")
 
 
 def write_histograms(
-    histograms: DataFrame, path: str, months: Iterable[int] | None = None
+    histograms: DataFrame, path: str, months: Iterable[int] | None = None, rows: int = ROWS
 ) -> None:
-    """Overwrite month-wise histograms, one directory per month."""
-    _overwrite_months(histograms.select("month", "delta", "count"), path, months)
+    """Overwrite month-wise histograms, one directory per month, of about ``rows`` rows a file."""
+    _overwrite_months(histograms.select("month", "delta", "count"), path, months, rows)
 
 
-def write_deltas(deltas: DataFrame, path: str, months: Iterable[int] | None = None) -> None:
-    """Overwrite month-wise user deltas, one directory per month."""
+def write_deltas(
+    deltas: DataFrame, path: str, months: Iterable[int] | None = None, rows: int = ROWS
+) -> None:
+    """Overwrite month-wise user deltas, one directory per month, of about ``rows`` rows a file."""
     columns = ["month", "ifa", "name", "launch", "first_seen", "delta"]
-    _overwrite_months(deltas.select(*columns), path, months)
+    _overwrite_months(deltas.select(*columns), path, months, rows)
 
 
 def write_report(histogram: DataFrame, path: str) -> None:

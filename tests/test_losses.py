@@ -1,0 +1,88 @@
+"""Counts of what is left out, against counting it apart."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+
+from launchtide.operators.losses import PROFILES, USERS, Losses
+from launchtide.operators.sightings import DROP, FIRST, KEEP, SKIP
+from launchtide.operators.uptake import MONTH_USER, USER
+from launchtide.plans import batch_datamart, user_deltas
+from tests import random_tables
+from tests.test_plans import base, fact_side, inputs, plan  # noqa: F401
+
+
+def brute(profiles, lookup, launches, brand, by, null_dates, null_users):
+    launch_of = {}
+    for row in launches.collect():
+        best = launch_of.get(row.name)
+        launch_of[row.name] = row.launch if best is None else best if row.launch is None else min(best, row.launch)
+    names = {}
+    for row in lookup.collect():
+        name = row.name or "Not Detected"
+        if (row.brand or "Not Detected") == brand and row.model is not None and name in launch_of:
+            names.setdefault(row.model, set()).add(name)
+    counts, first = dict.fromkeys(("profiles", *PROFILES, "users", *USERS), 0), {}
+    for row in profiles.collect():
+        counts["profiles"] += 1
+        if (row.device.platform or "").lower() != "android":
+            counts["other_platform"] += 1
+            continue
+        times = [a.first_seen for a in row.app or []]
+        if null_dates == SKIP:
+            times = [t for t in times if t is not None]
+        if not times or (null_users == DROP and row.ifa is None):
+            counts["no_app"] += 1
+            continue
+        if row.device.device_model not in names:
+            counts["unlaunched"] += 1
+            continue
+        counts["launched"] += 1
+        for time in times:
+            for name in names[row.device.device_model]:
+                launch = launch_of[name]
+                key = (time or datetime.min, name, launch is None, launch or datetime.max.date(), time, launch)
+                user = (row.month, row.ifa or "Not Detected") if by == MONTH_USER else row.ifa or "Not Detected"
+                first[user] = min(first.get(user, key), key, key=lambda k: k[:4])
+    for *_, time, launch in first.values():
+        counts["users"] += 1
+        if time is None:
+            counts["undated"] += 1
+        elif launch is None:
+            counts["unreadable"] += 1
+        else:
+            counts["negative" if time.date() < launch else "kept"] += 1
+    return counts
+
+
+@pytest.mark.parametrize("size", [1 << 25, -1])
+@pytest.mark.parametrize("by, null_dates, null_users", [(USER, FIRST, KEEP), (MONTH_USER, FIRST, DROP), (USER, SKIP, KEEP)])
+def test_counts_add_up(spark, size, by, null_dates, null_users):
+    tables = random_tables.make(spark, 7, 600)
+    losses = Losses()
+    deltas = user_deltas(*tables, random_tables.BRAND, by, null_dates, null_users, size, losses)
+    n = len(deltas.collect())
+    counts = losses.counts()
+    assert counts == brute(*tables, random_tables.BRAND, by, null_dates, null_users)
+    assert counts["profiles"] == sum(counts[step] for step in PROFILES)
+    assert counts["users"] == sum(counts[step] for step in USERS) and counts["kept"] == n
+    assert {r.step: r.n for r in losses.table(deltas, n).collect()} == counts
+    with pytest.raises(RuntimeError, match="don't add up"):
+        losses.table(deltas, n + 1)
+
+
+def test_the_plan_stays_one_scan_and_one_shuffle(inputs):  # noqa: F811
+    counted = fact_side(plan(batch_datamart(*inputs, losses=Losses())))
+    bare = fact_side(plan(batch_datamart(*inputs)))
+    for mark in ("Exchange ", "WindowGroupLimit", "Join ", "FileScan"):
+        assert counted.count(mark) == bare.count(mark)
+    scan = "app:array<struct<first_seen:timestamp>>"
+    assert scan in bare and "ReadSchema" in counted
+
+
+def test_no_profiles(spark, inputs):  # noqa: F811
+    losses = Losses()
+    assert batch_datamart(inputs[0].limit(0), *inputs[1:], losses=losses).count() == 0
+    assert set(losses.counts().values()) == {0}

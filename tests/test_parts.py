@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks import testmap
 from launchtide.functions import earliest, earliest_unless_null, month_of_path, within, yyyymm
-from launchtide.schemas import DATAMART, ID_AS_CODED, ID_DOCUMENTED, MY_BANDS, PROFILE, require
+from launchtide.operators import assign_segments
+from launchtide.operators.segments import band_nodes, matched_by_days
+from launchtide.schemas import DATAMART, ID_AS_CODED, ID_DOCUMENTED, MY_BANDS, PROFILE, Band, require
+from launchtide.sinks import write_deltas
 from launchtide.sources.profiles import distinct_names
 
 
@@ -118,3 +124,72 @@ def test_scratch_lies_where_the_session_says():
         testmap.scratch(Session(spark_master="yarn"), "deltas")
     alone = Session(spark_master="local[2]")
     assert testmap.scratch(alone, "deltas").startswith(alone.settings["spark_checkpoint_dir"])
+
+
+def _bands(rng, n, days):
+    """Overlapping, open, empty and touching bands."""
+    out = []
+    for k in range(n):
+        lo, hi = sorted((rng.randrange(-days, days), rng.randrange(-days, days)))
+        kind = rng.randrange(8)
+        lo, hi = (None if kind == 0 else lo), (None if kind == 1 else hi)
+        if kind == 2:
+            hi = lo
+        if kind == 3 and None not in (lo, hi):
+            lo, hi = hi + 1, lo
+        out.append(Band(f"s{k}", f"id{k % 7}", lo, hi))
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 65, 400])
+def test_bands_by_days_equal_bands_one_by_one(spark, n):
+    rng = random.Random(n)
+    bands = _bands(rng, n, 300)
+    deltas = [(f"u{k}", "n", None, None, rng.choice([None, rng.randrange(-320, 320)])) for k in range(300)]
+    deltas += [("hot", "n", None, None, 7)] * 100 + [("far", "n", None, None, d) for d in (-3_700_000, 3_700_000)]
+    df = spark.createDataFrame(deltas, "ifa string, name string, launch date, first_seen timestamp, delta int")
+    table = spark.createDataFrame([(b.segment, b.segment_id, b.lo, b.hi) for b in bands], "segment string, segment_id string, lo int, hi int")
+    wanted = Counter(
+        (u, b.segment, d)
+        for u, _, _, _, d in deltas
+        for b in bands
+        if d is not None and (b.lo is None or d >= b.lo) and (b.hi is None or d <= b.hi)
+    )
+    for size in (1 << 25, -1):
+        found = matched_by_days(df, table, size).select("ifa", "segment", "delta")
+        assert Counter(map(tuple, found.collect())) == wanted
+    for given in (bands, table):
+        found = assign_segments(df, given).select("ifa", "segment", "delta")
+        assert Counter(map(tuple, found.collect())) == wanted
+    assert assign_segments(df.limit(0), table).isEmpty() and assign_segments(df, table.limit(0)).isEmpty()
+
+
+def test_very_many_bands_make_no_pairs_that_do_not_match(spark):
+    n = 100_000
+    bands = spark.range(n).selectExpr("concat('s', id) AS segment", "'x' AS segment_id", "cast(id % 3000 AS int) AS lo", "cast(id % 3000 + id % 5 AS int) AS hi")
+    deltas = spark.range(20_000).selectExpr("concat('u', id) AS ifa", "'n' AS name", "date'2020-01-01' AS launch", "timestamp'2020-01-01' AS first_seen", "cast(CASE WHEN id % 2 = 0 THEN 5 ELSE id % 4000 END AS int) AS delta")
+    assert band_nodes(bands).count() < 4 * n
+    found = assign_segments(deltas, bands)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    wanted = {d: sum(1 for k in range(n) if k % 3000 <= d <= k % 3000 + k % 5) for d in (5, 1001, 2999)}
+    rows = {r.delta: r.n for r in found.filter("ifa in ('u0', 'u1001', 'u2999')").groupBy("delta").agg(F.count("*").alias("n")).collect()}
+    assert rows == wanted
+
+
+@pytest.mark.parametrize("adaptive", ["false", "true"])
+def test_a_hot_month_is_split_over_files(spark, tmp_path, adaptive):
+    """Half of all rows in one month, with and without adaptive execution."""
+    df = spark.range(40_000).selectExpr("CASE WHEN id % 2 = 0 THEN 202001 ELSE 202002 + cast(id % 20 AS int) END AS month", "concat('u', id) AS ifa", "'n' AS name", "date'2020-01-01' AS launch", "timestamp'2020-01-01' AS first_seen", "cast(id % 9 AS int) AS delta")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        write_deltas(df, f"{tmp_path}/deltas", [202001, 203001], rows=2_500)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    stored = spark.read.parquet(f"{tmp_path}/deltas")
+    files = {}
+    for row in stored.groupBy("month", F.input_file_name().alias("file")).agg(F.count("*").alias("n")).collect():
+        files.setdefault(row.month, []).append(row.n)
+    assert len(files[202001]) == 8 and max(files[202001]) < 3_000
+    assert all(len(sizes) == 1 for month, sizes in files.items() if month != 202001)
+    assert stored.select(df.columns).exceptAll(df).isEmpty() and stored.count() == 40_000
