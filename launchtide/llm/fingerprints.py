@@ -90,7 +90,7 @@ def fingerprint_documents(
 
     A null text is empty. A text without words has the fingerprint "" and likeness 0 to
     one with words, 1 to another without. Rows without doc_id come last; rows that repeat
-    a doc_id are ordered by their texts. Only ``doc_id`` and ``text`` are read.
+    a doc_id are ordered by a hash of their texts, then by these. Only ``doc_id`` and ``text`` are read.
     """
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,9 +130,11 @@ def fingerprint_documents(
                 yield pa.RecordBatch.from_pydict(found, schema)
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Rows of one doc_id part by their texts, and equal rows, whose order means nothing, by number.
+    order = (F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), "text")
     walked = stored(
-        docs.repartitionByRange(F.col("doc_id").asc_nulls_last())
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_last(), "text")
+        docs.repartitionByRange(*order[:2], F.monotonically_increasing_id())
+        .sortWithinPartitions(*order)
         .mapInArrow(walk, _EDGED),
         "fingerprints",
     )

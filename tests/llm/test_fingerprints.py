@@ -6,19 +6,30 @@ import random
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
 from tests.llm.test_near_duplicates import shingles
 
 from launchtide.llm.fingerprints import edited, fingerprint_documents, likeness, packed
+from launchtide.llm.minhash import probe_order
+from launchtide.llm.words import shingle_sets
 
 
 def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
+def hashed(text):
+    """Spark's xxhash64 of a text, which is its seed for a null."""
+    found = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    return found - (1 << 64) if found >= 1 << 63 else found
+
+
 def check(rows, found):
-    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] is not None, r[1] or ""))
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, hashed(r[1]), r[1] or ""))
     ids, texts = [r[0] for r in ordered], [r[1] or "" for r in ordered]
     expected = []
     for k, text in enumerate(texts):
@@ -63,3 +74,44 @@ def test_packing_keeps_the_low_bits():
     assert packed(values, 4) == "12f8"
     a, b = np.arange(16)[None] % 16, np.zeros((1, 16))
     assert likeness(a, a, 4)[0] == 1 and likeness(a, b, 4)[0] == 0
+
+
+def plain_signature(own, n_bins):
+    """Bins of 64-bit shingle hashes, one by one, then densified one by one."""
+    mask, bins = (1 << 64) - 1, [None] * n_bins
+    least = [None] * n_bins
+    for h in own:
+        at = h >> (64 - (n_bins.bit_length() - 1))
+        if least[at] is None or h < least[at]:
+            least[at], bins[at] = h, ((h * 0x2545F4914F6CDD1D) & mask) >> 32
+    filled = [b is not None for b in bins]
+    if not any(filled):
+        return [0] * n_bins
+    order = probe_order(n_bins)
+    return [bins[k] if filled[k] else next(bins[j] for j in order[k] if filled[j]) for k in range(n_bins)]
+
+
+def test_fingerprints_equal_a_loop_over_shingles(spark, edge_docs, edge_rows):
+    for row in fingerprint_documents(edge_docs).collect():
+        texts = [t for i, t, *_ in edge_rows if i == row.doc_id]
+        made = set()
+        for text in texts:
+            (own,) = next(iter(shingle_sets(pa.array([text or ""]), 5)))
+            bins = plain_signature([int(h) for h in own], 256)
+            made.add("".join(f"{b & 15:x}" for b in bins) if len(own) else "")
+        assert row.fingerprint in made
+
+
+def test_half_of_all_rows_without_doc_id(spark):
+    """The hot key is parted without adaptive execution, and the next text crosses the parts."""
+    rows = [(None, f"text number {k % 40} of the hot key") for k in range(600)] + [(k, f"other text {k}") for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = fingerprint_documents(docs)
+        check(rows, found.collect())
+        parts = docs.repartitionByRange(8, F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.monotonically_increasing_id())
+        sizes = [r.n for r in parts.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(sizes) < 300
