@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from launchtide.llm.shared import stored
@@ -26,8 +26,11 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
 
     A turn's hash covers its place from 1, role and text; a prefix's hash is the exclusive
     or of its turns' hashes, so it rolls from turn to turn in one pass and equal prefixes
-    have equal hashes whatever their turn numbers. Two are kept, 128 bits together.
+    have equal hashes whatever their turn numbers. Two are kept, 128 bits together. A turn
+    without conv_id is a conversation of its own.
     """
+    lone = turns.filter("conv_id is null").select("conv_id", F.lit(1).alias("place"), *_first_place(), F.lit(True).alias("last"))
+    turns = turns.filter("conv_id is not null")
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_last(), "h1", "h2")
     running = order.rowsBetween(Window.unboundedPreceding, 0)
     placed = turns.select("conv_id", "turn", "h1", "h2").withColumn("place", F.row_number().over(order))
@@ -37,11 +40,16 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
         F.bit_xor(F.xxhash64("place", "h1", "h2")).over(running).alias("p1"),
         F.bit_xor(F.xxhash64("h2", "place", "h1")).over(running).alias("p2"),
         F.lead("place").over(order).isNull().alias("last"),
-    )
+    ).union(lone)
+
+
+def _first_place() -> list[Column]:
+    """``p1, p2`` of a conversation of one turn."""
+    return [F.xxhash64(F.lit(1), "h1", "h2").alias("p1"), F.xxhash64("h2", F.lit(1), "h1").alias("p2")]
 
 
 def maximal_conversations(turns: DataFrame) -> DataFrame:
-    """``conv_id, n_turns, n_copies`` of conversations that are no prefix of a longer one.
+    """``conv_id, p1, p2, n_turns, n_copies`` of conversations that are no prefix of a longer one.
 
     A conversation goes if its whole hash is that of a proper prefix of another: an
     anti-join with the distinct hashes of proper prefixes. Of equal conversations the one
@@ -57,7 +65,7 @@ def maximal_conversations(turns: DataFrame) -> DataFrame:
     )
     inner = prefixes.filter("not last").select("p1", "p2", "place").distinct()
     return whole.join(inner, ["p1", "p2", "place"], "left_anti").select(
-        "conv_id", F.col("place").cast("long").alias("n_turns"), "n_copies"
+        "conv_id", "p1", "p2", F.col("place").cast("long").alias("n_turns"), "n_copies"
     )
 
 
@@ -72,19 +80,24 @@ def format_chats(
 
     Turns are taken in the order of ``turn``, nulls last, equal ones in the order of their
     hashes; their numbers need not begin at 0. A null role or text differs from an empty
-    one but renders like it. Rows without conv_id make up one conversation. No turns, no
-    rows. Only ``conv_id, turn, role, text`` are read.
+    one but renders like it. A row without conv_id is a conversation of its own; of equal ones
+    without any conv_id one stays, and has none. No turns, no rows. Only ``conv_id, turn, role, text`` are read.
     """
     turns = _turns(turns)
     kept = maximal_conversations(turns).withColumnRenamed("conv_id", "id")
     line = F.concat(
         F.lit(begin), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(f"{end}\n")
     )
+    known, lone = kept.filter("id is not null").drop("p1", "p2"), kept.filter("id is null")
     lines = (
-        turns.join(kept, turns.conv_id.eqNullSafe(kept.id))
+        turns.join(known, turns.conv_id == known.id)
         .groupBy("conv_id", "n_turns", "n_copies")
         .agg(F.collect_list(F.struct(F.col("turn").isNull(), "turn", "h1", "h2", line.alias("line"))).alias("lines"))
     )
-    return lines.withColumn("text", F.array_join(F.transform(F.sort_array("lines"), lambda x: x.line), "")).select(
-        "conv_id", "n_turns", "n_copies", F.length("text").cast("long").alias("n_chars"), "text"
+    rendered = lines.select(
+        "conv_id", "n_turns", "n_copies", F.array_join(F.transform(F.sort_array("lines"), lambda x: x.line), "").alias("text")
     )
+    # Equal turns are one line ahead of the shuffle, however many there are.
+    single = turns.filter("conv_id is null").select(*_first_place(), line.alias("text")).groupBy("p1", "p2").agg(F.min("text").alias("text"))
+    rendered = rendered.union(single.join(lone, ["p1", "p2"]).select(F.col("id"), "n_turns", "n_copies", "text"))
+    return rendered.select("conv_id", "n_turns", "n_copies", F.length("text").cast("long").alias("n_chars"), "text")

@@ -19,16 +19,32 @@ def words(text: str = "text"):
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def uniform(doc_id: str, seed: int):
-    """A number between 0 and 1 that a document keeps in every run: 52 bits of its md5."""
-    digits = F.substring(F.md5(F.concat_ws(":", F.col(doc_id).cast("string"), F.lit(str(seed)))), 1, 13)
+def uniform(doc_id: str, text: str, seed: int):
+    """A number between 0 and 1 that a document keeps in every run: 52 bits of an md5.
+
+    It is drawn from doc_id and text, so rows that repeat a doc_id or have none differ as
+    long as their texts do.
+    """
+    own = F.md5(F.coalesce(text, F.lit("")))
+    digits = F.substring(F.md5(F.concat_ws(":", F.col(doc_id).cast("string"), own, F.lit(str(seed)))), 1, 13)
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
+def pull(size):
+    """A document's weight by its words, as a whole number: their square root, times 1024."""
+    return F.floor(F.sqrt(size + 1) * 1024)
+
+
+def inclusion_odds(chance, size, mean_pull):
+    """A document's odds to be taken once more: those of its source, times its pull over the
+    source's mean. A document of four times the words has twice the odds."""
+    return chance / (1 - chance) * (pull(size) / mean_pull)
+
+
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
-    """Target, whole copies and chance of one more copy for each source.
+    """Target, whole copies and mean chance of one more copy for each source.
 
-    ``sizes``: (source, source_size), a row per source. The target is ``weight * level``
+    ``sizes``: (source, source_size, mean_pull), a row per source. The target is ``weight * level``
     but at most ``most * source_size``; the level is the one at which all targets make
     ``share`` of all sizes. Sources fill up in the order of limit over weight, so the level
     stands at the first that does not.
@@ -38,6 +54,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     limited = sizes.select(
         "source",
         "source_size",
+        "mean_pull",
         F.element_at(cycle, ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")).alias("weight"),
         (F.col("source_size") * float(most)).alias("limit"),
     ).withColumn("ratio", F.col("limit") / F.col("weight"))
@@ -57,14 +74,14 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
         .withColumn("whole", F.floor(rate))
         .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
         .withColumn("chance", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0))
-        .select("source", "source_size", "target", "whole", "rest", "chance")
+        .select("source", "source_size", "mean_pull", "target", "whole", "rest", "chance")
     )
 
 
 def _ranked(sized: DataFrame, plan: DataFrame) -> DataFrame:
     """Documents of sources with a rest to take, by random odds over inclusion odds."""
     chance = F.col("chance")
-    odds = F.try_divide(F.col("drawn") / (1 - F.col("drawn")), chance / (1 - chance))
+    odds = F.try_divide(F.col("drawn") / (1 - F.col("drawn")), inclusion_odds(chance, F.col("size"), F.col("mean_pull")))
     return (
         sized.join(broadcast_if_small(plan), sized.source.eqNullSafe(plan.source))
         .select(sized.source, "doc_id", "size", "rest", F.when(chance > 0, odds).alias("odds"))
@@ -141,16 +158,16 @@ def mix(
 
     A source is to give ``target`` words (:func:`source_targets`): sources in the order of
     their names, null last, have the given weights in turn. A document of a source with
-    rate ``target / source_size`` has the whole part as certain copies; the fraction is its
-    chance of one more. Within a source documents are ranked by their random odds over
-    those inclusion odds (Pareto order sampling) and taken until the source's rest is
-    reached, to the nearest: the next document is taken if at least half of it fits. So a
+    rate ``target / source_size`` has the whole part as certain copies; the fraction is the
+    mean chance of one more. A document's own inclusion odds are those of this chance, times
+    the square root of its words over the source's mean (:func:`inclusion_odds`). Within a source
+    documents are ranked by their random odds over these inclusion odds (Pareto order
+    sampling) and taken until the source's rest is reached, to the nearest: the next document is taken if at least half of it fits. So a
     source misses its target by at most half a document, and no document is taken more
     than ``ceil(most)`` times.
 
-    The random number is a hash of doc_id and ``seed``: reruns agree. Rows that repeat a
-    doc_id of a source are taken or left together, so they can add to the miss. Documents
-    without doc_id share one number. A null or blank text has size 0; a source of such
+    The random number is a hash of doc_id, text and ``seed``: reruns agree. Rows alike in doc_id and
+    text are taken or left together, so they can add to the miss. A null or blank text has size 0; a source of such
     texts has target 0. Columns of the same names in ``docs`` are replaced.
     """
     docs = docs.drop("mix_size", "mix_source_size", "mix_target", "mix_copies")
@@ -159,7 +176,7 @@ def mix(
             "source",
             F.col("doc_id").cast("long").alias("doc_id"),
             words().alias("size"),
-            uniform("doc_id", seed).alias("drawn"),
+            uniform("doc_id", "text", seed).alias("drawn"),
         ),
         "sizes",
     )
@@ -168,7 +185,10 @@ def mix(
 
 def plan_of(sized: DataFrame, weights: Sequence[float], share: float, most: float) -> DataFrame:
     """One row per source: its target, whole copies, and where its ranking is cut."""
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    # The mean pull of a source's words; sums of whole numbers don't depend on their order.
+    drawn = F.sum((F.col("size") * pull(F.col("size"))).cast("decimal(38,0)")).cast("double")
+    mean = F.coalesce(F.try_divide(drawn, F.sum("size").cast("double")), F.lit(1.0))
+    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), mean.alias("mean_pull"))
     targets = stored(source_targets(sizes, weights, share, most), "targets")
     cuts = stored(_cuts(_ranked(sized, targets)), "cuts").withColumnRenamed("source", "of")
     return stored(
@@ -179,8 +199,8 @@ def plan_of(sized: DataFrame, weights: Sequence[float], share: float, most: floa
 def _apply(docs: DataFrame, plan: DataFrame, size, seed: int) -> DataFrame:
     names = {c: spare(docs, f"mix_{c}_") for c in plan.columns}
     plan = broadcast_if_small(plan.withColumnsRenamed(names))
-    chance, drawn = F.col(names["chance"]), uniform("doc_id", seed)
-    odds = F.try_divide(drawn / (1 - drawn), chance / (1 - chance))
+    chance, drawn = F.col(names["chance"]), uniform("doc_id", "text", seed)
+    odds = F.try_divide(drawn / (1 - drawn), inclusion_odds(chance, size, F.col(names["mean_pull"])))
     bin_, at = _bin(odds), F.col(names["cut_bin"])
     place = F.struct(odds.alias("odds"), F.col("doc_id").cast("long").alias("doc_id"))
     last = F.struct(F.col(names["cut_odds"]).alias("odds"), F.col(names["cut_id"]).alias("doc_id"))

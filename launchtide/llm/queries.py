@@ -105,20 +105,23 @@ ORACLE_SQL: dict[str, str] = {
     "op4_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-         (CAST(CAST('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), '4')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5)
+         (CAST(CAST('0x' || substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), md5(coalesce(text, '')), '4')), 1, 13) AS BIGINT) AS DOUBLE) + 0.5)
            / 4503599627370496.0 AS drawn
   FROM documents
+), pulled AS (
+  SELECT *, CAST(floor(sqrt(size + 1) * 1024) AS BIGINT) AS pull FROM sized
 ), sources AS (
-  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(2 * sum(size) AS DOUBLE) AS cap,
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CASE WHEN sum(size) > 0 THEN CAST(sum(CAST(size * pull AS HUGEINT)) AS DOUBLE) / CAST(sum(size) AS DOUBLE) ELSE 1 END AS mean_pull, CAST(2 * sum(size) AS DOUBLE) AS cap,
          CAST(list_value(5, 2, 1)[1 + (row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3] AS DOUBLE) AS weight
-  FROM sized GROUP BY source
+  FROM pulled GROUP BY source
 ), filling AS (
   SELECT *, (sum(source_size) OVER () * 1.5 - coalesce(sum(cap) OVER before, 0))
             / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
   FROM sources
   WINDOW before AS (ORDER BY cap / weight, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), plan AS (
-  SELECT source, source_size,
+  SELECT source, source_size, mean_pull,
          coalesce(least(cap, weight * (SELECT arg_min(level, cap / weight) FROM filling WHERE level < cap / weight)), cap) AS target
   FROM filling
 ), rates AS (
@@ -130,9 +133,9 @@ WITH sized AS (
 ), ranked AS (
   SELECT s.*, r.source_size, target, whole, rest, chance,
          coalesce(sum(size) OVER (PARTITION BY s.source
-           ORDER BY drawn / (1 - drawn) / (chance / (1 - chance)), doc_id
+           ORDER BY drawn / (1 - drawn) / (chance / (1 - chance) * (pull / mean_pull)), doc_id
            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM sized s JOIN rest r ON s.source IS NOT DISTINCT FROM r.source
+  FROM pulled s JOIN rest r ON s.source IS NOT DISTINCT FROM r.source
 )
 SELECT doc_id, size, source_size, target,
        CAST(size * (whole + CASE WHEN chance > 0 AND before + size / 2 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken
@@ -142,7 +145,8 @@ FROM ranked
     "op6_chats": r"""
 WITH ordered AS (
   SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS LAST, role, text) AS turns
-  FROM conversations GROUP BY conv_id
+  FROM (SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS lone FROM conversations)
+  GROUP BY conv_id, lone
 ), distinct_ones AS (
   SELECT min(conv_id) AS conv_id, turns, len(turns) AS n, count(*) AS n_copies FROM ordered GROUP BY turns
 ), kept AS (
