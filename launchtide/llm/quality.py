@@ -250,12 +250,14 @@ def fit_quality(docs: DataFrame, labels: DataFrame, *, fit_rows: int = FIT_ROWS,
     sample = stored(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id"))
-        .select("doc_id", "quality", F.coalesce("text", F.lit("")).cast("binary").alias("part")),
+        .select("doc_id", "quality", F.coalesce("text", F.lit("")).cast("binary").alias("part"), F.monotonically_increasing_id().alias("nth")),
         "sample",
     )
-    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "part").rowsBetween(Window.unboundedPreceding, -1)
-    sample = sample.withColumn("before", F.coalesce(F.sum(F.octet_length("part")).over(before), F.lit(0)))
-    rows = sample.filter(F.col("before") < fit_bytes).orderBy("doc_id", "part").select("quality", "part").toArrow()
+    # Only lengths meet in one task, not texts.
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id", "hash", "nth").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sample.select("doc_id", "nth", F.xxhash64("part").alias("hash"), F.octet_length("part").alias("size"))
+    first = sizes.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0))).filter(F.col("before") < fit_bytes)
+    rows = sample.join(F.broadcast(first.select("nth")), "nth").orderBy("doc_id", "part").select("quality", "part").toArrow()
     texts = [np.frombuffer(part.as_buffer(), np.uint8) for part in rows.column("part")]
     return fit_network(texts, rows.column("quality").to_numpy().astype(float))
 
