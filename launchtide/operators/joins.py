@@ -32,7 +32,7 @@ def measured_bytes(table: DataFrame) -> int:
 
 def fits(broadcast_bytes: int, *tables: DataFrame | None) -> bool:
     """Whether one of the tables, measured in turn, is small enough to broadcast."""
-    return any(measured_bytes(t) <= broadcast_bytes for t in tables if t is not None)
+    return broadcast_bytes >= 0 and any(measured_bytes(t) <= broadcast_bytes for t in tables if t is not None)
 
 
 def filter_bits(n: int) -> int:
