@@ -51,6 +51,12 @@ def test_a_page_with_an_article():
         ("<div class='with-sidebar'>kept</div><div id='left-sidebar'>gone</div>", "kept"),
         ("<article><p>&bogus; &amp;amp; &#x41;</p></article>", "&bogus; &amp; A"),
         ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
+        ("<article><p>foo<wbr>bar<img src=x>baz<input>qux<br>end</p></article>", "foobarbazqux end"),
+        ("<article><p>a</p><section id='privacy'><p>Privacy law.</p></section></article>", "a\nPrivacy law."),
+        ("<article><div class='menu-of-the-day'>Soup</div><div class='menu-left'>Home</div></article>", "Soup"),
+        ("<article><p>text</p><article><p>a comment</p></article><p>more</p></article>", "text\nmore"),
+        ("<p>before</p><article data-u=/a/>inside</article><p>after</p>", "inside"),
+        ("<article>a<div/>b</div><svg/>c</article>", "a\nb\nc"),
         ("<p " * 2000 + "x", "<p " * 1999 + "<p x"),
     ],
 )

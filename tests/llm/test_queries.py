@@ -7,6 +7,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -63,3 +64,28 @@ def test_pipeline_stages_keep_the_columns_of_documents(spark):
     assert ends == before.select("doc_id").distinct().count()
     empty = [stage(spark, docs.limit(0), SF_DIR).count() for _, stage in corpus_pipeline.STAGES]
     assert empty == [0] * 5
+
+
+def test_stages_take_nulls_repeats_and_clashing_columns(spark, edge_rows):
+    """Each stage on its own, over texts of all kinds beside the given documents."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    odd = spark.createDataFrame(
+        [(*row, None if row[1] is None else len(row[1])) for row in edge_rows],
+        "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    )
+    clashing = {"score": "x", "kept": "y", "KEPT_ID": "z", "mix_size": "w", "copy": "v"}
+    mixed = docs.unionByName(odd).unionByName(odd.filter("doc_id = 7"))
+    wide = mixed
+    for name, value in clashing.items():
+        wide = wide.withColumn(name, F.lit(value))
+    whole = set(map(str, wide.collect()))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, wide, SF_DIR)
+        if name == "mixing":
+            # Its own columns replace those of the same names.
+            assert set(docs.columns) <= set(kept.columns) and kept.count() > 0
+        else:
+            rows_kept = kept.select(wide.columns).collect()
+            assert kept.columns == wide.columns and set(map(str, rows_kept)) <= whole and 0 < len(rows_kept) < wide.count()
+    pieces = corpus_pipeline.packing(spark, wide, SF_DIR)
+    assert pieces.groupBy("doc_id").count().count() == mixed.select("doc_id").distinct().count()
