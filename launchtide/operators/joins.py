@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from launchtide.functions.observed import observed
+
 BROADCAST_BYTES = 32 << 20
 CELL_BYTES = 16
 #: A key with at least this share of the rows is hot; so there are at most as many as its inverse.
@@ -95,7 +97,7 @@ def hot_keys(facts: DataFrame, on: str) -> DataFrame:
         .agg(F.count("*").alias("n"))
     )
     most = counts.orderBy(F.col("n").desc(), on).limit(int(1 / HOT_SHARE)).collect()
-    total = every.get["n"]
+    total = observed(every).get("n", 0)
     rows = [(row[on], -(-row["n"] * SALTS // max(total, 1))) for row in most if row["n"] >= max(1, total * HOT_SHARE)]
     schema = T.StructType([facts.schema[on], T.StructField("salts", T.IntegerType())])
     return facts.sparkSession.createDataFrame(rows, schema)

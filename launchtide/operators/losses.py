@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from launchtide.functions.observed import observed
 from launchtide.schemas import PLATFORM
 
 #: What is read, and what becomes of it: the latter add up to the former.
@@ -43,8 +44,8 @@ class Losses(NoLosses):
     has none, ``negative`` if they were first seen before it, and ``kept``.
 
     Spark adds observations up by task. A task that ran again because an executor was lost
-    after its stage had ended is counted twice, which :meth:`table` finds, as kept users then differ
-    from those written; the written rows are right in any case.
+    after its stage had ended is counted twice; :meth:`table` finds that in kept users. The
+    written rows are right in any case.
     """
 
     def __init__(self, platform: str = PLATFORM):
@@ -74,29 +75,39 @@ class Losses(NoLosses):
             _where(F.col("delta") < 0).alias("negative"),
         )
 
-    def counts(self) -> dict[str, int]:
-        """All counts, ``profiles`` and ``users`` first of their parts."""
+    def counts(self) -> dict[str, int | None]:
+        """All counts, ``profiles`` and ``users`` first of their parts.
+
+        Where no model is launched, Spark may not read the profiles: their counts are None.
+        """
         found = {}
-        for observed in (self._read, self._sighted, self._launched, self._users):
-            found |= observed.get
+        for one in (self._read, self._sighted, self._launched, self._users):
+            found |= observed(one)
+
+        def less(whole: str, *parts: str) -> int | None:
+            names = (whole, *parts)
+            return found[whole] - sum(found[part] for part in parts) if all(x in found for x in names) else None
+
+        # What nothing was joined to or chosen from is 0, not unknown.
+        for step in ("launched", "users", "undated", "unreadable", "negative"):
+            found.setdefault(step, 0)
         return {
-            "profiles": found["profiles"],
-            "other_platform": found["profiles"] - found["known"],
-            "no_app": found["known"] - found["sighted"],
-            "unlaunched": found["sighted"] - found["launched"],
+            "profiles": less("profiles"),
+            "other_platform": less("profiles", "known"),
+            "no_app": less("known", "sighted"),
+            "unlaunched": less("sighted", "launched"),
             "launched": found["launched"],
             "users": found["users"],
             "undated": found["undated"],
             "unreadable": found["unreadable"],
             "negative": found["negative"],
-            "kept": found["users"] - found["undated"] - found["unreadable"] - found["negative"],
+            "kept": less("users", "undated", "unreadable", "negative"),
         }
 
     def table(self, stored: DataFrame, kept: int | None = None) -> DataFrame:
-        """``step, n``; an error if a part is below 0, or ``kept`` differs from the users that were
-        written. ``stored`` gives the session."""
+        """``step, n``; an error if ``kept``, the users that were written, is given and differs.
+        ``stored`` gives the session."""
         counts = self.counts()
-        below = [step for step, n in counts.items() if n < 0]
-        if below or (kept is not None and counts["kept"] != kept):
+        if kept is not None and counts["kept"] != kept:
             raise RuntimeError(f"losses don't add up: {counts}, {kept} users written")
         return stored.sparkSession.createDataFrame(list(counts.items()), SCHEMA)

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from launchtide.functions.observed import observed
 from launchtide.sinks.shared import kept
 
 #: Rows of a file of a month, about; some 100 MB of deltas.
@@ -17,7 +18,7 @@ def write_datamart(datamart: DataFrame, path: str, mode: str = "errorifexists")
     """Write the segment table and return its rows; fails when something is there already."""
     written = Observation()
     datamart.observe(written, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(path)
-    return written.get["n"]
+    return observed(written).get("n", 0)
 
 
 def month_parts(counts: Mapping[int, int], rows: int) -> dict[int, int]:

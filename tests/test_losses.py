@@ -9,7 +9,8 @@ import pytest
 from launchtide.operators.losses import PROFILES, USERS, Losses
 from launchtide.operators.sightings import DROP, FIRST, KEEP, SKIP
 from launchtide.operators.uptake import MONTH_USER, USER
-from launchtide.plans import batch_datamart, user_deltas
+from launchtide.plans import batch_datamart, losses_path, publish, read_datamart, user_deltas
+from launchtide.schemas import Labels
 from tests import random_tables
 from tests.test_plans import base, fact_side, inputs, plan  # noqa: F401
 
@@ -86,3 +87,23 @@ def test_no_profiles(spark, inputs):  # noqa: F811
     losses = Losses()
     assert batch_datamart(inputs[0].limit(0), *inputs[1:], losses=losses).count() == 0
     assert set(losses.counts().values()) == {0}
+
+
+@pytest.mark.parametrize("size", [1 << 25, -1])
+def test_a_brand_without_launched_models(spark, size):
+    """Spark may then leave the profiles unread."""
+    tables = random_tables.make(spark, 3, 300)
+    losses = Losses()
+    assert user_deltas(*tables, "Nope", losses=losses, broadcast_bytes=size).count() == 0
+    counts = losses.counts()
+    assert [counts[step] for step in ("launched", "users", *USERS)] == [0] * 6
+    assert counts["profiles"] in (None, tables[0].count())
+    assert losses.table(tables[0], 0).count() == 10
+
+
+def test_a_job_for_a_brand_without_launched_models(spark, tmp_path):
+    tables = random_tables.make(spark, 3, 300)
+    losses, out = Losses(), f"{tmp_path}/out"
+    written = publish(spark, batch_datamart(*tables, labels=Labels(device_brand="Nope"), losses=losses), out, losses)
+    assert written.count() == read_datamart(spark, out).count() == 0
+    assert spark.read.parquet(losses_path(out)).count() == 10
