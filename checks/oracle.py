@@ -255,6 +255,9 @@ _SELECTS = {
     "job_monthly_segments_derived": _inside("monthly", "derived_monthly"),
     "job_monthly_audit": f"""SELECT segment, count(ifa) AS n_rows, count(DISTINCT ifa) AS n_users
          FROM ({_CODED}) GROUP BY segment""",
+    "job_distinct_histogram": "SELECT delta, count(DISTINCT ifa) AS count FROM monthly GROUP BY delta",
+    "job_distinct_histogram_some": """SELECT delta, count(DISTINCT ifa) AS count FROM monthly
+         WHERE month BETWEEN 199401 AND 199712 GROUP BY delta""",
     "preview_segment": f"SELECT * FROM ({_DATAMART}) ORDER BY delta, ifa LIMIT 5",
 }
 

@@ -33,6 +33,7 @@ from launchtide.plans import (
     audit_path,
     batch_datamart,
     derived_datamart,
+    distinct_histogram,
     first_devices,
     losses_path,
     merge_first,
@@ -42,6 +43,7 @@ from launchtide.plans import (
     run_incremental,
     run_monthly,
     run_monthly_segments,
+    update_user_sets,
     user_deltas,
 )
 from launchtide.schemas import ID_AS_CODED, ID_DOCUMENTED, MY_BANDS, NOT_DETECTED, Labels
@@ -470,6 +472,27 @@ def job_monthly_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(audit_path(_job_segments(spark, sf_dir, ID_AS_CODED)))
 
 
+def _reach(spark: SparkSession, sf_dir: str, *parts: str) -> str:
+    """Sets of users of all months, added part by part."""
+    out, files = scratch(spark, "monthly"), _files(spark, sf_dir)
+    for months in parts:
+        run_monthly(spark, **files | {"months": months}, out=out, brand=BRAND)
+        update_user_sets(spark, out)
+    return out
+
+
+def job_distinct_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months added in two parts, a year of the first one run again with the second."""
+    return distinct_histogram(spark, _reach(spark, sf_dir, "199[0-5]*", "{1995*,199[6-9]*,2*}"))
+
+
+def job_distinct_histogram_some(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users over four years of months, from sets of all months."""
+    years = range(1994, 1998)
+    months = [100 * year + month for year in years for month in range(1, 13)]
+    return distinct_histogram(spark, _reach(spark, sf_dir, ALL_MONTHS), months)
+
+
 def preview_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _datamart(spark, sf_dir).orderBy("delta", "ifa").limit(5)
 
@@ -538,5 +561,7 @@ QUERIES: dict[str, Query] = {
     "job_monthly_segments": job_monthly_segments,
     "job_monthly_segments_derived": job_monthly_segments_derived,
     "job_monthly_audit": job_monthly_audit,
+    "job_distinct_histogram": job_distinct_histogram,
+    "job_distinct_histogram_some": job_distinct_histogram_some,
     "preview_segment": preview_segment,
 }

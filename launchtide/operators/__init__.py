@@ -25,10 +25,13 @@ from launchtide.operators.uptake import (
     launch_delta,
     non_negative,
 )
+from launchtide.operators.user_sets import code_users, count_user_sets, merge_user_sets, user_sets
 
 __all__ = [
     "assign_segments",
+    "code_users",
     "combine_histograms",
+    "count_user_sets",
     "datamart_totals",
     "delta_histogram",
     "delta_row_histogram",
@@ -44,7 +47,9 @@ __all__ = [
     "launch_delta",
     "launched_models",
     "launches",
+    "merge_user_sets",
     "non_negative",
     "segment_audit",
     "sightings",
+    "user_sets",
 ]

@@ -7,6 +7,7 @@ from launchtide.plans.jobs import (
     run_monthly,
     run_monthly_segments,
 )
+from launchtide.plans.reach import distinct_histogram, read_codes, sets_path, stale_months, update_user_sets
 from launchtide.plans.state import merge_first, read_state, run_incremental, state_months, update_state
 from launchtide.plans.uptake import (
     batch_datamart,
@@ -20,18 +21,23 @@ __all__ = [
     "audit_path",
     "batch_datamart",
     "derived_datamart",
+    "distinct_histogram",
     "first_devices",
     "monthly_datamart",
     "losses_path",
     "merge_first",
     "publish",
+    "read_codes",
     "read_datamart",
     "read_state",
     "run_batch",
     "run_incremental",
     "run_monthly",
     "run_monthly_segments",
+    "sets_path",
+    "stale_months",
     "state_months",
     "update_state",
+    "update_user_sets",
     "user_deltas",
 ]

@@ -119,6 +119,22 @@ HISTOGRAM = T.StructType(
     ]
 )
 
+USER_SETS = T.StructType(
+    [
+        T.StructField("delta", T.IntegerType()),
+        T.StructField("bucket", T.LongType()),
+        T.StructField("users", T.BinaryType()),
+        T.StructField("month", T.IntegerType()),
+    ]
+)
+
+CODES = T.StructType(
+    [
+        T.StructField("ifa", T.StringType()),
+        T.StructField("code", T.LongType()),
+    ]
+)
+
 DATAMART = T.StructType(
     [
         T.StructField("quarter", T.StringType(), False),

@@ -12,6 +12,8 @@ from launchtide.sinks.shared import kept
 
 #: Rows of a file of a month, about; some 100 MB of deltas.
 ROWS = 4_000_000
+#: Rows of a file of sets of users, about; some 100 MB of bitmaps.
+SET_ROWS = 25_000
 
 
 def write_datamart(datamart: DataFrame, path: str, mode: str = "errorifexists") -> int:
@@ -26,7 +28,9 @@ def month_parts(counts: Mapping[int, int], rows: int) -> dict[int, int]:
     return {month: max(1, -(-n // rows)) for month, n in counts.items()}
 
 
-def _overwrite_months(table: DataFrame, path: str, months: Iterable[int] | None, rows: int) -> None:
+def _overwrite_months(
+    table: DataFrame, path: str, months: Iterable[int] | None, rows: int, compression: str = "snappy"
+) -> None:
     """Replace the months ``table`` holds, and empty those of ``months`` it has no rows for.
 
     Other months at ``path`` stay. The table is stored and its months are counted first. Each
@@ -49,6 +53,7 @@ def _overwrite_months(table: DataFrame, path: str, months: Iterable[int] | None,
             .repartitionById(start, F.col("task"))
             .select(*table.columns)
             .write.option("partitionOverwriteMode", "dynamic")
+            .option("compression", compression)
             .partitionBy("month")
             .mode("overwrite")
             .parquet(path)
@@ -74,6 +79,14 @@ def write_deltas(
     _overwrite_months(deltas.select(*columns), path, months, rows)
 
 
+def write_user_sets(
+    sets: DataFrame, path: str, months: Iterable[int] | None = None, rows: int = SET_ROWS
+) -> None:
+    """Overwrite month-wise sets of users, one directory per month, of about ``rows`` rows a file."""
+    # Bitmaps of few users are mostly zeros, which this makes small.
+    _overwrite_months(sets.select("month", "delta", "bucket", "users"), path, months, rows, "zstd")
+
+
 def write_report(histogram: DataFrame, path: str) -> None:
     """Overwrite a histogram as one CSV file with a header, for a person to read.
 

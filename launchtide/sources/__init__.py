@@ -1,6 +1,6 @@
 from launchtide.sources.lookups import read_device_lookup, read_launches
 from launchtide.sources.profiles import read_profiles
-from launchtide.sources.stored import read_deltas, read_histograms
+from launchtide.sources.stored import read_deltas, read_histograms, read_user_sets
 
 __all__ = [
     "read_deltas",
@@ -8,4 +8,5 @@ __all__ = [
     "read_histograms",
     "read_launches",
     "read_profiles",
+    "read_user_sets",
 ]

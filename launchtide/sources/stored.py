@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from launchtide.schemas import DELTAS, HISTOGRAM, require
+from launchtide.schemas import DELTAS, HISTOGRAM, USER_SETS, require
 
 
 def _of_months(table: DataFrame, months: Iterable[int] | None) -> DataFrame:
@@ -23,6 +23,14 @@ def read_histograms(
     return _of_months(stored, months).select("month", "delta", "count")
 
 
+def read_user_sets(
+    spark: SparkSession, path: str, months: Iterable[int] | None = None
+) -> DataFrame:
+    """Month-wise sets of users as ``month, delta, bucket, users``."""
+    stored = spark.read.schema(USER_SETS).parquet(path)
+    return _of_months(stored, months).select("month", "delta", "bucket", "users")
+
+
 def read_deltas(spark: SparkSession, path: str, months: Iterable[int] | None = None) -> DataFrame:
     """Month-wise user deltas as ``month, ifa, name, launch, first_seen, delta``."""
     stored = spark.read.parquet(path)
