@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import count
 from math import sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from launchtide.llm.components import components
@@ -17,6 +19,9 @@ from launchtide.llm.words import mix, shingle_sets
 
 #: Members of a bucket that are held against as many others in one task.
 BLOCK = 512
+#: An over-full bucket is split this often, by so many further bins; and how often its parts are.
+#: Two sets of similarity 0.8 meet in 1.3 parts of a bucket that they share (8 * 0.8^8).
+TRIALS, WIDTH, DEPTHS = 8, 8, 8
 _SKETCH = "struct<n:bigint,h1:bigint,h2:bigint,signature:binary>"
 
 
@@ -106,17 +111,12 @@ def _verified(docs: DataFrame, edges: DataFrame, size: int, percent: int) -> Dat
     )
 
 
-def _missed(docs: DataFrame, members: DataFrame, nodes: DataFrame, groups: DataFrame, size: int, percent: int, n_bins: int, rows: int) -> DataFrame:
-    """``(low, high)``: links between members of a bucket in different components.
+def _mixed(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members of buckets that hold several components, stored.
 
-    Of buckets that hold several components after their stars, each member that is not in
-    the least one's is held against all members. Both sides are cut into blocks, and two
-    blocks are a task. Signatures tell first which members may have a partner: by four
-    deviations, by size, in another component, and in no earlier band. Only those come back
-    with their whole sets, which decide. Neither step gives out pairs: the first names
-    members, the second one link for each member and component it reaches.
+    Beside each stand the component of the bucket's least member (``main``), the number of
+    members (``m``), and of those left over (``others``), which are in other components.
     """
-    n_bands = n_bins // rows
     labelled = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of_bucket = (
         labelled.groupBy("key")
@@ -124,16 +124,81 @@ def _missed(docs: DataFrame, members: DataFrame, nodes: DataFrame, groups: DataF
         .filter("a < b")
         .select("key", "m", F.col("first.component").alias("main"))
     )
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node", "key"), blocks).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b")
-    mixed = stored(labelled.join(of_bucket, "key").withColumn("own", own).withColumn("blocks", blocks), "mixed")
-    left = mixed.filter("component <> main")
+    mixed = stored(labelled.join(of_bucket, "key"), "mixed")
+    left = mixed.filter("component <> main").groupBy("key").agg(F.count("*").alias("others"))
+    return stored(mixed.join(left, "key"), "mixed")
+
+
+def _split(big: DataFrame, nodes: DataFrame, depth: int, n_bins: int, rows: int) -> DataFrame:
+    """Members of over-full buckets in ``TRIALS`` narrower ones each, by ``WIDTH`` further bins.
+
+    Which bins are asked differs by band, trial and depth, so that a pair which one
+    narrower bucket parts meets in others.
+    """
+    picks = []
+    for band in range(n_bins // rows):
+        for trial in range(TRIALS):
+            salt = np.uint64((((depth << 16) + band) * TRIALS + trial) * n_bins)
+            order = np.argsort(mix(np.arange(n_bins, dtype=np.uint64) + salt), kind="stable")
+            picks.append((band, trial, order[:WIDTH].tolist()))
+    asked = F.broadcast(big.sparkSession.createDataFrame(picks, "band int, trial int, bins array<int>"))
+    values = F.transform("bins", lambda b: F.substring(F.col("signature"), 4 * b + 1, F.lit(4)))
+    return (
+        big.select("key", "band", "node", "n")
+        .join(nodes.select("node", "signature"), "node")
+        .join(asked, "band")
+        .select("node", "n", "band", F.xxhash64("key", "trial", values).alias("key"))
+    )
+
+
+def _completed(docs: DataFrame, members: DataFrame, nodes: DataFrame, links: DataFrame, size: int, percent: int, n_bins: int, rows: int) -> DataFrame:
+    """``(node, component)`` by the links and those that the buckets' stars have missed.
+
+    Of buckets that hold several components after their stars, each member that is not in
+    the least one's is held against all members (:func:`_held`). Where more than ``BLOCK``
+    members are left over that would grow with their square; such a bucket is split by
+    further bins of the signatures (:func:`_split`), the parts are starred, and those that
+    still hold several components come back here.
+    """
+    found, groups = [], components(links)
+    for depth in count():
+        mixed = _mixed(members, groups)
+        big = mixed.filter(F.col("others") > BLOCK)
+        whole = depth == DEPTHS or big.isEmpty()
+        # Only where every shared band is held against all, a pair can be left to its first.
+        some = mixed if whole else mixed.filter(F.col("others") <= BLOCK)
+        found.append(stored(_held(docs, some, nodes, size, percent, n_bins, rows, whole and not depth), "missed"))
+        if whole:
+            return groups if found[-1].isEmpty() and len(found) == 1 else components(reduce(DataFrame.union, [links, *found]))
+        members = stored(_split(big, nodes, depth, n_bins, rows), "members")
+        edges = stored(star_edges(members, percent), "edges")
+        found.append(stored(_verified(docs, edges, size, percent), "links"))
+        groups = components(reduce(DataFrame.union, [links, *found]))
+
+
+def _held(docs: DataFrame, mixed: DataFrame, nodes: DataFrame, size: int, percent: int, n_bins: int, rows: int, once: bool) -> DataFrame:
+    """``(low, high)``: links of members left over in their buckets with any other member.
+
+    Both sides are cut into blocks, and two blocks are a task. Signatures tell first which
+    members may have a partner: by four deviations, by size, in another component, and,
+    with ``once``, in no earlier band. Only those come back with their whole sets, which
+    decide. Neither step gives out pairs: the first names members, the second one link for
+    each member and component it reaches.
+    """
+    n_bands = n_bins // rows
+
+    def blocks(of: str) -> Column:
+        return F.ceil(F.col(of) / BLOCK).cast("int")
+
+    def own(of: str) -> Column:
+        return F.pmod(F.xxhash64("node", "key"), blocks(of)).cast("int")
+
+    def each(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), blocks(of) - 1))
+
     columns = ["key", "band", "node", "component", "n"]
-    asking = left.select(*columns, F.col("own").alias("a"), every, F.lit(True).alias("asks"))
-    # A block is held only against blocks that hold members left over.
-    asked = left.select("key", F.col("own").alias("a")).distinct()
-    others = mixed.join(asked, "key").select(*columns, "a", F.col("own").alias("b"), F.lit(False).alias("asks"))
+    asking = mixed.filter("component <> main").select(*columns, own("others").alias("a"), each("m").alias("b"), F.lit(True).alias("asks"))
+    others = mixed.select(*columns, each("others").alias("a"), own("m").alias("b"), F.lit(False).alias("asks"))
     units = asking.union(others).join(nodes.select("node", "signature"), "node")
     margin = percent / 100 - 4 * sqrt(percent / 100 * (1 - percent / 100) / n_bins)
     schema = "key bigint, band int, node bigint, component bigint, n bigint, a int, b int, asks boolean, signature binary"
@@ -147,8 +212,10 @@ def _missed(docs: DataFrame, members: DataFrame, nodes: DataFrame, groups: DataF
         for x in np.flatnonzero(asks):
             y = two[(component[two] != component[x]) & (100 * np.minimum(n[two], n[x]) >= percent * np.maximum(n[two], n[x]))]
             same = signature[y] == signature[x]
-            first = same[:, : n_bands * rows].reshape(-1, n_bands, rows).all(axis=2).argmax(axis=1)
-            yield x, y[(same.mean(axis=1) >= margin) & (first == band)]
+            near = same.mean(axis=1) >= margin
+            if once:
+                near &= same[:, : n_bands * rows].reshape(-1, n_bands, rows).all(axis=2).argmax(axis=1) == band
+            yield x, y[near]
 
     def possible(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -194,8 +261,10 @@ def near_duplicates(
     signature in ``n_bins // rows`` buckets. Every bucket ties its members to its least
     one, and the pairs are confirmed on full sets. That settles nearly all buckets; where
     one still holds several components, the members left over are held against the others
-    (:func:`_missed`), so a pair is not lost because neither is near the least member. At similarity 0.8 a pair shares no
-    bucket with chance (1 - 0.8^4)^32 = 5e-8, more for sets of few shingles.
+    (:func:`_completed`), so a pair is not lost because neither is near the least member. At similarity 0.8 a pair shares no
+    bucket with chance (1 - 0.8^4)^32 = 5e-8, more for sets of few shingles. Where more than
+    ``BLOCK`` members are left over in each bucket that a pair shares, it has to meet in a part of one of
+    them: it is in some 13 of 32 buckets, hence in some 17 parts of the first split.
 
     A text that is null, empty or without words has no shingles and links with nothing;
     so does a document without doc_id, whose component is null and which is kept. Rows
@@ -221,10 +290,7 @@ def near_duplicates(
     members = nodes.select("node", "n", F.posexplode(F.array(*bands)).alias("band", "key"))
     edges = stored(star_edges(members, percent), "edges")
     links = stored(_same_id(known, nodes).union(_verified(docs, edges, size, percent)), "links")
-    groups = components(links)
-    missed = stored(_missed(docs, members, nodes, groups, size, percent, n_bins, rows), "missed")
-    if not missed.isEmpty():
-        groups = components(links.union(missed))
+    groups = _completed(docs, members, nodes, links, size, percent, n_bins, rows)
     return _labelled(sketch, nodes, groups)
 
 

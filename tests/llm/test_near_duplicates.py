@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from launchtide.llm import near_duplicates as module
 from launchtide.llm.components import components
 from launchtide.llm.minhash import signatures
 from launchtide.llm.near_duplicates import drop_near_duplicates, near_duplicates
@@ -66,6 +67,49 @@ def test_edges(edge_docs, edge_rows, no_docs):
     assert drop_near_duplicates(no_docs).count() == 0
 
 
+def passages(n, seed, shared=60, own=40, pair_every=5):
+    """Documents that share a passage; each ``pair_every``-th is near the one before it as well."""
+    draw = np.random.Generator(np.random.PCG64(seed))
+    common = [f"c{k}" for k in range(shared)]
+    rows, last = [], None
+    for doc_id in range(n):
+        if last is None or doc_id % pair_every:
+            tail = [f"w{k}" for k in draw.integers(0, 1 << 40, own)]
+        else:
+            tail = last[:-2] + ["x", f"y{doc_id}"]
+        rows.append((doc_id, " ".join(common + tail)))
+        last = tail
+    return rows
+
+
+def test_over_full_buckets_are_split(spark, copies, monkeypatch):
+    """Many documents that share a passage, and near pairs among them that no star's centre is near."""
+    monkeypatch.setattr(module, "BLOCK", 16)
+    rows = passages(600, 3)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), size=4).collect()
+    expected = brute_force(rows, 4, 80)
+    assert sum(k != v for k, v in expected.items()) == 119
+    assert {row.doc_id: row.component_id for row in found} == expected
+    rows = [(row.doc_id, row.text) for row in copies.collect()]
+    found = near_duplicates(copies, size=4).collect()
+    assert {row.doc_id: row.component_id for row in found} == brute_force(rows, 4, 80)
+
+
+def test_no_pair_of_the_threshold_is_lost_in_the_parts(spark, monkeypatch):
+    """Pairs of similarity 0.8 to 0.83 within buckets of many: the parts find them all the same."""
+    monkeypatch.setattr(module, "BLOCK", 16)
+    draw = np.random.Generator(np.random.PCG64(5))
+    common = [f"c{k}" for k in range(120)]
+    rows = []
+    for k in range(400):
+        tail = [f"w{x}" for x in draw.integers(0, 1 << 40, 80)]
+        rows += [(2 * k, " ".join(common + tail)), (2 * k + 1, " ".join(common + tail[:-20] + [f"v{k}.{x}" for x in range(20)]))]
+    one, two = (shingles(text, 4) for _, text in rows[:2])
+    assert 0.8 <= len(one & two) / len(one | two) < 0.83
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), size=4).collect()
+    assert {row.doc_id: row.component_id for row in found} == {doc_id: doc_id - doc_id % 2 for doc_id, _ in rows}
+
+
 def test_signatures_estimate_similarity_of_small_and_large_sets():
     draw = np.random.Generator(np.random.PCG64(1))
     for n in (5, 20, 2000):
