@@ -29,7 +29,7 @@ def month_parts(counts: Mapping[int, int], rows: int) -> dict[int, int]:
 
 
 def _overwrite_months(
-    table: DataFrame, path: str, months: Iterable[int] | None, rows: int, compression: str = "snappy"
+    table: DataFrame, path: str, months: Iterable[int] | None, rows: int, compression: str | None = None
 ) -> None:
     """Replace the months ``table`` holds, and empty those of ``months`` it has no rows for.
 
@@ -47,17 +47,16 @@ def _overwrite_months(
             start += parts[month]
         plan = F.broadcast(spark.createDataFrame(places, "month int, first int, parts int"))
         own = F.pmod(F.xxhash64(*table.columns), F.col("parts")).cast("int")
-        (
+        written = (
             table.join(plan, "month")
             .withColumn("task", F.col("first") + own)
             .repartitionById(start, F.col("task"))
             .select(*table.columns)
             .write.option("partitionOverwriteMode", "dynamic")
-            .option("compression", compression)
             .partitionBy("month")
             .mode("overwrite")
-            .parquet(path)
         )
+        (written.option("compression", compression) if compression else written).parquet(path)
     if months is not None:
         for month in sorted({int(m) for m in months} - set(counts)):
             nothing = table.drop("month").limit(0)
