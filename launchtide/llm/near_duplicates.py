@@ -17,6 +17,8 @@ from launchtide.llm.minhash import signatures
 from launchtide.llm.shared import broadcast_if_small, spare, stored
 from launchtide.llm.words import mix, shingle_sets
 
+#: Bytes of text whose shingles a task holds at a time; a longer text is held alone.
+PIECE = 1 << 17
 #: Members of a bucket that are held against as many others in one task.
 BLOCK = 512
 #: An over-full bucket is split this often, by so many further bins; and how often its parts are.
@@ -34,16 +36,15 @@ def sketcher(size: int, n_bins: int):
 
     def sketch(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            n, h1, h2, packed = [], [], [], []
-            for sets in shingle_sets(column, size):
-                n += [len(own) for own in sets]
-                h1 += [_digest(own, 0x243F6A8885A308D3) for own in sets]
-                h2 += [_digest(own, 0x13198A2E03707344) for own in sets]
-                packed += [row.tobytes() for row in signatures(sets, n_bins).astype(">u4")]
-            yield pa.StructArray.from_arrays(
-                [pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(packed, pa.binary())],
-                ["n", "h1", "h2", "signature"],
-            )
+            for sets in shingle_sets(column, size, PIECE):
+                n = [len(own) for own in sets]
+                h1 = [_digest(own, 0x243F6A8885A308D3) for own in sets]
+                h2 = [_digest(own, 0x13198A2E03707344) for own in sets]
+                packed = [row.tobytes() for row in signatures(sets, n_bins).astype(">u4")]
+                yield pa.StructArray.from_arrays(
+                    [pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(packed, pa.binary())],
+                    ["n", "h1", "h2", "signature"],
+                )
 
     sketch.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(sketch, _SKETCH)
@@ -54,10 +55,10 @@ def setter(size: int):
 
     def whole(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            sets = [own.view(np.int64) for part in shingle_sets(column, size) for own in part]
-            ends = np.cumsum([0, *(len(own) for own in sets)])
-            values = np.concatenate([np.zeros(0, np.int64), *sets])
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+            for sets in shingle_sets(column, size, PIECE):
+                ends = np.cumsum([0, *(len(own) for own in sets)])
+                values = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
 
     whole.__annotations__ = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(whole, "array<bigint>")

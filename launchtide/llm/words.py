@@ -165,10 +165,10 @@ def shingles(hashes: np.ndarray, row: np.ndarray, n_rows: int, size: int) -> lis
     return sets
 
 
-def shingle_sets(column: pa.Array, size: int) -> Iterator[list[np.ndarray]]:
-    """The shingle sets of a column of texts, some rows at a time."""
+def shingle_sets(column: pa.Array, size: int, most: int = PIECE) -> Iterator[list[np.ndarray]]:
+    """The shingle sets of a column of texts, rows of ``most`` bytes at a time."""
     data, offsets = texts_of(column)
-    for a, b in pieces(offsets):
+    for a, b in pieces(offsets, most):
         inner = offsets[a : b + 1] - offsets[a]
         hashes, row, _ = words(data[offsets[a] : offsets[b]], inner)
         yield shingles(hashes, row, b - a, size)
