@@ -64,12 +64,12 @@ def setter(size: int):
     return F.arrow_udf(whole, "array<bigint>")
 
 
-def star_edges(members: DataFrame, percent: int) -> DataFrame:
-    """Distinct ``(low, high)``: each member of a bucket with the bucket's least member.
+def crowded(members: DataFrame) -> DataFrame:
+    """Members of buckets that hold several, beside the bucket's least one: ``low, low_n``.
 
-    ``members``: (key, node, n). A bucket of m members gives m - 1 pairs. Sizes that
-    rule the similarity out are dropped at once. The least member is a grouped minimum;
-    a bucket with a third of all rows is split by the join, as its other side is one row.
+    ``members``: (key, node, n). Most buckets hold one node, and nothing follows from those.
+    The least member is a grouped minimum; a bucket with a third of all rows is split by the
+    join, as its other side is one row.
     """
     centers = (
         members.groupBy("key")
@@ -77,9 +77,17 @@ def star_edges(members: DataFrame, percent: int) -> DataFrame:
         .filter("center.node < most")
         .select("key", F.col("center.node").alias("low"), F.col("center.n").alias("low_n"))
     )
+    return members.join(centers, "key")
+
+
+def star_edges(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct ``(low, high)``: each member of a bucket with the bucket's least member.
+
+    ``members``: what :func:`crowded` gives. A bucket of m members gives m - 1 pairs. Sizes
+    that rule the similarity out are dropped at once.
+    """
     return (
-        members.join(centers, "key")
-        .filter("low < node")
+        members.filter("low < node")
         .filter(100 * F.least("n", "low_n") >= percent * F.greatest("n", "low_n"))
         .select("low", F.col("node").alias("high"))
         .distinct()
@@ -118,7 +126,7 @@ def _mixed(members: DataFrame, groups: DataFrame) -> DataFrame:
     Beside each stand the component of the bucket's least member (``main``), the number of
     members (``m``), and of those left over (``others``), which are in other components.
     """
-    labelled = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = members.drop("low", "low_n").join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     of_bucket = (
         labelled.groupBy("key")
         .agg(F.min(F.struct("node", "component")).alias("first"), F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("m"))
@@ -171,7 +179,7 @@ def _completed(docs: DataFrame, members: DataFrame, nodes: DataFrame, links: Dat
         found.append(stored(_held(docs, some, nodes, size, percent, n_bins, rows, whole and not depth), "missed"))
         if whole:
             return groups if found[-1].isEmpty() and len(found) == 1 else components(reduce(DataFrame.union, [links, *found]))
-        members = stored(_split(big, nodes, depth, n_bins, rows), "members")
+        members = stored(crowded(_split(big, nodes, depth, n_bins, rows)), "members")
         edges = stored(star_edges(members, percent), "edges")
         found.append(stored(_verified(docs, edges, size, percent), "links"))
         groups = components(reduce(DataFrame.union, [links, *found]))
@@ -288,7 +296,9 @@ def near_duplicates(
         F.xxhash64(F.lit(k), F.substring("signature", 1 + 4 * rows * k, 4 * rows))
         for k in range(n_bins // rows)
     ]
-    members = nodes.select("node", "n", F.posexplode(F.array(*bands)).alias("band", "key"))
+    banded = nodes.select("node", "n", F.posexplode(F.array(*bands)).alias("band", "key"))
+    # Read twice, by the stars and by what they have missed: most of the rows end here.
+    members = stored(crowded(banded), "members")
     edges = stored(star_edges(members, percent), "edges")
     links = stored(_same_id(known, nodes).union(_verified(docs, edges, size, percent)), "links")
     groups = _completed(docs, members, nodes, links, size, percent, n_bins, rows)
