@@ -26,7 +26,8 @@ PHRASES = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-# Opening sentences of public license notices, with their labels.
+# Passages of public license notices, with their labels. Openings first, then
+# what stands only in the body of one license; each has 80 words at most.
 TEMPLATES = [
     (
         "mit",
@@ -66,6 +67,103 @@ TEMPLATES = [
         "cc-by-nc",
         "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
     ),
+    (
+        "mit",
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+        "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software "
+        "is furnished to do so, subject to the following conditions: The above copyright notice and "
+        "this permission notice shall be included in all copies or substantial portions of the "
+        "Software",
+    ),
+    (
+        "bsd",
+        "Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution",
+    ),
+    (
+        "bsd",
+        "This software is provided by the copyright holders and contributors as is and any express "
+        "or implied warranties, including, but not limited to, the implied warranties of "
+        "merchantability and fitness for a particular purpose are disclaimed. In no event shall the "
+        "copyright holder or contributors be liable for any direct, indirect, incidental, special, "
+        "exemplary, or consequential damages",
+    ),
+    (
+        "bsd",
+        "liable for any direct, indirect, incidental, special, exemplary, or consequential damages "
+        "(including, but not limited to, procurement of substitute goods or services; loss of use, "
+        "data, or profits; or business interruption) however caused and on any theory of liability",
+    ),
+    (
+        "bsd-3",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written "
+        "permission",
+    ),
+    (
+        "apache-2",
+        "Unless required by applicable law or agreed to in writing, software distributed under the "
+        "License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, "
+        "either express or implied. See the License for the specific language governing permissions "
+        "and limitations under the License",
+    ),
+    (
+        "apache-2",
+        "Subject to the terms and conditions of this License, each Contributor hereby grants to You "
+        "a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright "
+        "license to reproduce, prepare Derivative Works of, publicly display, publicly perform, "
+        "sublicense, and distribute the Work and such Derivative Works in Source or Object form",
+    ),
+    (
+        "isc",
+        "The software is provided as is and the author disclaims all warranties with regard to this "
+        "software including all implied warranties of merchantability and fitness. In no event shall "
+        "the author be liable for any special, direct, indirect, or consequential damages or any "
+        "damages whatsoever resulting from loss of use, data or profits, whether in an action of "
+        "contract, negligence or other tortious action",
+    ),
+    (
+        "mpl-2",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/",
+    ),
+    (
+        "unlicense",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or "
+        "non-commercial, and by any means",
+    ),
+    (
+        "unlicense",
+        "In jurisdictions that recognize copyright laws, the author or authors of this software "
+        "dedicate any and all copyright interest in the software to the public domain",
+    ),
+    (
+        "zlib",
+        "Permission is granted to anyone to use this software for any purpose, including commercial "
+        "applications, and to alter it and redistribute it freely, subject to the following "
+        "restrictions",
+    ),
+    (
+        "zlib",
+        "The origin of this software must not be misrepresented; you must not claim that you wrote "
+        "the original software. Altered source versions must be plainly marked as such, and must not "
+        "be misrepresented as being the original software",
+    ),
+    (
+        "bsl-1",
+        "to any person or organization obtaining a copy of the software and accompanying "
+        "documentation covered by this license (the Software) to use, reproduce, display, "
+        "distribute, execute, and transmit the Software, and to prepare derivative works of the "
+        "Software",
+    ),
+    (
+        "cc0",
+        "To the extent possible under law, the person who associated CC0 with this work has waived "
+        "all copyright and related or neighboring rights to this work",
+    ),
 ]
 
 _SCANNED = (
@@ -116,7 +214,8 @@ def scan_licenses(
     ``first_word`` and ``last_word`` are the least and greatest of those places, null if there
     is none. ``labels`` adds the labels of templates of which a text block holds at least
     ``threshold`` of the distinct tokens; blocks are ``block`` words long and begin every
-    half block, so they cover the whole text. ``score`` is the greatest share of a
+    half block, so they cover the whole text, and hold at least 0.8 of any passage of up to 5/6 of a
+    block (80 words) wherever it begins. ``score`` is the greatest share of a
     template found in a block, 1 if there is a base phrase, 0 if nothing was found.
 
     A null text is empty and has no labels. Every row gets one row, also when doc_ids
