@@ -20,7 +20,7 @@ GRAMS = (5, 6)
 #: Bytes of text that are worked on at a time.
 PIECE = 1 << 18
 _LETTER = LOWER.copy()
-_LETTER[[*range(48), *range(58, 97), *range(123, 128)]] = 32
+_LETTER[[*range(48), *range(58, 65), *range(91, 97), *range(123, 128)]] = 32
 #: Labelled rows that a model is fitted on, at most: those of the least hash of doc_id.
 FIT_ROWS = 12_000
 #: Buckets a category may use: those that part its labels best.

@@ -1,0 +1,195 @@
+"""The arithmetic of the two classifiers, by plain loops and finite differences."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from launchtide.llm import quality
+from launchtide.llm.quality import CELL, FILTERS, LAGS, WIDTH, Network, fit_network, score_batch
+from launchtide.llm.toxicity import (
+    CATEGORIES,
+    Rows,
+    distinct_buckets,
+    fit_linear,
+    fit_toxicity,
+    score_toxicity,
+)
+from tests.llm.conftest import prose
+
+
+def network(seed):
+    draw = np.random.Generator(np.random.PCG64(seed))
+    return Network(
+        draw.standard_normal((WIDTH, 513, FILTERS)).astype(np.float32) * 0.2,
+        draw.standard_normal(FILTERS).astype(np.float32) * 0.2,
+        draw.standard_normal(2 * FILTERS) * 0.3,
+        -0.2,
+    )
+
+
+def plain_features(net, text):
+    """Mean and greatest of each filter over chunks of two cells, byte by byte."""
+    line = [0] * quality.GAP + list(text) + [0] * (quality.GAP + WIDTH)
+    symbols = []
+    for at, byte in enumerate(line):
+        four = line[at : at + 4]
+        seen = len(four) == 4 and any(line[at - lag : at - lag + 4] == four for lag in range(1, min(LAGS, at) + 1))
+        symbols.append(0 if byte == 0 else byte + 256 * seen)
+    length = max(len(text), 1)
+    cells = []
+    for begin in range(0, length, CELL):
+        said = [
+            [sum(float(net.tables[k, symbols[quality.GAP + at + k], f]) for k in range(WIDTH)) for f in range(FILTERS)]
+            for at in range(begin, min(begin + CELL, length))
+        ]
+        cells.append([max(0.0, max(x) + float(b)) for x, b in zip(zip(*said, strict=True), net.bias, strict=True)])
+    chunks = [list(map(max, a, b)) for a, b in zip(cells, cells[1:], strict=False)] or cells
+    by_filter = list(zip(*chunks, strict=True))
+    return [sum(x) / len(x) for x in by_filter] + [max(x) for x in by_filter]
+
+
+def plain_score(net, text):
+    features = plain_features(net, text)
+    return 1 / (1 + math.exp(-sum(w * x for w, x in zip(net.head, features, strict=True)) - net.head_bias))
+
+
+def test_quality_scores_are_those_of_a_plain_loop():
+    rng = random.Random(3)
+    texts = [prose(rng, n).encode() for n in (1, 5, 40, 90)]
+    texts += [b"", b"x", b"abab" * 40, b"y" * CELL, b"y" * (CELL + 1), "日本 Ärger".encode() * 30]
+    net = network(1)
+    found = score_batch(net, [np.frombuffer(t, np.uint8) for t in texts])
+    assert found == pytest.approx([plain_score(net, t) for t in texts], abs=1e-5)
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        (6, 20, 30),
+        # Open: chunks overlap, so a text's greatest cell may lie in two of them, and what the
+        # maximum says of it is then added twice.
+        pytest.param((6, 30, 60), marks=pytest.mark.xfail(strict=True, reason="a peak in two chunks counts twice")),
+    ],
+)
+def test_quality_gradients_are_finite_differences(monkeypatch, sizes):
+    """One step of fitting: where a weight counts for the loss it moves against its slope."""
+    rng = random.Random(6)
+    texts = [prose(rng, n).encode() for n in sizes]
+    labels = np.array([1.0, 0.0, 1.0])
+    arrays = [np.frombuffer(t, np.uint8) for t in texts]
+    steps = []
+    real = quality.pooled
+
+    def watch(net, batch, peak):
+        steps.append(Network(net.tables.copy(), net.bias.copy(), net.head.copy(), net.head_bias))
+        return real(net, batch, peak)
+
+    monkeypatch.setattr(quality, "pooled", watch)
+    fit_network(arrays, labels, epochs=1, batch_size=3)
+    monkeypatch.undo()
+    before, after = steps[0], steps[1]
+
+    def loss(net):
+        said = score_batch(net, arrays)
+        return float(-np.mean(labels * np.log(said) + (1 - labels) * np.log(1 - said)))
+
+    def slope(name, at, by=1e-3):
+        values = []
+        for sign in (1, 0, -1):
+            net = Network(before.tables.copy(), before.bias.copy(), before.head.copy(), before.head_bias)
+            getattr(net, name)[at] += sign * by
+            values.append(loss(net))
+        # Where maxima change hands within the difference, or nothing counts, there is no slope.
+        up, down = (values[0] - values[1]) / by, (values[1] - values[2]) / by
+        return (up + down) / 2 if abs(up - down) < 0.1 * abs(up + down) else 0
+
+    # The first step of Adam is as long as its rate, whatever the slope, so signs tell.
+    used = np.argwhere(np.abs(after.tables - before.tables * (1 - 1e-4)) > 1e-3)
+    assert len(used) > 100
+    picked = [("tables", tuple(used[k])) for k in rng.sample(range(len(used)), 40)]
+    picked += [("bias", f) for f in range(FILTERS)] + [("head", k) for k in range(2 * FILTERS)]
+    told = 0
+    for name, at in picked:
+        wanted = slope(name, at)
+        moved = float(getattr(after, name)[at] - getattr(before, name)[at])
+        if abs(wanted) > 1e-3:
+            told += 1
+            assert moved * wanted < 0, (name, at, wanted, moved)
+    assert told > 30
+
+
+def plain_buckets(text):
+    """Buckets of all n-grams of 5 and 6 bytes, by the stated hash, one at a time."""
+    kept = set(range(48, 58)) | set(range(97, 123)) | set(range(128, 256))
+    line = [b + 32 if 65 <= b <= 90 else b for b in text]
+    line = [b if b in kept else 32 for b in line]
+    line = [32] * 6 + line + [32] * 6
+    found = set()
+    # An n-gram begins up to six places before the text and at any of its bytes.
+    for at in range(len(text) + 6):
+        h = sum(line[at + k] << 8 * k for k in range(4)) * 0x9E3779B1 % 2**32
+        for k in (4, 5):
+            h ^= line[at + k] * (0x85EBCA6B * (2 * k + 1) % 2**32) % 2**32
+            found.add(((h ^ h >> 15) * ((0xC2B2AE35 + 2 * k) % 2**32) % 2**32) >> 12)
+    return found
+
+
+@pytest.fixture(scope="module")
+def some_texts():
+    rng = random.Random(8)
+    texts = [prose(rng, rng.randrange(1, 40)) + (" grobnik!" if k % 4 == 0 else "") for k in range(120)]
+    return [*texts, "", "x", "ÄÖ  Ü", "A-B_C\x00d", None]
+
+
+def test_buckets_are_those_of_a_plain_loop(some_texts):
+    found = [own for part in distinct_buckets(pa.array(some_texts)) for own in part]
+    # Before a text its gap shows, and the gap after it belongs to what its last bytes begin.
+    for text, own in zip(some_texts, found, strict=True):
+        assert set(own.tolist()) == plain_buckets((text or "").encode())
+
+
+def test_toxicity_scores_are_those_of_a_plain_chain(spark, some_texts):
+    docs = spark.createDataFrame(
+        [(k, t, "en" if k % 3 else "de") for k, t in enumerate(some_texts)], "doc_id bigint, text string, lang string"
+    ).repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(120)], "doc_id bigint, toxic int")
+    table, models = fit_toxicity(docs, labels)
+    found = {row.doc_id: row for row in score_toxicity(docs, labels).collect()}
+    for k, text in enumerate(some_texts):
+        features = {int(table[b]) for b in plain_buckets((text or "").encode())} - {-1}
+        said = []
+        for w, d, bias in models:
+            total = bias + sum(w[f] for f in features) + sum(x * y for x, y in zip(said, d, strict=True))
+            said.append(1 / (1 + math.exp(-total)))
+        assert [found[k][name] for name, _ in CATEGORIES] == pytest.approx(said, abs=1e-9)
+        assert found[k].rejected == (said[-1] >= 0.5)
+    assert len(models[1][1]) == 1 and len(models[2][1]) == 2
+
+
+def test_linear_models_end_where_the_slope_is_flat():
+    draw = np.random.Generator(np.random.PCG64(5))
+    lists = [np.sort(draw.choice(12, draw.integers(0, 6), replace=False)) for _ in range(300)]
+    rows = Rows(np.concatenate(lists), np.concatenate(([0], np.cumsum([len(x) for x in lists]))))
+    dense = draw.random((300, 1))
+    label = np.array([float((3 in x) ^ (draw.random() < 0.2)) for x in lists])
+    decay = 1e-2
+
+    def loss(w, d, bias):
+        total = 0.0
+        for own, more, wanted in zip(lists, dense, label, strict=True):
+            said = 1 / (1 + math.exp(-(bias + sum(w[f] for f in own) + more @ d)))
+            total -= math.log(said if wanted else 1 - said)
+        return total / len(label) + decay / 2 * (w @ w + d @ d)
+
+    w, d, bias = fit_linear(rows, dense, label, 12, steps=3000, decay=decay)
+    for k in range(12):
+        by = np.zeros(12)
+        by[k] = 1e-4
+        assert abs(loss(w + by, d, bias) - loss(w - by, d, bias)) / 2e-4 < 1e-3
+    assert abs(loss(w, d + 1e-4, bias) - loss(w, d - 1e-4, bias)) / 2e-4 < 1e-3
+    assert abs(loss(w, d, bias + 1e-4) - loss(w, d, bias - 1e-4)) / 2e-4 < 1e-3
