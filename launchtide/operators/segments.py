@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from launchtide.functions import within
-from launchtide.operators.joins import BROADCAST_BYTES, join_lookup
+from launchtide.operators.joins import BROADCAST_BYTES, dealt, fits
 from launchtide.schemas import Band, Labels
 from launchtide.sinks.shared import kept
 
@@ -17,6 +17,9 @@ MOST_BANDS = 64
 #: Deltas lie within this many days of 0, as Spark's dates run from year 1 to 9999.
 FARTHEST = 1 << 22
 LEVELS = 23
+#: Pairs of a delta and a band that one task makes, about, and the most tasks that make them.
+PAIRS = 1 << 22
+MOST_TASKS = 4096
 
 
 def _inside() -> Column:
@@ -56,9 +59,9 @@ def band_nodes(bands: DataFrame) -> DataFrame:
     """Each band as few nodes of a binary tree over the days: its columns with ``level, node``.
 
     A node of level k stands for 2 ** k days. A band takes at most two nodes of a level, and each of its
-    days lies in exactly one of its nodes. Open limits reach to the end of the tree.
+    days lies in exactly one of its nodes. Open limits reach to the end of the tree. Further columns stay.
     """
-    limits = bands.select("segment", "segment_id", "lo", "hi").filter("lo is null or hi is null or lo <= hi")
+    limits = bands.filter("lo is null or hi is null or lo <= hi")
     low = F.greatest(F.coalesce("lo", F.lit(-FARTHEST)), F.lit(-FARTHEST)).cast("long") + FARTHEST
     high = F.least(F.coalesce("hi", F.lit(FARTHEST - 1)), F.lit(FARTHEST - 1)).cast("long") + FARTHEST + 1
     nodes = []
@@ -72,27 +75,72 @@ def band_nodes(bands: DataFrame) -> DataFrame:
     return (
         limits.withColumns({"low": low, "high": high})
         .withColumn("at", F.explode(found))
-        .select("segment", "segment_id", "at.level", "at.node")
+        .select(*(name for name in bands.columns if name not in ("lo", "hi")), "at.level", "at.node")
     )
 
 
-def matched_by_days(deltas: DataFrame, bands: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def _pairs_by_day(deltas: DataFrame, matches: DataFrame, pairs: int) -> tuple[int, list[tuple]]:
+    """Tasks that make all pairs, and ``delta, salts, by_user`` of days with more pairs than one should make.
+
+    A day's larger side is dealt, of which ``by_user`` tells whether it is the deltas, and the
+    smaller one copied to each salt. There are fewer such days than tasks.
+    """
+    days = [table.groupBy("delta").agg(F.count("*").alias(n)) for table, n in ((deltas, "n"), (matches, "m"))]
+    load = kept(days[0].join(days[1], "delta").withColumn("pairs", F.col("n") * F.col("m")), "pairs")
+    total = load.agg(F.sum("pairs")).first()[0] or 0
+    each = max(pairs, -(-total // MOST_TASKS))
+    salts = F.least(F.ceil(F.col("pairs") / each), F.greatest("n", "m")).cast("int")
+    much = load.filter(F.col("pairs") > each).select("delta", salts, F.col("n") >= F.col("m"))
+    return max(1, -(-total // each)), [tuple(row) for row in much.collect()]
+
+
+def _copied(table: DataFrame, days: DataFrame) -> DataFrame:
+    """``table`` with each row of ``days`` once for each of their salts."""
+    every = F.when(F.col("salts").isNotNull(), F.sequence(F.lit(0), F.col("salts") - 1))
+    salts = F.explode(F.coalesce(every, F.array("salt")))
+    columns = [name for name in table.columns if name != "salt"]
+    return table.join(days, "delta", "left").select(*columns, salts.alias("salt"))
+
+
+def matched_by_days(
+    deltas: DataFrame, bands: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, pairs: int = PAIRS
+) -> DataFrame:
     """``deltas`` with ``segment, segment_id``, a row for each band of a table of any size.
 
     The days that occur, some thousands, look up the nodes above them; bands and days then join
     on equal nodes, and deltas with the outcome on equal days. No pair of day and band is made
-    that does not match, and hot days are dealt over salts where the outcome is not broadcast.
-    ``deltas`` is stored, as it is read twice.
+    that does not match. ``deltas`` is stored, as it is read twice.
+
+    Where the outcome is not broadcast, its rows and the deltas are counted by day. As many tasks as
+    all pairs fill make about ``pairs`` each, and days with more are dealt over salts. In a task, bands are
+    read one by one, each beside all deltas of its day, so a count by segment
+    that follows meets rows of one segment together.
     """
     deltas = kept(deltas.filter(F.col("delta").isNotNull()), "deltas")
     days = deltas.select("delta").distinct()
     day = F.col("delta").cast("long") + FARTHEST
     above = F.array(*(F.struct(F.lit(k).alias("level"), F.shiftright(day, k).alias("node")) for k in range(LEVELS + 1)))
     lines = days.select("delta", F.inline(above))
-    matches = kept(
-        lines.join(band_nodes(bands), ["level", "node"]).select("delta", "segment", "segment_id"), "matches"
+    # Equal bands are told apart by ``turn``, so that they part where a day is dealt.
+    counted = bands.groupBy("segment", "segment_id", "lo", "hi").agg(F.count("*").cast("int").alias("copies"))
+    turns = F.explode(F.sequence(F.lit(0), F.col("copies") - 1))
+    numbered = counted.select("segment", "segment_id", "lo", "hi", turns.alias("turn"))
+    found = lines.join(band_nodes(numbered), ["level", "node"])
+    matches = kept(found.select("delta", "segment", "segment_id", "turn"), "matches")
+    if fits(broadcast_bytes, matches):
+        return deltas.join(F.broadcast(matches.drop("turn")), "delta")
+    tasks, much = _pairs_by_day(deltas, matches, pairs)
+    hot = deltas.sparkSession.createDataFrame(much, "delta int, salts int, by_user boolean")
+    by_user = F.broadcast(hot.filter("by_user").drop("by_user"))
+    by_band = F.broadcast(hot.filter("not by_user").drop("by_user"))
+    users = dealt(deltas, by_user, "delta") if any(row[2] for row in much) else deltas.withColumn("salt", F.lit(0))
+    own = F.pmod(F.xxhash64("segment", "segment_id") + F.col("turn"), F.col("salts")).cast("int")
+    parted = matches.join(by_band, "delta", "left").select(
+        "delta", "segment", "segment_id", F.coalesce(own, F.lit(0)).alias("salt")
     )
-    return join_lookup(deltas, matches, "delta", "inner", broadcast_bytes)
+    place = (tasks, "delta", "salt")
+    joined = _copied(parted, by_user).repartition(*place).join(_copied(users, by_band).repartition(*place), ["delta", "salt"])
+    return joined.select(*deltas.columns, "segment", "segment_id")
 
 
 def assign_segments(

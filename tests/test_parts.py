@@ -164,6 +164,22 @@ def test_bands_by_days_equal_bands_one_by_one(spark, n):
     assert assign_segments(df.limit(0), table).isEmpty() and assign_segments(df, table.limit(0)).isEmpty()
 
 
+@pytest.mark.parametrize("pairs", [1, 50, 100_000])
+def test_pairs_of_hot_days_are_dealt_over_tasks(spark, pairs):
+    """Days with more users than bands and the reverse, equal bands, equal rows."""
+    bands = spark.sql("""SELECT concat('s', id) AS segment, 'x' AS segment_id, cast(id % 3 AS int) AS lo, cast(id % 3 AS int) AS hi FROM range(60)
+        UNION ALL SELECT 'equal', 'x', 5, 6 FROM range(200) UNION ALL SELECT null, null, 9, null""")
+    deltas = spark.sql("""SELECT concat('u', id % 40) AS ifa, 'n' AS name, date'2020-01-01' AS launch, timestamp'2020-01-01' AS first_seen,
+        cast(CASE WHEN id < 300 THEN 2 WHEN id < 307 THEN 6 ELSE id % 15 END AS int) AS delta FROM range(400)""")
+    found = matched_by_days(deltas, bands, -1, pairs)
+    assert found.columns == [*deltas.columns, "segment", "segment_id"]
+    wanted = deltas.join(bands, F.expr("delta >= lo AND (hi IS NULL OR delta <= hi)")).drop("lo", "hi")
+    assert found.count() == wanted.count() and found.exceptAll(wanted).isEmpty()
+    sizes = [row["count"] for row in found.groupBy(F.spark_partition_id()).count().collect()]
+    if pairs == 50:
+        assert max(sizes) < 1_000 < sum(sizes) / 4
+
+
 def test_very_many_bands_make_no_pairs_that_do_not_match(spark):
     n = 100_000
     bands = spark.range(n).selectExpr("concat('s', id) AS segment", "'x' AS segment_id", "cast(id % 3000 AS int) AS lo", "cast(id % 3000 + id % 5 AS int) AS hi")
