@@ -83,26 +83,36 @@ def having_keys(facts: DataFrame, keys: DataFrame, on: str) -> DataFrame:
     return found.filter(set_).select(*facts.columns)
 
 
-def hot_keys(facts: DataFrame, on: str) -> DataFrame:
-    """``<on>, salts``: keys that hold much of ``facts``, at most ``1 / HOT_SHARE`` of them.
+def hot_and_missing(facts: DataFrame, on: str) -> tuple[list[tuple], int]:
+    """Keys that hold much of ``facts`` with their salts, at most ``1 / HOT_SHARE``, and the rows without a key.
 
     One job: rows are counted by key, which is combined before its shuffle, and altogether
     on the way.
     """
     every = Observation()
     counts = (
-        facts.observe(every, F.count(F.lit(1)).alias("n"))
+        facts.observe(every, F.count(F.lit(1)).alias("n"), F.count(F.col(on)).alias("keyed"))
         .filter(F.col(on).isNotNull())
         .groupBy(on)
         .agg(F.count("*").alias("n"))
     )
     most = counts.orderBy(F.col("n").desc(), on).limit(int(1 / HOT_SHARE)).collect()
-    total = observed(every).get("n", 0)
+    found = observed(every)
+    total = found.get("n", 0)
     rows = [(row[on], -(-row["n"] * SALTS // max(total, 1))) for row in most if row["n"] >= max(1, total * HOT_SHARE)]
+    return rows, total - found.get("keyed", 0)
+
+
+def _salts(facts: DataFrame, on: str, rows: list[tuple]) -> DataFrame:
     schema = T.StructType([facts.schema[on], T.StructField("salts", T.IntegerType())])
     return facts.sparkSession.createDataFrame(rows, schema)
 
 
+def hot_keys(facts: DataFrame, on: str) -> DataFrame:
+    """``<on>, salts``: keys that hold much of ``facts`` (:func:`hot_and_missing`)."""
+    return _salts(facts, on, hot_and_missing(facts, on)[0])
+
+
 def dealt(facts: DataFrame, hot: DataFrame, on: str, distinct: bool = False) -> DataFrame:
     """``facts`` that have a key, with ``salt``: rows of hot keys are spread over their salts.
 
@@ -138,22 +148,32 @@ def join_lookup(
 
     A larger lookup is shuffled. An inner join first drops the rows whose key it lacks, as far
     as a filter of bounded size tells them (:func:`having_keys`; ``filtered`` tells that this has
-    been done). Keys that hold much of ``facts`` are counted: their rows are dealt over salts in proportion to their number (:func:`dealt`), so equal rows part
-    as well, and only their lookup rows are copied. ``distinct`` tells that no two rows of
-    ``facts`` are equal, which saves counting them. Rows without a key match nothing; a
-    left join adds them back without a shuffle.
+    been done). Keys are counted, and rows of all but hot ones are shuffled once, as they are.
+    Rows of keys that hold much of ``facts`` are joined apart, to those keys' few lookup rows: by a
+    broadcast where these fit a share of its limit, or dealt over salts in proportion to their
+    number (:func:`dealt`), so equal rows part as well. ``distinct`` tells that no two rows of ``facts`` are equal, which
+    saves counting them there. Rows without a key match nothing; a left join adds them back
+    without a shuffle. A part that the count finds empty is left out.
     """
     if fits(broadcast_bytes, bound, lookup):
         return facts.join(F.broadcast(lookup), on, how)
     if how == "inner" and not filtered:
         facts = having_keys(facts, lookup.select(on), on)
-    hot = F.broadcast(hot_keys(facts, on))
-    salted = dealt(facts, hot, on, distinct)
-    last = F.coalesce(F.col("salts"), F.lit(1)) - 1
-    copies = lookup.join(hot, on, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), last)))
-    joined = salted.join(copies.drop("salts"), [on, "salt"], how).drop("salt")
-    if how != "left":
+    rows, missing = hot_and_missing(facts, on)
+    hot = F.broadcast(_salts(facts, on, rows))
+    keyed = facts.filter(F.col(on).isNotNull())
+    cold = keyed.join(hot, on, "left_anti") if rows else keyed
+    joined = cold.join(lookup, on, how)
+    if rows:
+        much, names = keyed.join(hot, on, "left_semi"), lookup.join(hot, on, "left_semi")
+        if fits(broadcast_bytes // int(1 / HOT_SHARE), names):
+            apart = much.join(F.broadcast(names), on, how)
+        else:
+            copies = names.join(hot, on).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+            apart = dealt(much, hot, on, distinct).join(copies.drop("salts"), [on, "salt"], how).drop("salt")
+        joined = joined.union(apart)
+    if how != "left" or not missing:
         return joined
     added = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name != on]
     unkeyed = facts.filter(F.col(on).isNull()).select(on, *(c for c in facts.columns if c != on), *added)
-    return joined.unionByName(unkeyed)
+    return joined.union(unkeyed)

@@ -172,6 +172,33 @@ def test_only_hot_keys_are_salted_and_equal_rows_part(spark, shuffled):
     assert join_lookup(facts.limit(0), lookup, "k", broadcast_bytes=-1).count() == 0
 
 
+def test_rows_of_no_hot_key_are_shuffled_once(spark, shuffled):
+    facts = spark.range(0, 9_000, 1, 4).selectExpr("string(id % 3000) AS k", "id % 2 AS same")
+    lookup = spark.range(0, 6_000, 2, 4).selectExpr("string(id) AS k", "id AS value")
+    for how in ("left", "inner"):
+        joined = join_lookup(facts, lookup, "k", how, broadcast_bytes=-1, filtered=True)
+        text = plan(joined)
+        assert text.count("Exchange hashpartitioning") == 2
+        assert "Union" not in text and "Aggregate" not in text and "salt" not in text
+        assert joined.exceptAll(facts.join(lookup, "k", how)).isEmpty()
+        assert joined.count() == (9_000 if how == "left" else 4_500)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_and_missing_keys_beside_others(spark, shuffled, how):
+    """Equal rows of hot keys, one of them unknown, rows without a key, and keys listed twice."""
+    facts = spark.range(0, 8_000, 1, 4).selectExpr(
+        "CASE id % 4 WHEN 0 THEN 'hot' WHEN 1 THEN 'unknown' WHEN 2 THEN NULL ELSE string(id % 600) END AS k", "id % 3 AS v"
+    )
+    lookup = spark.sql("SELECT string(id) AS k, id AS value FROM range(900) UNION ALL VALUES ('hot', 1L), ('hot', NULL), (NULL, 7L), ('3', 3L)")
+    wanted = facts.join(lookup, "k", how)
+    for size, dealt_out in ((-1, True), (measured_bytes(lookup) - 1, False)):
+        found = join_lookup(facts, lookup, "k", how, size)
+        assert bool(re.search(r"SortMergeJoin \[k#\d+, salt#\d+\]", plan(found))) == dealt_out
+        assert found.columns == wanted.columns and found.count() == wanted.count()
+        assert found.exceptAll(wanted).isEmpty()
+
+
 def test_salts_do_not_depend_on_the_order_of_rows(spark, inputs, shuffled):
     facts = spark.range(0, 6_000, 1, 4).selectExpr("'hot' AS k", "id % 50 AS v")
     hot = hot_keys(facts, "k")
