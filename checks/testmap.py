@@ -43,7 +43,8 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.expr("l_shipdate + make_dt_interval(7 * (l_linenumber - 1))")
     weekly = F.sequence("l_shipdate", last, F.expr("interval 7 days"))
     undated = F.col("l_orderkey") % 61 == 0
-    seen = F.transform(weekly, lambda time, i: F.when(~undated | (i < F.size(weekly) - 1), time))
+    # A line has as many weeks as its number; to take their size would make them again for each.
+    seen = F.transform(weekly, lambda time, i: F.when(~undated | (i < F.col("l_linenumber") - 1), time))
     user = F.when(F.col("o_custkey") % 50 != 7, F.col("o_custkey")).cast("string")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         yyyymm(F.col("l_shipdate")).alias("month"),

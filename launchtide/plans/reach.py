@@ -62,8 +62,8 @@ def stale_months(spark: SparkSession, out: str) -> list[int]:
     known: dict[str, str] = {}
     for run in sorted((run for run in runs(spark, path) if run.committed), key=lambda run: run.nth):
         known |= {month: run.notes[month] for month in run.parts if month in run.notes}
-    deltas = _writers(spark, out)
-    return sorted(int(m) for m in deltas if known.get(m) != deltas[m] or m in unfinished(spark, path))
+    deltas, left = _writers(spark, out), unfinished(spark, path)
+    return sorted(int(m) for m in deltas if known.get(m) != deltas[m] or m in left)
 
 
 def update_user_sets(spark: SparkSession, out: str) -> DataFrame:

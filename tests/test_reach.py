@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from launchtide import journal
 from launchtide.journal import NotCommitted, last_committed
 from launchtide.operators import code_users, count_user_sets, delta_histogram, merge_user_sets, user_sets
 from launchtide.operators.uptake import MONTH_USER
@@ -149,3 +150,20 @@ def test_an_emptied_month_has_no_sets(spark, stored, tmp_path):  # noqa: F811
     update_user_sets(spark, out)
     assert read_user_sets(spark, sets_path(out), MONTHS[:1]).count() == 0
     assert rows(distinct_histogram(spark, out)) == rows(delta_histogram(read_deltas(spark, f"{out}/deltas")))
+
+
+def test_many_months_read_the_journals_as_often_as_few(spark, tmp_path, monkeypatch):
+    read, entries = [], journal.entries
+    monkeypatch.setattr(journal, "entries", lambda spark, path: read.append(path) or entries(spark, path))
+    calls = []
+    for n in (1, 12):
+        out, months = f"{tmp_path}/{n}", list(range(202001, 202001 + n))
+        counts = {str(month): 1 for month in months}
+        deltas = journal.begin(spark, out, months)
+        journal.commit(spark, out, deltas, counts)
+        sets = journal.begin(spark, sets_path(out), months)
+        journal.commit(spark, sets_path(out), sets, counts, dict.fromkeys(counts, deltas.name))
+        read.clear()
+        assert stale_months(spark, out) == []
+        calls.append(len(read))
+    assert calls[0] == calls[1]
